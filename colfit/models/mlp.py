@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from colfit.functions.activations import Activation
 from colfit.functions.losses import MSE, Hinge, Loss
-from colfit.functions.numeric import array_sum
+from colfit.functions.numeric import array_sum, bind
 from colfit.models.layers import activated, align, dots, stepped
 from colfit.operators.stats import require_columns
 from colfit.session import shared_folder
@@ -206,19 +206,25 @@ class Network:
         return replace(self, layers=_replaced(self.layers, i, layer))
 
     def forward(self, df: DataFrame, vector: str, column: str = "output") -> DataFrame:
-        """``df`` with the output array; rows are scored independently, no shuffle.
+        """``df`` with the output array; rows are scored independently, no shuffle."""
+        require_columns(df, [vector])
+        return df.withColumn(column, self.output(F.col(f"`{vector}`")))
+
+    def output(self, vector: Column) -> Column:
+        """The output array of an input array.
 
-        Each layer is a number per row until the last one spreads it over the
-        neurons.
+        Each layer is one number until the last one spreads it over the neurons.
+        Every step uses the one before it once, so the expression stays as long
+        as the network is deep.
         """
-        require_columns(df, [vector])
+        vector = vector.cast("array<double>")
         if not self.layers:
-            return df.withColumn(column, F.col(f"`{vector}`").cast("array<double>"))
-        df = self._with_dot(df, vector, 0, "__dot")
-        for layer, above in zip(self.layers, self.layers[1:], strict=False):
-            df = df.withColumn("__dot", _dot(_outputs(F.col("__dot"), layer), above.weights))
-        last = self.layers[-1]
-        return df.withColumn(column, _outputs(F.col("__dot"), last)).drop("__dot")
+            return vector
+        first, *rest = self.layers
+        outputs = _outputs(_dot(self._checked(vector), first.weights), first)
+        for layer in rest:
+            outputs = _outputs(_dot(outputs, layer.weights), layer)
+        return outputs
 
     predict = forward
 
@@ -257,20 +263,17 @@ class Network:
             return self
         require_columns(df, [vector, label])
         last = len(self.layers) - 1
-        rows = self.forward(
-            df.select(
-                F.col(f"`{vector}`").cast("array<double>").alias("x"),
-                F.col(f"`{label}`").cast("array<double>").alias("y"),
-            ),
+        x = self._checked(F.col(f"`{vector}`").cast("array<double>"))
+        rows = df.select(
+            x.alias("x"), F.col(f"`{label}`").cast("array<double>").alias("y")
+        ).select(
             "x",
-            "output",
+            self._output_gradient(F.col("y"), self.output(F.col("x"))).alias("g"),
+            *[_dot(F.col("x"), self.layers[i].weights).alias(f"dot{i}") for i in range(last)],
         )
-        rows = rows.select("x", self._output_gradient(F.col("y"), F.col("output")).alias("g"))
-        for i in range(last):
-            rows = self._with_dot(rows, "x", i, f"__dot{i}")
         rate = F.lit(float(learning_rate))
         for i in range(last, -1, -1):
-            below = F.col("x") if i == 0 else _outputs(F.col(f"__dot{i - 1}"), self.layers[i - 1])
+            below = F.col("x") if i == 0 else _outputs(F.col(f"dot{i - 1}"), self.layers[i - 1])
             if i == last:
                 step = F.transform(below, lambda x: x * F.col("g"))
             else:
@@ -281,7 +284,7 @@ class Network:
         values = F.concat(*[F.col(f"w{i}") for i in range(last + 1)], F.array(*shifts))
         means = {
             row["pos"]: row["mean"]
-            for row in rows.select(F.posexplode(values).alias("pos", "value"))
+            for row in rows.select(F.posexplode_outer(values).alias("pos", "value"))
             .groupBy("pos")
             .agg(F.avg("value").alias("mean"))
             .collect()
@@ -304,9 +307,13 @@ class Network:
     def _width(self) -> int:
         return len(self.layers[0].weights)
 
-    def _with_dot(self, df: DataFrame, vector: str, i: int, column: str) -> DataFrame:
-        """The dot product of the raw input with layer ``i``."""
-        return df.withColumn(column, _dot(F.col(f"`{vector}`"), self.layers[i].weights))
+    def _checked(self, vector: Column) -> Column:
+        width = self._width()
+        wrong = F.raise_error(F.lit(f"expected an array of {width} values"))
+        return F.when(
+            vector.isNotNull(),
+            F.when(F.size(vector) == width, vector).otherwise(wrong.cast("array<double>")),
+        )
 
     def _output_gradient(self, y: Column, output: Column) -> Column:
         loss = self.loss_function
@@ -316,31 +323,25 @@ class Network:
     def _pairs(self, df: DataFrame, vector: str, label: str) -> DataFrame:
         """One row for each sample and position."""
         require_columns(df, [vector, label])
-        scored = self.forward(
-            df.select(
-                F.col(f"`{vector}`").alias("x"),
-                F.col(f"`{label}`").cast("array<double>").alias("label"),
-            ),
-            "x",
+        pairs = F.arrays_zip(
+            self.output(F.col(f"`{vector}`")).alias("output"),
+            F.col(f"`{label}`").cast("array<double>").alias("label"),
         )
-        return scored.select(F.explode(F.arrays_zip("output", "label")).alias("pair"))
+        return df.select(F.explode_outer(pairs).alias("pair"))
 
 
 def _dot(vector: Column, weights: Sequence[float]) -> Column:
-    products = F.zip_with(
-        vector.cast("array<double>"), F.lit(list(weights)), lambda x, w: x * w
-    )
-    wrong = F.raise_error(F.lit(f"expected an array of {len(weights)} values")).cast("double")
-    return (
-        F.when(vector.isNull(), None)
-        .when(F.size(vector) == len(weights), array_sum(products))
-        .otherwise(wrong)
-    )
+    return array_sum(F.zip_with(vector, F.lit(list(weights)), lambda x, w: x * w))
 
 
 def _outputs(dot: Column, layer: Layer) -> Column:
-    sums = F.transform(F.lit(list(layer.biases)), lambda b: dot + b)
-    return F.when(dot.isNotNull(), layer.activation.activate_array(sums))
+    """The layer's output array from its dot product, which is evaluated once."""
+
+    def spread(d: Column) -> Column:
+        sums = F.transform(F.lit(list(layer.biases)), lambda b: d + b)
+        return F.when(d.isNotNull(), layer.activation.activate_array(sums))
+
+    return bind(dot, spread)
 
 
 def _replaced(items: tuple, i: int, item) -> tuple:
