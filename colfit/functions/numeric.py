@@ -6,8 +6,8 @@ Spark's ANSI mode raises on division by zero and its ``ln`` is NULL outside
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ ColumnOrName = Column | str
 def double(column: ColumnOrName) -> Column:
     """The column as double; names may contain dots."""
     if isinstance(column, str):
-        column = F.col(f"`{column}`")
+        return F.expr(sql_column(column))
     return column.cast("double")
 
 
@@ -40,15 +40,42 @@ def positive(x: Column) -> Column:
     return (x > 0) & ~F.isnan(x)
 
 
-def total(columns: Sequence[Column]) -> Column:
-    """Left-to-right sum of columns."""
-    return reduce(lambda a, b: a + b, columns)
+def sql_double(value: float) -> str:
+    """A double literal in Spark SQL."""
+    value = float(value)
+    return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
 
 
-def weighted(intercept: float, weights: Sequence[float], columns: Sequence[Column]) -> Column:
+def sql_column(name: str) -> str:
+    """A column as double in Spark SQL."""
+    escaped = name.replace("`", "``")
+    return f"cast(`{escaped}` as double)"
+
+
+# Expressions with one term per feature are parsed from text: building them
+# operator by operator costs a call to the JVM for each, every epoch.
+
+
+def total(names: Sequence[str]) -> Column:
+    """Left-to-right sum of columns as doubles."""
+    return F.expr(" + ".join(map(sql_column, names)))
+
+
+def weighted(intercept: float, weights: Sequence[float], names: Sequence[str]) -> Column:
     """``intercept + w0*x0 + w1*x1 + ...`` summed left to right."""
-    terms = [x * F.lit(float(w)) for w, x in zip(weights, columns, strict=True)]
-    return total([F.lit(float(intercept)), *terms])
+    pairs = zip(weights, names, strict=True)
+    terms = [f"{sql_column(x)} * {sql_double(w)}" for w, x in pairs]
+    return F.expr(" + ".join([sql_double(intercept), *terms]))
+
+
+def any_null(names: Sequence[str]) -> Column:
+    """Rows with at least one NULL among the columns."""
+    return F.expr(" or ".join(f"{sql_column(x)} is null" for x in names))
+
+
+def double_array(values: Sequence[float]) -> Column:
+    """A constant ``array<double>``."""
+    return F.expr(f"array({', '.join(map(sql_double, values))})")
 
 
 def array_sum(values: Column) -> Column:

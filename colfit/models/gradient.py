@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 from colfit.functions.activations import IDENTITY, Activation
 from colfit.functions.losses import Loss, first_rows, hinge_gates
-from colfit.functions.numeric import double, total, weighted
+from colfit.functions.numeric import any_null, double, total, weighted
 from colfit.operators.stats import (
-    any_null,
     check_counts,
     check_invalid,
     column_means,
@@ -50,7 +49,7 @@ class GradientModel:
     @property
     def score(self) -> Column:
         """The linear score before the activation."""
-        return weighted(self.intercept, self.coefficients, [double(f) for f in self.features])
+        return weighted(self.intercept, self.coefficients, self.features)
 
     def predict(self, df: DataFrame, column: str = "prediction") -> DataFrame:
         """``df`` with a prediction column; rows with null features predict NULL."""
@@ -134,7 +133,7 @@ def training_rows(
 
 
 def null_count(model: GradientModel) -> Column:
-    return F.count_if(any_null([double(c) for c in (*model.features, model.label)]))
+    return F.count_if(any_null([*model.features, model.label]))
 
 
 @contextmanager
@@ -204,13 +203,12 @@ def _fit_shared(
     three doubles per row are persisted however many features there are, and an
     epoch has two aggregates.
     """
-    xs = [double(f) for f in model.features]
-    k = len(xs)
+    k = len(model.features)
     slim = rows.select(
-        weighted(0.0, model.coefficients, xs).alias("base"),
-        total(xs).alias("sum"),
+        weighted(0.0, model.coefficients, model.features).alias("base"),
+        total(model.features).alias("sum"),
         double(model.label).alias("y"),
-        any_null([*xs, double(model.label)]).alias("missing"),
+        any_null([*model.features, model.label]).alias("missing"),
     )
     base, x, y = F.col("base"), F.col("sum"), F.col("y")
     loss = model.loss_function

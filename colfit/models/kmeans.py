@@ -16,11 +16,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colfit.functions.numeric import INF, double, total
+from colfit.functions.numeric import INF, any_null, double, sql_column, sql_double
 from colfit.functions.uniform import uniform_value
 from colfit.operators.stats import (
     MAX_AGGREGATES,
-    any_null,
     check_counts,
     check_invalid,
     require_columns,
@@ -62,22 +61,17 @@ class KMeansModel:
         win, so a row with no finite distance is cluster 0.  NULL for rows with
         null features.
         """
-        xs = [double(f) for f in self.features]
-        if len(xs) * len(self.centroids) > MAX_EXPRESSION_COORDINATES:
-            best = _nearest_on_batches(self.centroids)(F.array(*xs))
+        if len(self.features) * len(self.centroids) > MAX_EXPRESSION_COORDINATES:
+            vector = F.array(*[double(f) for f in self.features])
+            best = _nearest_on_batches(self.centroids)(vector)
         else:
-            best = F.array_min(
-                F.array(
-                    *[
-                        F.struct(
-                            F.nanvl(distance_to(xs, c), F.lit(INF)).alias("distance"),
-                            F.lit(i).alias("cluster"),
-                        )
-                        for i, c in enumerate(self.centroids)
-                    ]
-                )
+            candidates = ", ".join(
+                f"named_struct('distance', nanvl({_distance_sql(self.features, c)}, "
+                f"{sql_double(INF)}), 'cluster', {i})"
+                for i, c in enumerate(self.centroids)
             )
-        return F.when(~any_null(xs), best)
+            best = F.expr(f"array_min(array({candidates}))")
+        return F.when(~any_null(self.features), best)
 
     def assign(self, df: DataFrame, column: str = "cluster") -> DataFrame:
         """``df`` with the number of the nearest centroid."""
@@ -215,10 +209,12 @@ class KMeans:
         return KMeansModel(features, tuple(tuple(map(float, c)) for c in centroids))
 
 
-def distance_to(xs: Sequence[Column], point: Sequence[float]) -> Column:
+def _distance_sql(features: Sequence[str], point: Sequence[float]) -> str:
     """Euclidean distance of a row to a fixed point."""
-    gaps = [x - F.lit(float(c)) for x, c in zip(xs, point, strict=True)]
-    return F.sqrt(total([g * g for g in gaps]))
+    gaps = [
+        f"({sql_column(x)} - {sql_double(c)})" for x, c in zip(features, point, strict=True)
+    ]
+    return f"sqrt({' + '.join(f'{g} * {g}' for g in gaps)})"
 
 
 def euclidean_distance(a: Column, b: Column) -> Column:
@@ -261,7 +257,7 @@ def _ranges(rows: DataFrame, features: Sequence[str]) -> tuple[list[float], list
     numbers = [F.when(~F.isnan(x), x) for x in xs]
     n, nulls, *extremes = rows.agg(
         F.count("*"),
-        F.count_if(any_null(xs)),
+        F.count_if(any_null(features)),
         *[F.min(x).alias(f"lo{i}") for i, x in enumerate(numbers)],
         *[F.max(x).alias(f"hi{i}") for i, x in enumerate(numbers)],
     ).first()

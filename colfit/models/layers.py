@@ -7,9 +7,11 @@ weights, and adds each neuron's bias.  The vector is a table ``(pos, value)``;
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +42,9 @@ def layer_random(
 
 def layer_forward(layer: DataFrame, inputs: DataFrame, activation: Activation) -> DataFrame:
     """``activation(sum(x*w) + bias)`` per neuron, as ``(pos, value)``."""
-    joined = align(inputs.select("pos", "value"), [layer])
-    (dot,) = dots(joined, [F.col("value") * F.col("weight0")])
+    values = inputs.select("pos", F.col("value").cast("double").alias("value"))
+    with aligned(values, [layer]) as joined:
+        (dot,) = dots(joined, [F.col("value") * F.col("weight0")])
     return activated(layer, dot, activation)
 
 
@@ -60,12 +63,12 @@ def layer_backward(
     else:
         g, shift = F.lit(float(gradient)), float(gradient)
     rows = inputs.select("pos", F.col("value").cast("double").alias("value"), g.alias("g"))
-    joined = align(rows, [layer])
-    return joined.select(
-        "pos",
-        stepped(F.col("weight0"), F.col("value"), F.col("g"), learning_rate).alias("weight"),
-        (F.col("bias0") - F.lit(shift) * F.lit(float(learning_rate))).alias("bias"),
-    )
+    with aligned(rows, [layer]) as joined:
+        return joined.select(
+            "pos",
+            stepped(F.col("weight0"), F.col("value"), F.col("g"), learning_rate).alias("weight"),
+            (F.col("bias0") - F.lit(shift) * F.lit(float(learning_rate))).alias("bias"),
+        )
 
 
 def stepped(weight: Column, x: Column, g: Column, learning_rate: float) -> Column:
@@ -83,11 +86,13 @@ def dots(df: DataFrame, products: Sequence[Column]) -> list[float]:
     return list(df.agg(*[F.sum(p).alias(f"s{i}") for i, p in enumerate(products)]).first())
 
 
-def align(rows: DataFrame, layers: Sequence[DataFrame]) -> DataFrame:
+@contextmanager
+def aligned(rows: DataFrame, layers: Sequence[DataFrame]) -> Iterator[DataFrame]:
     """``rows`` joined with ``weight0, bias0, weight1, ...`` on ``pos``.
 
-    Inner joins on the same key, so every table is shuffled at most once.
-    Raises unless all tables hold the same unique positions without nulls.
+    Inner joins on the same key, so every table is shuffled at most once; the
+    result is kept for the passes made within the block.  Raises unless all
+    tables hold the same unique positions without nulls.
     """
     for table in (rows, *layers):
         require_columns(table, ["pos"])
@@ -102,8 +107,12 @@ def align(rows: DataFrame, layers: Sequence[DataFrame]) -> DataFrame:
         for i, layer in enumerate(layers)
     ]
     joined = reduce(lambda a, b: a.join(b, "pos"), named, rows)
-    _check_aligned([rows, *named], joined)
-    return joined
+    joined.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _check_aligned([rows, *named], joined)
+        yield joined
+    finally:
+        joined.unpersist()
 
 
 def _check_aligned(tables: Sequence[DataFrame], joined: DataFrame) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colfit.functions.losses import MSE, Loss, MeanSquaredError
-from colfit.functions.numeric import double, total, weighted
+from colfit.functions.numeric import any_null, double, total, weighted
 from colfit.models.gradient import (
     SHARED,
     GradientModel,
@@ -20,7 +20,7 @@ from colfit.models.gradient import (
     starting_point,
     training_rows,
 )
-from colfit.operators.stats import any_null, check_counts, column_means, require_columns
+from colfit.operators.stats import check_counts, column_means, require_columns
 
 # Per-feature training keeps a matrix of this many features squared on the driver.
 MAX_MOMENT_FEATURES = 200
@@ -87,10 +87,9 @@ def _fit_shared_moments(model, df, num_epochs, learning_rate, handle_invalid) ->
     Six aggregates, however many features.
     """
     rows = training_rows(df, model, (), handle_invalid)
-    xs = [double(f) for f in model.features]
-    k = len(xs)
-    x = total(xs)
-    r = double(model.label) - weighted(0.0, model.coefficients, xs)
+    k = len(model.features)
+    x = total(model.features)
+    r = double(model.label) - weighted(0.0, model.coefficients, model.features)
     n, nulls, mx, mr, mxx, mrx = rows.agg(
         F.count("*"), null_count(model), F.avg(x), F.avg(r), F.avg(x * x), F.avg(r * x)
     ).first()
@@ -111,7 +110,7 @@ def _fit_moments(model, df, num_epochs, learning_rate, handle_invalid) -> Linear
     v = [F.lit(1.0), *[double(f) for f in model.features]]
     y = double(model.label)
     pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
-    missing = any_null([*v, y]).cast("double")
+    missing = any_null([*model.features, model.label]).cast("double")
     *means, nulls = column_means(
         rows, [*[v[i] * v[j] for i, j in pairs], *[c * y for c in v], missing]
     )

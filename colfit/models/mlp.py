@@ -14,6 +14,7 @@ to the raw inputs; the gradient handed down is the layer's new weights.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import AbstractContextManager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 
 from colfit.functions.activations import Activation
 from colfit.functions.losses import MSE, Hinge, Loss
-from colfit.functions.numeric import array_sum, bind
-from colfit.models.layers import activated, align, dots, stepped
+from colfit.functions.numeric import array_sum, bind, double_array
+from colfit.models.layers import activated, aligned, dots, stepped
 from colfit.operators.stats import require_columns
 from colfit.session import shared_folder
 
@@ -60,9 +61,10 @@ class ColumnNetwork:
         """Outputs ``(pos, value)``: a projection of the last layer's biases."""
         if not self.layers:
             return inputs.select("pos", "value")
-        joined = self._joined(inputs, ["value"])
-        (first,) = dots(joined, [F.col("value") * F.col("weight0")])
-        return activated(self.layers[-1], self._chain(joined, first), self.activations[-1])
+        with self._joined(inputs, ["value"]) as joined:
+            (first,) = dots(joined, [F.col("value") * F.col("weight0")])
+            last = self._chain(joined, first)
+        return activated(self.layers[-1], last, self.activations[-1])
 
     predict = forward
 
@@ -75,8 +77,8 @@ class ColumnNetwork:
         without it they are computed here.
         """
         extra = [output] if output else []
-        state = self._joined(inputs, ["value", "label", *extra]).checkpoint()
-        return self._from_state(self._updated(state, learning_rate, output).checkpoint())
+        with self._joined(inputs, ["value", "label", *extra]) as state:
+            return self._from_state(self._updated(state, learning_rate, output).checkpoint())
 
     def fit(self, inputs: DataFrame, num_epochs: int, learning_rate: float) -> ColumnNetwork:
         """Inputs and layers are joined once; an epoch is one aggregate for each
@@ -85,9 +87,9 @@ class ColumnNetwork:
         """
         if num_epochs <= 0 or not self.layers:
             return self
-        state = self._joined(inputs, ["value", "label"]).checkpoint()
-        for _ in range(num_epochs):
-            state = self._updated(state, learning_rate, None).checkpoint()
+        with self._joined(inputs, ["value", "label"]) as state:
+            for _ in range(num_epochs):
+                state = self._updated(state, learning_rate, None).checkpoint()
         return self._from_state(state)
 
     def loss(self, inputs: DataFrame) -> DataFrame:
@@ -107,13 +109,15 @@ class ColumnNetwork:
         labels = inputs.select("pos", F.col("label").cast("double").alias("label"))
         return labels.join(outputs, "pos")
 
-    def _joined(self, inputs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    def _joined(
+        self, inputs: DataFrame, columns: Sequence[str]
+    ) -> AbstractContextManager[DataFrame]:
         require_columns(inputs, ["pos", *columns])
         shared_folder(inputs.sparkSession)
         rows = inputs.select(
             "pos", *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]
         )
-        return align(rows, self.layers)
+        return aligned(rows, self.layers)
 
     def _output(self, state: DataFrame, i: int, dot: float) -> Column:
         return self.activations[i].over_column(state, F.lit(dot) + F.col(f"bias{i}"))
@@ -278,7 +282,7 @@ class Network:
                 step = F.transform(below, lambda x: x * F.col("g"))
             else:
                 step = F.zip_with(below, F.col(f"w{i + 1}"), lambda x, g: x * g)
-            old = F.lit(list(self.layers[i].weights))
+            old = double_array(self.layers[i].weights)
             rows = rows.withColumn(f"w{i}", F.zip_with(old, step, lambda w, s: w - s * rate))
         shifts = [*[array_sum(F.col(f"w{i + 1}")) for i in range(last)], F.col("g")]
         values = F.concat(*[F.col(f"w{i}") for i in range(last + 1)], F.array(*shifts))
@@ -331,14 +335,14 @@ class Network:
 
 
 def _dot(vector: Column, weights: Sequence[float]) -> Column:
-    return array_sum(F.zip_with(vector, F.lit(list(weights)), lambda x, w: x * w))
+    return array_sum(F.zip_with(vector, double_array(weights), lambda x, w: x * w))
 
 
 def _outputs(dot: Column, layer: Layer) -> Column:
     """The layer's output array from its dot product, which is evaluated once."""
 
     def spread(d: Column) -> Column:
-        sums = F.transform(F.lit(list(layer.biases)), lambda b: d + b)
+        sums = F.transform(double_array(layer.biases), lambda b: d + b)
         return F.when(d.isNotNull(), layer.activation.activate_array(sums))
 
     return bind(dot, spread)

@@ -5,13 +5,15 @@ from colfit.operators.prep import (
     z_norm_cols,
 )
 from colfit.operators.rowindex import select_rows, split, with_row_index
-from colfit.operators.softmax import softmax
+from colfit.operators.softmax import softmax, softmax_columns, softmax_jacobian
 
 __all__ = [
     "get_col_by_index",
     "min_max_norm_cols",
     "select_rows",
     "softmax",
+    "softmax_columns",
+    "softmax_jacobian",
     "split",
     "transform_cols",
     "with_row_index",

@@ -1,4 +1,4 @@
-"""Softmax over a whole column or over groups of rows."""
+"""Softmax over a whole column, over groups of rows, or over the columns of a row."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colfit.functions.activations import ACTIVATED, SOFTMAX
-from colfit.functions.numeric import double
+from colfit.functions.activations import ACTIVATED, GRADIENTS, SOFTMAX
+from colfit.functions.numeric import double, ratio, total
 from colfit.operators.stats import require_columns
 
 # Group totals are broadcast up to this many groups.
@@ -53,6 +53,43 @@ def softmax(
     return scored(df.join(hot, same)).unionByName(scored(rest))
 
 
+def softmax_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace the columns by their softmax within each row."""
+    return _shares(df, columns, None).drop("__total")
+
+
+def softmax_jacobian(
+    df: DataFrame, columns: Sequence[str], column: str = GRADIENTS
+) -> DataFrame:
+    """The columns' softmax Jacobian within each row, as ``column_0, column_1, ...``.
+
+    Row-major, n*n columns for n.  Values are shifted by their maximum first.
+    For longer vectors use an array and ``Softmax.gradient_array``.
+    """
+    names = [f"__share{i}" for i in range(len(columns))]
+    inputs = df.withColumns({n: double(c) for n, c in zip(names, columns, strict=True)})
+    most = F.greatest(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0])
+    shares = _shares(inputs.withColumn("__most", most), names, F.col("__most"))
+    cells = [
+        F.col(a) * (F.lit(1.0) - F.col(a)) if a == b else -F.col(a) * F.col(b)
+        for a in names
+        for b in names
+    ]
+    return shares.withColumns({f"{column}_{i}": c for i, c in enumerate(cells)}).drop(
+        "__total", "__most", *names
+    )
+
+
+def _shares(df: DataFrame, columns: Sequence[str], shift: Column | None) -> DataFrame:
+    require_columns(df, columns)
+    exps = {c: F.exp(double(c) if shift is None else double(c) - shift) for c in columns}
+    return (
+        df.withColumns(exps)
+        .withColumn("__total", total(columns))
+        .withColumns({c: ratio(F.col(f"`{c}`"), F.col("__total")) for c in columns})
+    )
+
+
 def _same(by: Sequence[str], names: Sequence[str]) -> Column:
     """Null-safe equality of group columns, so a NULL group is a group too."""
     pairs = [F.col(f"`{b}`").eqNullSafe(F.col(n)) for b, n in zip(by, names, strict=True)]

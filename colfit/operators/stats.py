@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,11 +40,6 @@ def column_means(df: DataFrame, columns: Sequence[Column]) -> list[float | None]
     return means
 
 
-def any_null(columns: Sequence[Column]) -> Column:
-    """Rows with at least one NULL among the columns."""
-    return reduce(lambda a, b: a | b, [c.isNull() for c in columns])
-
-
 def check_invalid(handle_invalid: str) -> None:
     if handle_invalid not in ("error", "skip"):
         raise ValueError(f"handle_invalid must be 'error' or 'skip', got {handle_invalid!r}")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from colfit.functions import kernels, losses
-from colfit.functions.activations import IDENTITY, RELU, SIGMOID, SOFTMAX, Activation, LeakyReLU
+from colfit.functions.activations import IDENTITY, RELU, SIGMOID, Activation, LeakyReLU
 from colfit.functions.kernels import Kernel
 from colfit.functions.losses import BCE, HINGE, MSE, Loss
-from colfit.operators import softmax
+from colfit.operators import softmax, softmax_columns, softmax_jacobian
 from colfit.plans.registry import number, query, rounded, rounded_sql, with_ctes
 from colfit.plans.views import (
     CLS_SQL,
@@ -111,15 +111,25 @@ def _jacobian_sql() -> str:
 @query("grad_softmax", _jacobian_sql())
 def _grad_softmax(spark, folder):
     """The 3x3 Jacobian of each line item's feature vector, row by row."""
-    rows = reg(spark, folder).select(
+    rows = softmax_jacobian(reg(spark, folder), REG_FEATURES)
+    return rows.select(
         "l_orderkey",
         "l_linenumber",
-        SOFTMAX.gradient_array(F.array(*REG_FEATURES)).alias("g"),
+        *[rounded(f"gradients_{i}").alias(f"gradients_{i}") for i in range(9)],
     )
+
+
+def _share_sql() -> str:
+    scale = "(exp(x0) + exp(x1) + exp(x2))"
+    shares = ", ".join(f"{rounded_sql(f'exp(x{i}) / {scale}')} AS x{i}" for i in range(3))
+    return with_ctes([REG_SQL], f"SELECT l_orderkey, l_linenumber, {shares} FROM reg")
+
+
+@query("act_softmax_row", _share_sql())
+def _act_softmax_row(spark, folder):
+    rows = softmax_columns(reg(spark, folder), REG_FEATURES)
     return rows.select(
-        "l_orderkey",
-        "l_linenumber",
-        *[rounded(F.col("g")[i]).alias(f"gradients_{i}") for i in range(9)],
+        "l_orderkey", "l_linenumber", *[rounded(x).alias(x) for x in REG_FEATURES]
     )
 
 
