@@ -5,7 +5,7 @@ position take ``order_by``: columns that together are unique and not null.  No
 step sorts the table in one task.
 
 ``split`` needs only the key at the cut, so it ends as a filter on the key that
-reaches the file scan.  For a single numeric or date key the cut is found by
+reaches the file scan.  For a single integer or float key the cut is found by
 narrowing percentiles without any shuffle; other keys use ``with_row_index``
 on the key columns alone.
 """
@@ -32,7 +32,7 @@ ACCURACY = 10_000
 # Low bits of monotonically_increasing_id: the position inside a partition.
 POSITION_BITS = 33
 
-_NARROWABLE = (T.NumericType, T.DateType)
+_NARROWABLE = (T.IntegralType, T.FloatType, T.DoubleType)
 
 
 def with_row_index(
@@ -127,25 +127,32 @@ def _narrow(keys: DataFrame, rank: int, rows: int) -> Any:
     window about 2,500-fold.
     """
     k = F.col("k")
+    whole = isinstance(keys.schema["k"].dataType, T.IntegralType)
+    least, most = keys.agg(F.min(k), F.max(k)).first()
     window, offset, size = keys, rank, rows
     while size > SORT_LIMIT:
         share = offset / size
         margin = 2.0 / ACCURACY
-        low, high = window.agg(
-            F.percentile_approx(
-                k, [max(share - margin, 0.0), min(share + margin, 1.0)], ACCURACY
-            )
-        ).first()[0]
+        shares = [max(share - margin, 0.0), min(share + margin, 1.0)]
+        # Percentiles are computed in doubles, so large integers are taken
+        # relative to the start of the window.
+        wide = "decimal(20,0)"
+        scaled = (k.cast(wide) - F.lit(least).cast(wide)).cast("double") if whole else k
+        bounds = window.agg(F.percentile_approx(scaled, shares, ACCURACY)).first()[0]
+        if whole:
+            bounds = [min(least + int(b), most) for b in bounds]
+        low, high = (F.lit(b) for b in bounds)
         below, inside = window.agg(
-            F.count_if(k < F.lit(low)), F.count_if((k >= F.lit(low)) & (k <= F.lit(high)))
+            F.count_if(k < low), F.count_if((k >= low) & (k <= high))
         ).first()
         if offset < below:
-            window, new_size = window.filter(k < F.lit(low)), below
+            window, new_size, most = window.filter(k < low), below, bounds[0]
         elif offset < below + inside:
-            window = window.filter((k >= F.lit(low)) & (k <= F.lit(high)))
+            window = window.filter((k >= low) & (k <= high))
             new_size, offset = inside, offset - below
+            least, most = bounds
         else:
-            window = window.filter(k > F.lit(high))
+            window, least = window.filter(k > high), bounds[1]
             new_size, offset = size - below - inside, offset - below - inside
         if new_size >= size:
             raise ValueError("the row key is not unique")
