@@ -7,11 +7,12 @@ one row per task; the driver holds the centroids.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ from colfit.operators.stats import (
     MAX_AGGREGATES,
     check_counts,
     check_invalid,
+    column_statistics,
+    number_max,
+    number_min,
     require_columns,
 )
 
@@ -29,7 +33,7 @@ EQUIDISTANT = "equidistant"
 RANDOM = "random"
 # Beyond this many coordinates distances are computed on Arrow batches instead
 # of as one expression.
-MAX_EXPRESSION_COORDINATES = 512
+MAX_EXPRESSION_COORDINATES = 128
 
 Centroids = tuple[tuple[float, ...], ...]
 
@@ -61,9 +65,8 @@ class KMeansModel:
         win, so a row with no finite distance is cluster 0.  NULL for rows with
         null features.
         """
-        if len(self.features) * len(self.centroids) > MAX_EXPRESSION_COORDINATES:
-            vector = F.array(*[double(f) for f in self.features])
-            best = _nearest_on_batches(self.centroids)(vector)
+        if self._on_batches():
+            best = _nearest_on_batches(self.centroids)(*[double(f) for f in self.features])
         else:
             candidates = ", ".join(
                 f"named_struct('distance', nanvl({_distance_sql(self.features, c)}, "
@@ -73,6 +76,9 @@ class KMeansModel:
             best = F.expr(f"array_min(array({candidates}))")
         return F.when(~any_null(self.features), best)
 
+    def _on_batches(self) -> bool:
+        return len(self.features) * len(self.centroids) > MAX_EXPRESSION_COORDINATES
+
     def assign(self, df: DataFrame, column: str = "cluster") -> DataFrame:
         """``df`` with the number of the nearest centroid."""
         require_columns(df, self.features)
@@ -100,6 +106,8 @@ class KMeansModel:
 
     def _cluster_means(self, df: DataFrame) -> DataFrame:
         """``(cluster, coords)``, at most one row per centroid."""
+        if self._on_batches():
+            return self._cluster_means_on_batches(df)
         names = [f"x{i}" for i in range(len(self.features))]
         rows = df.select(
             self.nearest()["cluster"].alias("cluster"),
@@ -116,6 +124,37 @@ class KMeansModel:
             .agg(F.sort_array(F.collect_list(F.struct("pos", "mean")))["mean"].alias("coords"))
         )
 
+    def _cluster_means_on_batches(self, df: DataFrame) -> DataFrame:
+        """Sums per cluster within each task, then added up: k rows per task."""
+        points = np.array(self.centroids, dtype=float)
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            count, total = np.zeros(len(points)), np.zeros_like(points)
+            for batch in batches:
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                _, cluster = _nearest_points(x, points)
+                count += np.bincount(cluster, minlength=len(points))
+                for i in np.unique(cluster):
+                    total[i] += x[cluster == i].sum(axis=0)
+            seen = np.flatnonzero(count)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "cluster": pa.array(seen.astype(np.int32)),
+                    "n": pa.array(count[seen]),
+                    "total": pa.array(list(total[seen]), pa.list_(pa.float64())),
+                }
+            )
+
+        rows = df.filter(~any_null(self.features)).select(*[double(f) for f in self.features])
+        parts = rows.mapInArrow(sums, "cluster int, n double, total array<double>")
+        return (
+            parts.select("cluster", "n", F.posexplode("total").alias("pos", "value"))
+            .groupBy("cluster", "pos")
+            .agg((F.sum("value") / F.sum("n")).alias("mean"))
+            .groupBy("cluster")
+            .agg(F.sort_array(F.collect_list(F.struct("pos", "mean")))["mean"].alias("coords"))
+        )
+
     def to_df(self, spark: SparkSession) -> DataFrame:
         """Centroids as rows ``(centroid_id, coords)``."""
         return spark.createDataFrame(
@@ -253,35 +292,35 @@ def _rows(df: DataFrame, features: Sequence[str], handle_invalid: str) -> DataFr
 
 def _ranges(rows: DataFrame, features: Sequence[str]) -> tuple[list[float], list[float]]:
     """Per-feature minimum and maximum, NaN left out; raises on nulls and no rows."""
-    xs = [double(f) for f in features]
-    numbers = [F.when(~F.isnan(x), x) for x in xs]
-    n, nulls, *extremes = rows.agg(
-        F.count("*"),
-        F.count_if(any_null(features)),
-        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(numbers)],
-        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(numbers)],
-    ).first()
-    check_counts(n, nulls)
-    k = len(xs)
-    if None in extremes:
+    missing = F.when(any_null(features), F.lit(1.0)).otherwise(F.lit(0.0))
+    (_, nulls), *extremes = column_statistics(
+        rows, [missing, *[double(f) for f in features]], [number_min, number_max]
+    )
+    check_counts(nulls is not None, nulls)
+    if any(None in pair for pair in extremes):
         raise ValueError("a feature has only NaN values")
-    return extremes[:k], extremes[k:]
+    return [low for low, _ in extremes], [high for _, high in extremes]
+
+
+def _nearest_points(x: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distance and number of the nearest point for each row of ``x``."""
+    best = np.full(len(x), np.inf)
+    cluster = np.zeros(len(x), dtype=np.int32)
+    for i, point in enumerate(points):
+        distance = np.sqrt(((x - point) ** 2).sum(axis=1))
+        closer = distance < best
+        best[closer] = distance[closer]
+        cluster[closer] = i
+    return best, cluster
 
 
 def _nearest_on_batches(centroids: Centroids):
     points = np.array(centroids, dtype=float)
 
     @F.pandas_udf("struct<distance: double, cluster: int>")
-    def nearest(vectors: pd.Series) -> pd.DataFrame:
-        # A null coordinate arrives as NaN; the caller turns such rows into NULL.
-        x = np.array([np.asarray(v, dtype=float) for v in vectors])
-        best = np.full(len(x), np.inf)
-        cluster = np.zeros(len(x), dtype=np.int32)
-        for i, point in enumerate(points):
-            distance = np.sqrt(((x - point) ** 2).sum(axis=1))
-            closer = distance < best
-            best[closer] = distance[closer]
-            cluster[closer] = i
-        return pd.DataFrame({"distance": best, "cluster": cluster})
+    def nearest(*features: pd.Series) -> pd.DataFrame:
+        # A null arrives as NaN; the caller turns such rows into NULL.
+        distance, cluster = _nearest_points(np.column_stack(features), points)
+        return pd.DataFrame({"distance": distance, "cluster": cluster})
 
     return nearest

@@ -42,6 +42,7 @@ def layer_random(
 
 def layer_forward(layer: DataFrame, inputs: DataFrame, activation: Activation) -> DataFrame:
     """``activation(sum(x*w) + bias)`` per neuron, as ``(pos, value)``."""
+    require_columns(inputs, ["pos", "value"])
     values = inputs.select("pos", F.col("value").cast("double").alias("value"))
     with aligned(values, [layer]) as joined:
         (dot,) = dots(joined, [F.col("value") * F.col("weight0")])
@@ -56,6 +57,7 @@ def layer_backward(
     ``gradient`` names a column of ``inputs``, or is one number for all
     positions (its sum is then the number itself).
     """
+    require_columns(inputs, ["pos", "value"])
     if isinstance(gradient, str):
         require_columns(inputs, [gradient])
         g = F.col(f"`{gradient}`").cast("double")

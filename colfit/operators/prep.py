@@ -11,7 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colfit.functions.numeric import NAN, double
-from colfit.operators.stats import require_columns
+from colfit.operators.stats import (
+    column_statistics,
+    number_max,
+    number_min,
+    require_columns,
+)
 
 
 def transform_cols(
@@ -36,7 +41,7 @@ def z_norm_cols(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     All statistics come from one aggregate; the result is a plain projection.
     """
-    stats = _statistics(df, columns, lambda x: (F.avg(x), F.stddev_pop(x)))
+    stats = _statistics(df, columns, [F.avg, F.stddev_pop])
     return df.withColumns(
         {c: _scaled(double(c), mean, std) for c, (mean, std) in stats.items()}
     )
@@ -47,12 +52,7 @@ def min_max_norm_cols(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     NaN values take no part in the minimum and maximum.
     """
-
-    def extremes(x: Column) -> tuple[Column, Column]:
-        number = F.when(~F.isnan(x), x)
-        return F.min(number), F.max(number)
-
-    stats = _statistics(df, columns, extremes)
+    stats = _statistics(df, columns, [number_min, number_max])
     return df.withColumns(
         {c: _scaled(double(c), low, high - low) for c, (low, high) in stats.items()}
     )
@@ -66,18 +66,13 @@ def get_col_by_index(df: DataFrame, index: int) -> DataFrame:
 
 
 def _statistics(
-    df: DataFrame,
-    columns: Sequence[str],
-    aggregates: Callable[[Column], tuple[Column, Column]],
+    df: DataFrame, columns: Sequence[str], aggregates: Sequence[Callable[[Column], Column]]
 ) -> dict[str, tuple[float, float]]:
     """Two statistics for every column from a single pass."""
     names = list(dict.fromkeys(columns))
     require_columns(df, names)
-    if not names:
-        return {}
-    pairs = [aggregates(double(c)) for c in names]
-    row = df.agg(*[a.alias(f"s{i}") for i, a in enumerate(a for p in pairs for a in p)]).first()
-    stats = {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(names)}
+    found = column_statistics(df, [double(c) for c in names], aggregates)
+    stats = dict(zip(names, found, strict=True))
     empty = [c for c, pair in stats.items() if None in pair]
     if empty:
         raise ValueError(f"columns {empty} have no values to normalise by")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,26 +18,48 @@ def require_columns(df: DataFrame, names: Sequence[str]) -> None:
         raise ValueError(f"columns {missing} not found among {df.columns}")
 
 
-def column_means(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
-    """Average of each column expression over all rows, in one pass.
+def column_statistics(
+    df: DataFrame,
+    columns: Sequence[Column],
+    aggregates: Sequence[Callable[[Column], Column]],
+) -> list[tuple]:
+    """The aggregates of each column expression over all rows, in one pass.
 
     Both forms aggregate on the map side; at most ``len(columns)`` rows per
     task are shuffled.
     """
     if not columns:
         return []
-    if len(columns) <= MAX_AGGREGATES:
-        return list(df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first())
+    width = len(aggregates)
+    if len(columns) * width <= MAX_AGGREGATES:
+        named = [
+            f(c).alias(f"s{i}_{j}") for i, c in enumerate(columns) for j, f in enumerate(aggregates)
+        ]
+        row = df.agg(*named).first()
+        return [tuple(row[i * width : (i + 1) * width]) for i in range(len(columns))]
     rows = (
         df.select(F.posexplode(F.array(*columns)).alias("pos", "value"))
         .groupBy("pos")
-        .agg(F.avg("value").alias("mean"))
+        .agg(*[f(F.col("value")).alias(f"s{j}") for j, f in enumerate(aggregates)])
         .collect()
     )
-    means: list[float | None] = [None] * len(columns)
-    for row in rows:
-        means[row["pos"]] = row["mean"]
-    return means
+    found = {row["pos"]: tuple(row)[1:] for row in rows}
+    return [found.get(i, (None,) * width) for i in range(len(columns))]
+
+
+def column_means(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
+    """Average of each column expression over all rows, in one pass."""
+    return [mean for (mean,) in column_statistics(df, columns, [F.avg])]
+
+
+def number_min(x: Column) -> Column:
+    """Minimum with NaN left out."""
+    return F.min(F.when(~F.isnan(x), x))
+
+
+def number_max(x: Column) -> Column:
+    """Maximum with NaN left out (Spark orders it above everything)."""
+    return F.max(F.when(~F.isnan(x), x))
 
 
 def check_invalid(handle_invalid: str) -> None:

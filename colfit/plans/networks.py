@@ -103,7 +103,7 @@ _VALUES_SQL = f"SELECT vec_id, pos, {rounded_sql('value')} AS value FROM outs"
 
 
 def _positions(df: DataFrame) -> DataFrame:
-    return df.select("vec_id", F.posexplode("output").alias("pos", "value")).select(
+    return df.select("vec_id", F.posexplode_outer("output").alias("pos", "value")).select(
         "vec_id", F.col("pos").cast("bigint").alias("pos"), rounded("value").alias("value")
     )
 
