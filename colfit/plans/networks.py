@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colfit.functions.activations import IDENTITY, RELU, SIGMOID, Activation, LeakyReLU
+from colfit.functions.losses import BCE
 from colfit.models import ColumnNetwork, Layer, Network, layer_random, layer_zeroes
 from colfit.models.layers import layer_backward, layer_forward
 from colfit.plans.clustering import _unit_sql as unit_sql
@@ -278,20 +280,78 @@ def _mlp_forward_column(spark, folder):
     return values.select("pos", rounded("value").alias("value"))
 
 
+# Long decimals, so that no product falls halfway between two rounded values.
+_OFFSET = 0.91234567
+
+
 @query(
     "layer_backward",
     with_ctes(
-        [COL_SQL, _L0, f"g AS (SELECT sum(v - {number(0.9)}) AS g FROM col)"],
-        f"SELECT pos, {rounded_sql(f'w0 - {number(RATE)}*v*(v - {number(0.9)})')} AS weight, "
+        [COL_SQL, _L0, f"g AS (SELECT sum(v - {number(_OFFSET)}) AS g FROM col)"],
+        f"SELECT pos, {rounded_sql(f'w0 - {number(RATE)}*v*(v - {number(_OFFSET)})')} AS weight, "
         f"{rounded_sql(f'b0 - {number(RATE)}*g')} AS bias FROM col JOIN l0 USING (pos), g",
     ),
 )
 def _layer_backward(spark, folder):
-    inputs = part_column(spark, folder).withColumn("g", F.col("value") - 0.9)
+    inputs = part_column(spark, folder).withColumn("g", F.col("value") - _OFFSET)
     layer = layer_backward(layer_table(spark, folder, 0), inputs, "g", RATE)
     return layer.select("pos", rounded("weight").alias("weight"), rounded("bias").alias("bias"))
 
 
+_SCALAR = -0.73917345
+
+
+@query(
+    "layer_backward_scalar",
+    with_ctes(
+        [COL_SQL, _L0],
+        f"SELECT pos, {rounded_sql(f'w0 - {number(RATE)}*v*{number(_SCALAR)}')} AS weight, "
+        f"{rounded_sql(f'b0 - {number(RATE)}*{number(_SCALAR)}')} AS bias "
+        "FROM col JOIN l0 USING (pos)",
+    ),
+)
+def _layer_backward_scalar(spark, folder):
+    """One output gradient for all positions, as the last layer of a network has."""
+    inputs = part_column(spark, folder)
+    layer = layer_backward(layer_table(spark, folder, 0), inputs, _SCALAR, RATE)
+    return layer.select("pos", rounded("weight").alias("weight"), rounded("bias").alias("bias"))
+
+
+_OUT = f"outs AS (SELECT pos, y, {_sigmoid_sql('s + b1')} AS p FROM col JOIN l0 USING (pos), s)"
+_DOT = f"s AS (SELECT sum({_sigmoid_sql('raw + b0')}*w1) AS s FROM l0, r)"
+
+
+@query(
+    "mlp_loss_column",
+    with_ctes(
+        [COL_SQL, _L0, _RAW, _DOT, _OUT],
+        f"SELECT {rounded_sql('-avg(p*ln(y) + (1 - p)*ln(1 - y))')} AS loss FROM outs",
+    ),
+)
+def _mlp_loss_column(spark, folder):
+    """Cross entropy with prediction and label changing places."""
+    network = replace(_column_network(spark, folder), loss_function=BCE)
+    return network.loss(part_column(spark, folder)).select(rounded("loss").alias("loss"))
+
+
+@query(
+    "mlp_accuracy_column",
+    with_ctes(
+        [COL_SQL, _L0],
+        f"SELECT {rounded_sql('avg(CAST(b0 = trunc(v*5)/10 - 0.3 AS DOUBLE))')} AS accuracy "
+        "FROM col JOIN l0 USING (pos)",
+    ),
+)
+def _mlp_accuracy_column(spark, folder):
+    """Zero weights, so outputs are the biases and equal some labels exactly."""
+    layer = layer_table(spark, folder, 0).withColumn("weight", F.lit(0.0))
+    inputs = part_column(spark, folder).withColumn(
+        "label", F.floor(F.col("value") * 5) / F.lit(10.0) - F.lit(0.3)
+    )
+    accuracy = ColumnNetwork((layer,), (IDENTITY,)).accuracy(inputs)
+    return accuracy.select(rounded("accuracy").alias("accuracy"))
+
+
 def _column_epoch_sql(e: int) -> list[str]:
     """One update of a two-layer network from ``l{e}`` to ``l{e + 1}``."""
     lr = number(RATE)

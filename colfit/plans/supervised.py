@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colfit.functions.kernels import RadialBasis
+from colfit.functions.activations import SIGMOID
+from colfit.functions.kernels import Polynomial, RadialBasis
+from colfit.functions.losses import HINGE, MSE
 from colfit.models import (
     LinearModel,
     LogisticModel,
@@ -249,6 +251,15 @@ def _logistic_fit_per_feature(spark, folder):
     return _parameters(spark, model)
 
 
+@query(
+    "logistic_fit_mse",
+    _logistic_fit_sql(["(" + " + ".join(f"-2*avg((y - p)*{x})" for x in REG_FEATURES) + ")/3"] * 3),
+)
+def _logistic_fit_mse(spark, folder):
+    model = fit_logistic(cls(spark, folder), REG_FEATURES, "y", 3, 0.1, loss=MSE)
+    return _parameters(spark, model)
+
+
 @query(
     "logistic_gradients",
     with_ctes(
@@ -359,6 +370,70 @@ def _svm_fit_rbf(spark, folder):
     return _parameters(spark, model)
 
 
+@query(
+    "svm_fit_sigmoid",
+    _epochs_sql(
+        ORD_SQL,
+        "ord",
+        ORD_FEATURES,
+        4,
+        0.1,
+        _sigmoid_sql(_ORD_SCORE),
+        _VIOLATED,
+        [_gated_sql(x) for x in ORD_FEATURES],
+        _FIRST_ROW,
+    ),
+)
+def _svm_fit_sigmoid(spark, folder):
+    rows = orders(spark, folder)
+    model = fit_svm(rows, ORD_FEATURES, "y", 4, 0.1, ["o_orderkey"], activation=SIGMOID)
+    return _parameters(spark, model)
+
+
+@query(
+    "svm_fit_mse_polynomial",
+    _epochs_sql(
+        ORD_SQL,
+        "ord",
+        ORD_FEATURES,
+        3,
+        0.05,
+        _ORD_SCORE,
+        "-2*avg(y - p)",
+        [f"-2*avg((y - p)*pow({x}*p + 1, 2))" for x in ORD_FEATURES],
+    ),
+)
+def _svm_fit_mse_polynomial(spark, folder):
+    rows = orders(spark, folder)
+    model = fit_svm(rows, ORD_FEATURES, "y", 3, 0.05, loss=MSE, kernel=Polynomial(1.0, 2.0))
+    return _parameters(spark, model)
+
+
+def _row_gate_sql(row: int, x: str) -> str:
+    return f"CASE WHEN max(CASE WHEN rn = {row} THEN y - p END) > 0 THEN -avg({x}) ELSE 0 END"
+
+
+@query(
+    "linear_fit_hinge",
+    _epochs_sql(
+        ORD_SQL,
+        "ord",
+        ORD_FEATURES,
+        4,
+        0.1,
+        _ORD_SCORE,
+        _VIOLATED,
+        [f"(({_row_gate_sql(1, 'x0')}) + ({_row_gate_sql(2, 'x1')}))/2"] * 2,
+        _FIRST_ROW,
+    ),
+)
+def _linear_fit_hinge(spark, folder):
+    """Row i's margin gates feature i; the step is shared."""
+    rows = orders(spark, folder)
+    model = fit_linear(rows, ORD_FEATURES, "y", 4, 0.1, loss=HINGE, order_by=["o_orderkey"])
+    return _parameters(spark, model)
+
+
 @query(
     "svm_gradients",
     with_ctes(
