@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-DIGITS = 6
+SCALE = 1e6
 
 
 def query(name: str, sql: str):
@@ -27,13 +27,18 @@ def query(name: str, sql: str):
 
 
 def rounded(value: Column | str) -> Column:
-    """Rounded for comparison, because engines sum in different orders."""
+    """To six digits, because engines sum in different orders.
+
+    Halves go to even on the scaled double, which both engines compute alike
+    and Spark compiles (its ``round`` goes through decimals).
+    """
     column = F.col(value) if isinstance(value, str) else value
-    return F.round(column, DIGITS) + F.lit(0.0)
+    return F.rint(column * F.lit(SCALE)) / F.lit(SCALE) + F.lit(0.0)
 
 
 def rounded_sql(expression: str) -> str:
-    return f"round({expression}, {DIGITS}) + 0.0"
+    scale = number(SCALE)
+    return f"round_even(({expression}) * {scale}, 0) / {scale} + 0.0"
 
 
 def number(value: float) -> str:
