@@ -8,12 +8,10 @@ gives each its own.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from typing import Self
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +24,7 @@ from colfit.operators.stats import (
     column_means,
     require_columns,
 )
+from colfit.session import persisted
 
 SHARED = "shared"
 PER_FEATURE = "per_feature"
@@ -136,16 +135,6 @@ def null_count(model: GradientModel) -> Column:
     return F.count_if(any_null([*model.features, model.label]))
 
 
-@contextmanager
-def persisted(df: DataFrame) -> Iterator[DataFrame]:
-    """Kept in memory and on disk during the epochs; lost blocks are recomputed."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def descend(
     model: GradientModel,
     num_epochs: int,

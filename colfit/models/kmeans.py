@@ -13,7 +13,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +27,7 @@ from colfit.operators.stats import (
     number_min,
     require_columns,
 )
+from colfit.session import persisted
 
 EQUIDISTANT = "equidistant"
 RANDOM = "random"
@@ -199,15 +199,12 @@ class KMeans:
         )
         if not tolerance >= 0:
             raise ValueError(f"tolerance must be >= 0, got {tolerance}")
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with persisted(rows):
             model = self._initial(rows, tuple(features))
             for _ in range(rounds):
                 before, model = model, model.update(rows)
                 if converged(before.centroids, model.centroids, tolerance):
                     return model
-        finally:
-            rows.unpersist()
         if isinstance(self.end, Tol):
             raise RuntimeError(f"not within {tolerance} after {rounds} rounds")
         return model

@@ -11,13 +11,13 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colfit.functions.activations import Activation
 from colfit.functions.uniform import uniform_column
 from colfit.operators.stats import require_columns
+from colfit.session import persisted
 
 
 def layer_zeroes(spark: SparkSession, width: int) -> DataFrame:
@@ -109,12 +109,9 @@ def aligned(rows: DataFrame, layers: Sequence[DataFrame]) -> Iterator[DataFrame]
         for i, layer in enumerate(layers)
     ]
     joined = reduce(lambda a, b: a.join(b, "pos"), named, rows)
-    joined.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with persisted(joined):
         _check_aligned([rows, *named], joined)
         yield joined
-    finally:
-        joined.unpersist()
 
 
 def _check_aligned(tables: Sequence[DataFrame], joined: DataFrame) -> None:

@@ -25,7 +25,7 @@ from colfit.functions.losses import MSE, Hinge, Loss
 from colfit.functions.numeric import array_sum, bind, double_array
 from colfit.models.layers import activated, aligned, dots, stepped
 from colfit.operators.stats import require_columns
-from colfit.session import shared_folder
+from colfit.session import persisted, shared_folder
 
 
 @dataclass(frozen=True)
@@ -82,7 +82,7 @@ class ColumnNetwork:
 
     def fit(self, inputs: DataFrame, num_epochs: int, learning_rate: float) -> ColumnNetwork:
         """Inputs and layers are joined once; an epoch is one aggregate for each
-        layer, two for the gradients, and one write of the new parameters to the
+        layer, one for the gradients, and one write of the new parameters to the
         shared checkpoint folder, which keeps the plan from growing.
         """
         if num_epochs <= 0 or not self.layers:
@@ -132,31 +132,32 @@ class ColumnNetwork:
         self, state: DataFrame, learning_rate: float, output: str | None
     ) -> DataFrame:
         last = len(self.layers) - 1
-        x = F.col("value")
+        x, rate = F.col("value"), F.lit(float(learning_rate))
         raw = dots(state, [x * F.col(f"weight{i}") for i in range(max(last, 1))])
+        below = [
+            x if i == 0 else self._output(state, i - 1, raw[i - 1]) for i in range(last + 1)
+        ]
         out = F.col(output) if output else self._output(state, last, self._chain(state, raw[0]))
-        g = state.agg(self.loss_function.intercept_gradient(F.col("label"), out)).first()[0]
+
+        # Each layer's new weights are a + b*g in the output gradient g, so their
+        # sums, the bias shifts of the layers below, come from the pass that finds g.
+        a, b, sums = F.lit(0.0), F.lit(1.0), []
+        for i in range(last, 0, -1):
+            a = stepped(F.col(f"weight{i}"), below[i], a, learning_rate)
+            b = -(below[i] * b) * rate
+            sums += [F.sum(a), F.sum(b)]
+        gradient = self.loss_function.intercept_gradient(F.col("label"), out)
+        g, *sums = state.agg(gradient.alias("g"), *sums).first()
+        shifts = [a + b * g for a, b in zip(sums[::2], sums[1::2], strict=True)][::-1] + [g]
 
         weights: dict[int, Column] = {}
         down = F.lit(g)
         for i in range(last, -1, -1):
-            below = x if i == 0 else self._output(state, i - 1, raw[i - 1])
-            weights[i] = down = stepped(F.col(f"weight{i}"), below, down, learning_rate)
-        shifts = [*dots(state, [weights[i + 1] for i in range(last)])] if last else []
-        shifts.append(g)
-        return state.select(
-            *[c for c in state.columns if not c.startswith(("weight", "bias"))],
-            *[
-                new
-                for i in range(last + 1)
-                for new in (
-                    weights[i].alias(f"weight{i}"),
-                    (F.col(f"bias{i}") - F.lit(shifts[i]) * F.lit(float(learning_rate))).alias(
-                        f"bias{i}"
-                    ),
-                )
-            ],
-        )
+            weights[i] = down = stepped(F.col(f"weight{i}"), below[i], down, learning_rate)
+        updated = {f"weight{i}": w for i, w in weights.items()}
+        for i, shift in enumerate(shifts):
+            updated[f"bias{i}"] = F.col(f"bias{i}") - F.lit(shift) * rate
+        return state.withColumns(updated)
 
     def _from_state(self, state: DataFrame) -> ColumnNetwork:
         tables = tuple(
@@ -250,9 +251,11 @@ class Network:
         self, df: DataFrame, vector: str, label: str, num_epochs: int, learning_rate: float
     ) -> Network:
         """One aggregate per epoch; the parameters pass through the driver."""
+        require_columns(df, [vector, label])
         network = self
-        for _ in range(num_epochs):
-            network = network.backward(df, vector, label, learning_rate)
+        with persisted(df.select(*dict.fromkeys([vector, label]))) as rows:
+            for _ in range(num_epochs):
+                network = network.backward(rows, vector, label, learning_rate)
         return network
 
     def backward(

@@ -24,11 +24,11 @@ from colfit.models.gradient import (
     literal,
     margin,
     null_count,
-    persisted,
     starting_point,
     training_rows,
 )
 from colfit.operators.stats import check_counts, column_means, require_columns
+from colfit.session import persisted
 
 
 @dataclass(frozen=True)
