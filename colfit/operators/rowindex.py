@@ -4,16 +4,19 @@ Spark tables have no physical row order, so the operators that depend on row
 position take ``order_by``: columns that together are unique and not null.  No
 step sorts the table in one task.
 
-``split`` needs only the key at the cut, so it ends as a filter on the key that
-reaches the file scan.  For a single integer or float key the cut is found by
-narrowing percentiles without any shuffle; other keys use ``with_row_index``
-on the key columns alone.
+``split`` needs only the key at the cut, and ``select_rows`` the keys at its
+positions, so both end as filters on the key that reach the file scan.  For a
+single integer or float key, and few positions, the keys are found by narrowing
+percentiles without shuffling rows.  Otherwise the key columns alone are sorted
+as in ``with_row_index``.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +28,8 @@ from colfit.session import shared_folder
 
 # A window of keys this small is sorted and read directly.
 SORT_LIMIT = 10_000
+# Up to this many positions are looked up by narrowing.
+NARROW_ROWS = 16
 # Row lists up to this length are broadcast.
 BROADCAST_ROWS = 100_000
 # Relative rank error of percentile_approx is 1 / ACCURACY.
@@ -70,6 +75,11 @@ def select_rows(
         raise IndexError(f"row index {wanted[0]} is negative")
     if not wanted:
         return df.limit(0)
+    if len(wanted) <= NARROW_ROWS and _narrowable(df, keys):
+        rows = _count(df, keys)
+        _check_range(wanted, rows)
+        found = _narrow(df.select(_col(keys[0]).alias("k")), wanted, rows)
+        return df.filter(_col(keys[0]).isin(found))
     numbered, sizes = _numbered(df.select(*map(_col, keys)), keys)
     places = _places(sizes, wanted)
     spark = df.sparkSession
@@ -110,8 +120,8 @@ def key_at_rank(
 ) -> list[Column]:
     """The key values of the row at a 0-based rank, as literals."""
     types = [df.schema[k].dataType for k in keys]
-    if len(keys) == 1 and isinstance(types[0], _NARROWABLE):
-        values = [_narrow(df.select(_col(keys[0]).alias("k")), rank, rows)]
+    if _narrowable(df, keys):
+        values = _narrow(df.select(_col(keys[0]).alias("k")), [rank], rows)
     else:
         numbered, sizes = _numbered(df.select(*map(_col, keys)), keys)
         row = numbered.filter(F.col("__place") == _places(sizes, [rank])[0]).first()
@@ -119,45 +129,96 @@ def key_at_rank(
     return [F.lit(v).cast(t) for v, t in zip(values, types, strict=True)]
 
 
-def _narrow(keys: DataFrame, rank: int, rows: int) -> Any:
-    """The ``rank``-th smallest value of column ``k``, by shrinking windows.
+def _narrowable(df: DataFrame, keys: Sequence[str]) -> bool:
+    return len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _NARROWABLE)
+
+
+@dataclass(frozen=True)
+class _Window:
+    """A range of keys known to hold the key at a rank."""
+
+    inside: Column
+    least: Any
+    most: Any
+    size: int
+    offset: int  # the rank within the window
+
+
+def _narrow(keys: DataFrame, ranks: Sequence[int], rows: int) -> list:
+    """The values of column ``k`` at the given ranks, by shrinking windows.
 
     Each round reads only the key column: one pass for two approximate
-    percentiles around the rank, one to count exactly.  A round shrinks the
+    percentiles around each rank, one to count exactly.  A round shrinks a
     window about 2,500-fold.
     """
-    k = F.col("k")
     whole = isinstance(keys.schema["k"].dataType, T.IntegralType)
-    least, most = keys.agg(F.min(k), F.max(k)).first()
-    window, offset, size = keys, rank, rows
-    while size > SORT_LIMIT:
-        share = offset / size
-        margin = 2.0 / ACCURACY
-        shares = [max(share - margin, 0.0), min(share + margin, 1.0)]
+    least, most = keys.agg(F.min("k"), F.max("k")).first()
+    windows = [_Window(F.lit(True), least, most, rows, rank) for rank in ranks]
+    while any(w.size > SORT_LIMIT for w in windows):
+        wide = [w for w in windows if w.size > SORT_LIMIT]
+        table = keys.filter(reduce(lambda a, b: a | b, [w.inside for w in wide]))
+        bounds = _bounds(table, wide, whole)
+        shrunk = iter(_shrunk(table, wide, bounds))
+        windows = [next(shrunk) if w.size > SORT_LIMIT else w for w in windows]
+    return [_at_offset(keys.filter(w.inside), w.offset) for w in windows]
+
+
+def _bounds(table: DataFrame, windows: Sequence[_Window], whole: bool) -> list[list]:
+    """Keys a little below and above each window's rank."""
+    k, margin = F.col("k"), 2.0 / ACCURACY
+    decimal = "decimal(20,0)"
+    sketches: dict[tuple, list[int]] = {}
+    for i, w in enumerate(windows):  # windows with the same range share a sketch
+        sketches.setdefault((w.least, w.most, w.size), []).append(i)
+    columns = []
+    for group in sketches.values():
+        first = windows[group[0]]
         # Percentiles are computed in doubles, so large integers are taken
         # relative to the start of the window.
-        wide = "decimal(20,0)"
-        scaled = (k.cast(wide) - F.lit(least).cast(wide)).cast("double") if whole else k
-        bounds = window.agg(F.percentile_approx(scaled, shares, ACCURACY)).first()[0]
-        if whole:
-            bounds = [min(least + int(b), most) for b in bounds]
-        low, high = (F.lit(b) for b in bounds)
-        below, inside = window.agg(
-            F.count_if(k < low), F.count_if((k >= low) & (k <= high))
-        ).first()
-        if offset < below:
-            window, new_size, most = window.filter(k < low), below, bounds[0]
-        elif offset < below + inside:
-            window = window.filter((k >= low) & (k <= high))
-            new_size, offset = inside, offset - below
-            least, most = bounds
+        start = F.lit(first.least).cast(decimal)
+        value = (k.cast(decimal) - start).cast("double") if whole else k
+        ranks = [windows[i].offset / first.size for i in group]
+        shares = [min(max(r + side, 0.0), 1.0) for r in ranks for side in (-margin, margin)]
+        sketch = F.percentile_approx(F.when(first.inside, value), shares, ACCURACY)
+        columns.append(sketch.alias(f"p{len(columns)}"))
+    found = [[]] * len(windows)
+    for group, values in zip(sketches.values(), table.agg(*columns).first(), strict=True):
+        for j, i in enumerate(group):
+            w, pair = windows[i], values[2 * j : 2 * j + 2]
+            found[i] = [min(w.least + int(v), w.most) for v in pair] if whole else pair
+    return found
+
+
+def _shrunk(
+    table: DataFrame, windows: Sequence[_Window], bounds: Sequence[Sequence]
+) -> list[_Window]:
+    """The part of each window, below, between or above its bounds, that holds its rank."""
+    k = F.col("k")
+    columns = []
+    for i, (w, (low, high)) in enumerate(zip(windows, bounds, strict=True)):
+        columns.append(F.count_if(w.inside & (k < F.lit(low))).alias(f"below{i}"))
+        between = w.inside & (k >= F.lit(low)) & (k <= F.lit(high))
+        columns.append(F.count_if(between).alias(f"between{i}"))
+    counts = list(table.agg(*columns).first())
+    result = []
+    for i, (w, (low, high)) in enumerate(zip(windows, bounds, strict=True)):
+        below, between = counts[2 * i : 2 * i + 2]
+        if w.offset < below:
+            new = _Window(w.inside & (k < F.lit(low)), w.least, low, below, w.offset)
+        elif w.offset < below + between:
+            inside = w.inside & (k >= F.lit(low)) & (k <= F.lit(high))
+            new = _Window(inside, low, high, between, w.offset - below)
         else:
-            window, least = window.filter(k > high), bounds[1]
-            new_size, offset = size - below - inside, offset - below - inside
-        if new_size >= size:
+            size, offset = w.size - below - between, w.offset - below - between
+            new = _Window(w.inside & (k > F.lit(high)), high, w.most, size, offset)
+        if new.size >= w.size:
             raise ValueError("the row key is not unique")
-        size = new_size
-    # Neighbours are read too: a repeated key at the cut would split wrongly.
+        result.append(new)
+    return result
+
+
+def _at_offset(window: DataFrame, offset: int) -> Any:
+    # Neighbours are read too: a repeated key at the rank would be ambiguous.
     start = max(offset - 1, 0)
     near = [row["k"] for row in window.orderBy("k").offset(start).limit(3).collect()]
     if len(set(near)) != len(near):
@@ -192,9 +253,7 @@ def _starts(sizes: dict[int, int]) -> dict[int, int]:
 
 def _places(sizes: dict[int, int], wanted: Sequence[int]) -> list[int]:
     """Packed partition and position of each wanted (sorted) row position."""
-    rows = sum(sizes.values())
-    if wanted[-1] >= rows:
-        raise IndexError(f"row index {wanted[-1]} out of range for {rows} rows")
+    _check_range(wanted, sum(sizes.values()))
     places, parts = [], iter(_starts(sizes).items())
     part, start = next(parts)
     for index in wanted:
@@ -204,6 +263,11 @@ def _places(sizes: dict[int, int], wanted: Sequence[int]) -> list[int]:
     return places
 
 
+def _check_range(wanted: Sequence[int], rows: int) -> None:
+    if wanted[-1] >= rows:
+        raise IndexError(f"row index {wanted[-1]} out of range for {rows} rows")
+
+
 def _count(df: DataFrame, keys: Sequence[str]) -> int:
     rows, nulls = df.agg(F.count("*"), F.count_if(_has_null(keys))).first()
     if nulls:

@@ -117,6 +117,29 @@ def test_select_rows_many(shuffled, monkeypatch, limit):
     assert sorted(r["rank"] for r in rows) == [float(i) for i in wanted]
 
 
+@pytest.mark.parametrize("key", [lambda i: i, lambda i: i**3, lambda i: 2**60 + i])
+def test_select_rows_by_narrowing(shuffled, monkeypatch, key):
+    monkeypatch.setattr(rowindex, "SORT_LIMIT", 20)
+    wanted = [0, 1, 17, 1500, 1501, 2998, 2999]
+    rows = select_rows(shuffled(3000, key), wanted, "k").collect()
+    assert sorted(r["rank"] for r in rows) == [float(i) for i in wanted]
+
+
+def test_select_rows_by_float_key(spark, monkeypatch):
+    monkeypatch.setattr(rowindex, "SORT_LIMIT", 20)
+    keys = [random.Random(i).uniform(-5, 5) for i in range(800)]
+    df = spark.createDataFrame([(k,) for k in keys], "k double").repartition(3)
+    rows = select_rows(df, [0, 400, 799], "k").collect()
+    assert sorted(r["k"] for r in rows) == [sorted(keys)[i] for i in (0, 400, 799)]
+
+
+def test_select_rows_by_string_key(spark):
+    rows = [(f"{i:03d}", float(i)) for i in range(100)]
+    random.Random(8).shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, rank double")
+    assert sorted(r["rank"] for r in select_rows(df, [3, 99, 3], "k").collect()) == [3.0, 99.0]
+
+
 @pytest.mark.parametrize("bad", [5, -1])
 def test_select_rows_out_of_range(table, bad):
     with pytest.raises(IndexError):
