@@ -96,18 +96,20 @@ HINGE = Hinge()
 def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> list:
     """The first ``n`` rows by a unique key; ``n`` is at most the feature count.
 
-    Spark keeps the ``n + 1`` smallest rows of each partition, not a full sort.
+    Spark keeps the ``n + 1`` smallest keys of each partition, reading only the
+    key columns; the rows are then read with a filter on the key.
     """
     if not order_by:
         raise ValueError("the hinge gradient needs order_by, a unique row key")
     keys = [F.col(f"`{k}`") for k in order_by]
-    head = df.orderBy(*keys).limit(n + 1).collect()
-    seen = [tuple(row[k] for k in order_by) for row in head]
-    if any(part is None for key in seen for part in key):
+    head = [tuple(row) for row in df.select(*keys).orderBy(*keys).limit(n + 1).collect()]
+    if any(part is None for key in head for part in key):
         raise ValueError(f"key {list(order_by)} has nulls")
-    if len(set(seen)) != len(seen):
+    if len(set(head)) != len(head):
         raise ValueError(f"key {list(order_by)} is not unique")
-    return head[:n]
+    if not head:
+        return []
+    return df.filter(keys[0] <= F.lit(head[-1][0])).orderBy(*keys).limit(n).collect()
 
 
 def hinge_gates(

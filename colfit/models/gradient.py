@@ -131,6 +131,11 @@ def training_rows(
     return rows.dropna(subset=list(inputs)) if handle_invalid == "skip" else rows
 
 
+def without_keys(rows: DataFrame, model: GradientModel) -> DataFrame:
+    """The columns an epoch reads."""
+    return rows.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*model.features, model.label])])
+
+
 def null_count(model: GradientModel) -> Column:
     return F.count_if(any_null([*model.features, model.label]))
 
@@ -221,13 +226,12 @@ def _fit_gated(
     gradient: str,
 ) -> GradientModel:
     """Hinge loss: feature means are constant, the first rows open or close them."""
-    k = len(model.features)
     y = double(model.label)
     loss = model.loss_function
-    with persisted(rows):
+    head = first_rows(rows, order_by, len(model.features))
+    with persisted(without_keys(rows, model)) as rows:
         check_counts(*rows.agg(F.count("*"), null_count(model)).first())
         means = column_means(rows, [double(f) for f in model.features])
-        head = first_rows(rows, order_by, k)
 
         def step(current: GradientModel):
             summed = current.activation.column_total(rows, current.score)

@@ -26,6 +26,7 @@ from colfit.models.gradient import (
     null_count,
     starting_point,
     training_rows,
+    without_keys,
 )
 from colfit.operators.stats import check_counts, column_means, require_columns
 from colfit.session import persisted
@@ -100,9 +101,9 @@ def fit_svm(
     zeros = SVMModel(features, label, 0.0, (0.0,) * len(features), loss, activation, kernel)
     model = starting_point(zeros, warm_start)
     rows = training_rows(df, model, order_by, handle_invalid)
-    with persisted(rows):
+    head = first_rows(rows, order_by, 1) if loss.gated else []
+    with persisted(without_keys(rows, model)) as rows:
         check_counts(*rows.agg(F.count("*"), null_count(model)).first())
-        head = first_rows(rows, order_by, 1) if loss.gated else []
         constant = None
         if loss.gated and isinstance(kernel, kernels.Identity):
             constant = column_means(rows, [double(f) for f in features])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from colfit.functions.activations import ACTIVATED, GRADIENTS, SOFTMAX
 from colfit.functions.numeric import double, ratio, total
 from colfit.operators.stats import require_columns
+from colfit.session import persisted, shared_folder
 
 # Group totals are broadcast up to this many groups.
 BROADCAST_GROUPS = 10_000
@@ -42,13 +43,18 @@ def softmax(
     def scored(joined: DataFrame) -> DataFrame:
         return joined.withColumn(column, SOFTMAX.activate(x, F.col("__total"))).drop(*helpers)
 
-    few = totals.limit(BROADCAST_GROUPS + 1).collect()
-    if len(few) <= BROADCAST_GROUPS:
-        small = df.sparkSession.createDataFrame(few, totals.schema)
-        return scored(df.join(F.broadcast(small), same))
-
-    large = totals.filter(F.col("__rows") > df.count() / BROADCAST_GROUPS).collect()
-    hot = F.broadcast(df.sparkSession.createDataFrame(large, totals.schema))
+    spark = df.sparkSession
+    with persisted(totals):
+        few = totals.limit(BROADCAST_GROUPS + 1).collect()
+        if len(few) <= BROADCAST_GROUPS:
+            small = spark.createDataFrame(few, totals.schema)
+            return scored(df.join(F.broadcast(small), same))
+        shared_folder(spark)
+        totals = totals.checkpoint()
+
+    rows = totals.agg(F.sum("__rows")).first()[0]
+    large = totals.filter(F.col("__rows") > rows / BROADCAST_GROUPS).collect()
+    hot = F.broadcast(spark.createDataFrame(large, totals.schema))
     rest = df.join(hot, same, "left_anti").join(totals, same)
     return scored(df.join(hot, same)).unionByName(scored(rest))
 
