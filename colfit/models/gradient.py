@@ -136,8 +136,14 @@ def without_keys(rows: DataFrame, model: GradientModel) -> DataFrame:
     return rows.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*model.features, model.label])])
 
 
-def null_count(model: GradientModel) -> Column:
-    return F.count_if(any_null([*model.features, model.label]))
+def checked_means(
+    rows: DataFrame, model: GradientModel, columns: Sequence[Column]
+) -> list[float]:
+    """Averages of the columns; raises on nulls and on no rows, in the same pass."""
+    missing = any_null([*model.features, model.label]).cast("double")
+    *means, nulls = column_means(rows, [*columns, missing])
+    check_counts(nulls is not None, nulls)
+    return means
 
 
 def descend(
@@ -174,7 +180,7 @@ def fit_by_epochs(
         return _fit_shared(model, rows, num_epochs, learning_rate)
     y = double(model.label)
     with persisted(rows):
-        check_counts(*rows.agg(F.count("*"), null_count(model)).first())
+        checked_means(rows, model, [])
 
         def step(current: GradientModel):
             p = current.activation.over_column(rows, current.score)
@@ -230,8 +236,7 @@ def _fit_gated(
     loss = model.loss_function
     head = first_rows(rows, order_by, len(model.features))
     with persisted(without_keys(rows, model)) as rows:
-        check_counts(*rows.agg(F.count("*"), null_count(model)).first())
-        means = column_means(rows, [double(f) for f in model.features])
+        means = checked_means(rows, model, [double(f) for f in model.features])
 
         def step(current: GradientModel):
             summed = current.activation.column_total(rows, current.score)

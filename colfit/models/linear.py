@@ -10,17 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colfit.functions.losses import MSE, Loss, MeanSquaredError
-from colfit.functions.numeric import any_null, double, total, weighted
+from colfit.functions.numeric import double, total, weighted
 from colfit.models.gradient import (
     SHARED,
     GradientModel,
     check_gradient,
+    checked_means,
     fit_by_epochs,
-    null_count,
     starting_point,
     training_rows,
 )
-from colfit.operators.stats import check_counts, column_means, require_columns
+from colfit.operators.stats import require_columns
 
 # Per-feature training keeps a matrix of this many features squared on the driver.
 MAX_MOMENT_FEATURES = 200
@@ -84,16 +84,13 @@ def fit_linear(
 def _fit_shared_moments(model, df, num_epochs, learning_rate, handle_invalid) -> LinearModel:
     """All coefficients move by one number ``t``: a regression on ``sum(x)``.
 
-    Six aggregates, however many features.
+    Five averages, however many features.
     """
     rows = training_rows(df, model, (), handle_invalid)
     k = len(model.features)
     x = total(model.features)
     r = double(model.label) - weighted(0.0, model.coefficients, model.features)
-    n, nulls, mx, mr, mxx, mrx = rows.agg(
-        F.count("*"), null_count(model), F.avg(x), F.avg(r), F.avg(x * x), F.avg(r * x)
-    ).first()
-    check_counts(n, nulls)
+    mx, mr, mxx, mrx = checked_means(rows, model, [x, r, x * x, r * x])
     intercept, t = model.intercept, 0.0
     for _ in range(num_epochs):
         g0 = -2.0 * (mr - intercept - t * mx)
@@ -110,11 +107,7 @@ def _fit_moments(model, df, num_epochs, learning_rate, handle_invalid) -> Linear
     v = [F.lit(1.0), *[double(f) for f in model.features]]
     y = double(model.label)
     pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
-    missing = any_null([*model.features, model.label]).cast("double")
-    *means, nulls = column_means(
-        rows, [*[v[i] * v[j] for i, j in pairs], *[c * y for c in v], missing]
-    )
-    check_counts(nulls is not None, nulls)
+    means = checked_means(rows, model, [*[v[i] * v[j] for i, j in pairs], *[c * y for c in v]])
     xx = np.zeros((k + 1, k + 1))
     for (i, j), m in zip(pairs, means, strict=False):
         xx[i, j] = xx[j, i] = m

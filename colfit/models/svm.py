@@ -20,15 +20,15 @@ from colfit.functions.losses import HINGE, Loss, first_rows
 from colfit.functions.numeric import double
 from colfit.models.gradient import (
     GradientModel,
+    checked_means,
     descend,
     literal,
     margin,
-    null_count,
     starting_point,
     training_rows,
     without_keys,
 )
-from colfit.operators.stats import check_counts, column_means, require_columns
+from colfit.operators.stats import column_means, require_columns
 from colfit.session import persisted
 
 
@@ -55,11 +55,11 @@ class SVMModel(GradientModel):
         """Intercept and coefficient gradients at the current parameters."""
         rows = training_rows(df, self, order_by, "error")
         head = first_rows(rows, order_by, 1) if self.loss_function.gated else []
-        g0, g = self._gradients(rows, head, None)
+        g0, g = self._gradients(rows, head, [])
         return g0, tuple(g)
 
     def _gradients(
-        self, rows: DataFrame, head: list, constant: list[float] | None
+        self, rows: DataFrame, head: list, constant: Sequence[float]
     ) -> tuple[float, list[float]]:
         """One aggregate; ``constant`` holds kernel means that never change."""
         loss, y = self.loss_function, double(self.label)
@@ -67,7 +67,7 @@ class SVMModel(GradientModel):
         p = self.activation.activate(self.score, literal(summed))
         shut = loss.gated and not (head and margin(self, head[0], summed) > 0)
         terms = []
-        if not shut and constant is None:
+        if not shut and not constant:
             kernel = [self.kernel.apply(double(f), p) for f in self.features]
             terms = [loss.feature_term(x, y, p) for x in kernel]
         means = column_means(rows, [loss.intercept_term(y, p), *terms])
@@ -103,10 +103,8 @@ def fit_svm(
     rows = training_rows(df, model, order_by, handle_invalid)
     head = first_rows(rows, order_by, 1) if loss.gated else []
     with persisted(without_keys(rows, model)) as rows:
-        check_counts(*rows.agg(F.count("*"), null_count(model)).first())
-        constant = None
-        if loss.gated and isinstance(kernel, kernels.Identity):
-            constant = column_means(rows, [double(f) for f in features])
+        fixed = loss.gated and isinstance(kernel, kernels.Identity)
+        means = checked_means(rows, model, [double(f) for f in features] if fixed else [])
         return descend(
-            model, num_epochs, learning_rate, lambda m: m._gradients(rows, head, constant)
+            model, num_epochs, learning_rate, lambda m: m._gradients(rows, head, means)
         )

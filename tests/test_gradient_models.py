@@ -159,7 +159,8 @@ def test_linear_gradients_and_loss(data):
     assert g0 == approx(-2 * mean(y - q for y, q in zip(Y, p, strict=True)))
     assert list(shared) == approx([mean(each)] * 3)
     assert list(model.gradients(df, gradient=PER_FEATURE)[1]) == approx(each)
-    assert model.loss(df).first()[0] == approx(mean((y - q) ** 2 for y, q in zip(Y, p, strict=True)))
+    squares = [(y - q) ** 2 for y, q in zip(Y, p, strict=True)]
+    assert model.loss(df).first()[0] == approx(mean(squares))
 
 
 # ---- logistic -------------------------------------------------------------
@@ -191,7 +192,7 @@ def test_logistic_warm_start_continues(data):
         ([[1, 2, 3]], [0, 1, 1], 1000, 0.1, -6.001733256, 4.144661627, 1, 0.081122577),
         ([[1, 3, 2]] * 2, [1, 0, 1], 10000, 0.01, 8.367237186, -1.711906576, 1, 0.114603388),
         ([[1, 2, 3, 4, 5]], [0, 1, 1, 0, 1], 10000, 0.01, -0.87418542, 0.439272524, 0.8, None),
-        ([[1, 3, 2, 4, 5]] * 2, [1, 0, 1, 0, 1], 10000, 0.01, 1.759688178, -0.219431984, 0.4, None),
+        ([[1, 3, 2, 4, 5]] * 2, [1, 0, 1, 0, 1], 10**4, 0.01, 1.759688178, -0.219431984, 0.4, None),
     ],
 )
 def test_logistic_goldens(data, xs, y, epochs, rate, intercept, weight, accuracy, loss):
@@ -229,8 +230,9 @@ def test_svm_equals_loop(data, kernel, function, loss, name):
     df, names = data(X, Y)
     for activation, act in ((IDENTITY, lambda v: v), (SIGMOID, sig)):
         model = fit_svm(
-            df, names, "target", 4, 0.03, ["row_id"], loss=loss, kernel=kernel, activation=activation
-        )
+            df, names, "target", 4, 0.03, ["row_id"],
+            loss=loss, kernel=kernel, activation=activation,
+        )
         same(model, loop(X, Y, 4, 0.03, act, name, kernel=function))
 
 
