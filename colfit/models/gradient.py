@@ -76,7 +76,7 @@ class GradientModel:
         xs = [double(f) for f in self.features]
         loss = self.loss_function
         terms = [loss.feature_term(x, y, p) for x in xs]
-        means = column_means(df, [loss.intercept_term(y, p), *terms])
+        means = checked_means(df, self, [loss.intercept_term(y, p), *terms])
         gates = hinge_gates(df, y, p, order_by, len(xs)) if loss.gated else [True] * len(xs)
         each = gated([loss.feature_scale * m for m in means[1:]], gates, gradient)
         return loss.intercept_scale * means[0], tuple(each)

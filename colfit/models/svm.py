@@ -28,7 +28,7 @@ from colfit.models.gradient import (
     training_rows,
     without_keys,
 )
-from colfit.operators.stats import column_means, require_columns
+from colfit.operators.stats import check_counts, column_means, require_columns
 from colfit.session import persisted
 
 
@@ -71,6 +71,7 @@ class SVMModel(GradientModel):
             kernel = [self.kernel.apply(double(f), p) for f in self.features]
             terms = [loss.feature_term(x, y, p) for x in kernel]
         means = column_means(rows, [loss.intercept_term(y, p), *terms])
+        check_counts(means[0] is not None, 0)
         if shut:
             each = [0.0] * len(self.features)
         else:

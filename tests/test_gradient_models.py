@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 from colfit.functions import kernels
 from colfit.functions.activations import IDENTITY, SIGMOID, SOFTMAX
 from colfit.functions.losses import BCE, HINGE, MSE
-from colfit.models import LinearModel, LogisticModel, classify, fit_linear, fit_logistic, fit_svm
+from colfit.models import (
+    LinearModel,
+    LogisticModel,
+    SVMModel,
+    classify,
+    fit_linear,
+    fit_logistic,
+    fit_svm,
+)
 from colfit.models.gradient import PER_FEATURE
 from colfit.operators import stats
 
@@ -326,6 +334,13 @@ def test_no_rows_and_missing_columns(data, fit):
         fit(df.drop("target"))
 
 
+@pytest.mark.parametrize("kind", [LinearModel, LogisticModel, SVMModel])
+def test_gradients_of_no_rows(data, kind):
+    df, names = data([[]], [])
+    with pytest.raises(ValueError, match="no rows"):
+        kind(tuple(names), "target", 0.0, (0.0,)).gradients(df, ["row_id"])
+
+
 def test_predict_null_and_integers(spark):
     df = spark.createDataFrame([(1, 1), (2, None)], "row_id int, f0 int")
     model = LinearModel(("f0",), "target", 0.5, (2.5,))
