@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -28,6 +30,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+PACKAGE = "colfit-package.zip"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run on executors are pickled by module name, so the workers must
+    be able to import the package whatever their folder and path.
+    """
+    context = spark.sparkContext
+    if any(f.endswith(PACKAGE) for f in context.listFiles):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="colfit-"), PACKAGE)
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(top)))
+    context.addPyFile(archive)
+
+
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
     """Kept in memory and on disk within the block; lost blocks are recomputed."""

