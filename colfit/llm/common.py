@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colfit.session import shared_folder, ship_package
 
@@ -49,7 +50,7 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "i
 def map_batches(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
+    schema: str | T.StructType,
 ) -> DataFrame:
     """``mapInArrow`` on workers that have this package."""
     ship_package(df.sparkSession)

@@ -4,11 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colfit.llm import exactdup, mixing, sharding, simhash
-from colfit.llm.common import remainder_of, table
+from colfit.llm import (
+    eftrie,
+    exactdup,
+    htmltree,
+    langcodes,
+    mixing,
+    packing,
+    prefixcounts,
+    sharding,
+    simhash,
+    subspace,
+)
+from colfit.llm.common import table
+
+#: Tokenizer files; they stand in the same place on every worker.
+PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+COUNTING_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,3 +84,38 @@ def differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op2_trie_scores")
+def trie_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return eftrie.learn_and_score(table(spark, folder, "documents"))
+
+
+@query("op4_subspace_vectors")
+def subspace_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return subspace.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op6_language_codes")
+def language_codes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return langcodes.identify(docs).select("doc.doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query("op7_lexical_packing")
+def lexical_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), PACKING_TOKENIZER)
+
+
+@query("op9_prefix_counts")
+def prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counts = prefixcounts.prefix_counts(table(spark, folder, "documents"), COUNTING_TOKENIZER)
+    return counts.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > prefixcounts.LIMIT).alias("over_limit")
+    )
+
+
+@query("op10_tree_pages")
+def tree_pages(spark: SparkSession, folder: str) -> DataFrame:
+    texts = htmltree.main_texts(table(spark, folder, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))

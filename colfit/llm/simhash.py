@@ -141,7 +141,7 @@ def _placed(distinct: DataFrame) -> DataFrame:
     return map_batches(distinct.select("fp"), place, "anchor bigint, home boolean, fp bigint")
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges that join the same values as the pairs do, at most one per value."""
     values, index = np.unique(np.concatenate((a, b)), return_inverse=True)
     left, right = index[: len(a)], index[len(a) :]
@@ -180,12 +180,12 @@ def _links(unit: np.ndarray, home: np.ndarray, fp: np.ndarray) -> tuple[np.ndarr
         x, y = fp[left], fp[right]
         near = (x != y) & (np.bitwise_count(x ^ y) <= MOST_BITS)
         if near.any():
-            found.append(_forest(x[near].view(np.int64), y[near].view(np.int64)))
+            found.append(forest(x[near].view(np.int64), y[near].view(np.int64)))
         at = to
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-    return _forest(a, b) if len(found) > 1 else (a, b)
+    return forest(a, b) if len(found) > 1 else (a, b)
 
 
 def links(distinct: DataFrame) -> DataFrame:
