@@ -81,7 +81,7 @@ def codewords(n: int) -> np.ndarray:
         if abs(int(column.sum())) < n:
             column = column * column[0]  # a column and its negative ask the same
             useful.setdefault(column.tobytes(), column)
-    return np.array(list(useful.values()), np.int8).T.reshape(n, -1)
+    return np.array(list(useful.values()), np.int8).reshape(len(useful), n).T
 
 
 class Model:
@@ -97,7 +97,7 @@ class Model:
             # Languages count alike, however much text each has.
             ones, zeros = share[bit > 0].mean(axis=0), share[bit < 0].mean(axis=0)
             weights.append(np.log(ones) - np.log(zeros))
-        self.weights = np.array(weights).reshape(len(weights), -1).T.astype(np.float64)
+        self.weights = np.array(weights).reshape(len(weights), 1 << BUCKET_BITS).T
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score and whether it is ambiguous."""
