@@ -30,11 +30,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame
@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from colfit.llm.common import cut, map_batches, remainder_of
 from colfit.llm.monotone import MonotoneSequence
+from colfit.llm.words import hashes, slices, split
 from colfit.session import shared_folder
 
 FOLDS = 10
@@ -56,12 +57,10 @@ SHARD_WORDS = 4_000_000
 MERGED_TOKENS = 3_000_000
 #: Tokens looked up at once.
 TOKENS_AT_ONCE = 1 << 16
-#: Words whose ids a worker remembers; when there are more it starts afresh.
-MOST_WORDS = 500_000
 #: One byte stores a base-10 logarithm from 0 down to this.
 LOWEST_LOG = -10.0
-#: Stands for the end of a text; no word can be this, words have no blank.
-END = b" "
+#: Stands for the end of a text among the hashes of words.
+END = np.uint64(0xD1B54A32D192ED03)
 
 
 class Sizes(NamedTuple):
@@ -83,16 +82,11 @@ def _value(code: np.ndarray) -> np.ndarray:
     return code * (LOWEST_LOG / 255)
 
 
-def tokens(text: str | None) -> list[bytes]:
-    words = (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
-    words.append(END)
-    return words
-
-
-def word_hash(word: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(word, 7)
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the texts' lower-cased words and ends, and each text's number of them."""
+    words = split(texts, lower=True)
+    ended = np.insert(hashes(words), words.before[1:], END)
+    return ended, np.diff(words.before) + 1
 
 
 class Files:
@@ -161,36 +155,24 @@ class Vocabulary:
         self.counts = [files.load(f"words-{i}", "count") for i in range(len(sizes.words))]
         self.starts = np.concatenate(([0], np.cumsum(sizes.words))).astype(np.int64)
         self.size = int(self.starts[-1])
-        self.shift = np.uint64(64 - (len(sizes.words) - 1).bit_length())
         self.unknown = self.size + 1
         self.begin = self.size
-        self.known: dict[bytes, int] = {}
 
-    def _lookup(self, words: list[bytes]) -> list[int]:
-        hashes = np.array([word_hash(w) for w in words], np.uint64)
-        shard = _shard_of_hash(hashes, len(self.hashes))
-        ids = np.full(len(words), self.unknown, np.int64)
+    def ids(self, asked: np.ndarray) -> np.ndarray:
+        """Ids of hashes; each distinct one is looked up once."""
+        codes, distinct = pd.factorize(asked)
+        shard = _shard_of_hash(distinct, len(self.hashes))
+        ids = np.full(len(distinct), self.unknown, np.int64)
         for k in np.unique(shard).tolist():
             mine = np.flatnonzero(shard == k)
             table = self.hashes[k]
             if not len(table):
                 continue
-            at = np.minimum(np.searchsorted(table, hashes[mine]), len(table) - 1)
-            hit = table[at] == hashes[mine]
-            ids[mine[hit]] = self.starts[k] + at[hit]
-        return ids.tolist()
-
-    def ids(self, words: list[bytes]) -> list[int]:
-        known = self.known
-        found = list(map(known.get, words))
-        if None in found:
-            if len(known) > MOST_WORDS:
-                known.clear()
-                found = [None] * len(words)
-            missing = list({w for w, i in zip(words, found, strict=True) if i is None})
-            known.update(zip(missing, self._lookup(missing), strict=True))
-            found = [known[w] for w in words]
-        return found
+            order = mine[np.argsort(distinct[mine])]  # neighbours are found together
+            at = np.minimum(np.searchsorted(table, distinct[order]), len(table) - 1)
+            hit = table[at] == distinct[order]
+            ids[order[hit]] = self.starts[k] + at[hit]
+        return ids[codes]
 
     def count(self, ids: np.ndarray) -> np.ndarray:
         """Training occurrences; none for an unknown word."""
@@ -210,21 +192,20 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """``hash, count`` of all tokens, as signed numbers."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
         def flush() -> pa.RecordBatch:
-            hashes = np.array([word_hash(w) for w in seen], np.uint64).view(np.int64)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(hashes), pa.array(list(seen.values()), pa.int64())], ["hash", "count"]
-            )
-            seen.clear()
-            return out
+            keys, counts = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["hash", "count"])
 
-        seen: Counter = Counter()
         for batch in batches:
-            for text in batch.column("text"):
-                seen.update(tokens(text.as_py()))
-                if len(seen) > MOST_WORDS:
+            for part in slices(batch.column("text")):
+                codes, distinct = pd.factorize(tokens(part)[0])
+                held.append((distinct, np.bincount(codes, minlength=len(distinct))))
+                if sum(len(h[0]) for h in held) > MERGED_TOKENS:
                     yield flush()
-        if seen:
+        if held:
             yield flush()
 
     counted = map_batches(texts.select("text"), count, "hash bigint, count bigint")
@@ -359,17 +340,16 @@ def token_ids(batches: Iterator[pa.RecordBatch], known: Vocabulary) -> Iterator[
     A part ends with a text; a text longer than a part is a part of its own.
     """
     for batch in batches:
-        ids: list[int] = []
-        lengths: list[int] = []
-        for text in batch.column("text"):
-            words = tokens(text.as_py())
-            ids += known.ids(words)
-            lengths.append(len(words))
-            if len(ids) >= TOKENS_AT_ONCE:
-                yield np.array(ids, np.int64), np.array(lengths, np.int64)
-                ids, lengths = [], []
-        if lengths:
-            yield np.array(ids, np.int64), np.array(lengths, np.int64)
+        for part in slices(batch.column("text")):
+            found, lengths = tokens(part)
+            ids = known.ids(found)
+            ends = np.cumsum(lengths)
+            at = 0
+            while at < len(lengths):
+                base = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, base + TOKENS_AT_ONCE, "right")))
+                yield ids[base : ends[to - 1]], lengths[at:to]
+                at = to
 
 
 class Trie:
@@ -379,7 +359,7 @@ class Trie:
         self.sizes = sizes
         self.vocabulary = vocabulary(sizes)
         self.v = np.int64(self.vocabulary.size)
-        self.end = self.vocabulary.ids([END])[0]
+        self.end = int(self.vocabulary.ids(np.array([END]))[0])
         files = self.files = Files(sizes.folder)
         shards = range(len(sizes.bigrams))
         self.bigrams = [files.load_sequence(f"bigrams-{k}") for k in shards]
