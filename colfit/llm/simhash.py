@@ -12,6 +12,10 @@ fingerprints are compared per anchor, home against replica, over all 64 bits.
 Equal fingerprints are one from the start.  Inside a task the pairs found are reduced
 to a spanning forest, so a group of near copies never yields all its pairs.
 
+``near_groups`` links by the fingerprint alone.  ``keep_one`` answers a question about
+shingles, which documents share at least 0.8 of their five-word shingles: fingerprints,
+of shingles and of sets of words, find the candidates, and the shingles decide.
+
 Results by case: a null or empty text, or one of white space, has fingerprint zero,
 which links like any other; rows that repeat an id give one row each; an empty table
 gives no rows.
@@ -32,7 +36,7 @@ from colfit.llm.components import components
 SHINGLE_WORDS = 4
 SEED = 42
 MOST_BITS = 4
-#: Lowest bit and width of the blocks; four differing bits leave one with at most one.
+#: Lowest bit and width of the blocks; five differing bits leave one with at most one.
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 #: Length of the Hamming code on a block's low bits.
 CODE_BITS = 15
@@ -119,26 +123,30 @@ def anchors_within_two(block: np.ndarray, width: int) -> tuple[np.ndarray, np.nd
 
 
 def _placed(distinct: DataFrame) -> DataFrame:
-    """``anchor, home, fp``: each fingerprint at its anchors, the block number in the anchor."""
+    """``anchor, home, fp`` of ``distinct(fp, view)``: each fingerprint at its anchors.
+
+    The anchor carries block and view, so only blocks of the same kind meet.
+    """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("fp").to_numpy().view(np.uint64)
+            views = batch.column("view").to_numpy().astype(np.int64)
             for at in range(0, len(values), 20_000):
-                part = values[at : at + 20_000]
+                part, view = values[at : at + 20_000], views[at : at + 20_000]
                 for number, (low, width) in enumerate(BLOCKS):
                     block = ((part >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64)
                     index, anchor, home = anchors_within_two(block, width)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(anchor | (number << 32)),
+                            pa.array(anchor | (number << 32) | (view[index] << 40)),
                             pa.array(home),
                             pa.array(part[index].view(np.int64)),
                         ],
                         ["anchor", "home", "fp"],
                     )
 
-    return map_batches(distinct.select("fp"), place, "anchor bigint, home boolean, fp bigint")
+    return map_batches(distinct.select("fp", F.col("view").cast("int").alias("view")), place, "anchor bigint, home boolean, fp bigint")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +168,9 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[apart], values[label[apart]]
 
 
-def _links(unit: np.ndarray, home: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _links(
+    unit: np.ndarray, home: np.ndarray, fp: np.ndarray, bits: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs, as a forest, of rows sorted by unit."""
     starts = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1])))
     group = np.repeat(np.arange(len(starts)), np.diff(np.concatenate((starts, [len(unit)]))))
@@ -178,7 +188,7 @@ def _links(unit: np.ndarray, home: np.ndarray, fp: np.ndarray) -> tuple[np.ndarr
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         right = starts[group[left]] + offset
         x, y = fp[left], fp[right]
-        near = (x != y) & (np.bitwise_count(x ^ y) <= MOST_BITS)
+        near = (x != y) & (np.bitwise_count(x ^ y) <= bits)
         if near.any():
             found.append(forest(x[near].view(np.int64), y[near].view(np.int64)))
         at = to
@@ -188,10 +198,11 @@ def _links(unit: np.ndarray, home: np.ndarray, fp: np.ndarray) -> tuple[np.ndarr
     return forest(a, b) if len(found) > 1 else (a, b)
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """``a, b``: a forest of links between distinct fingerprints, per unit of comparison.
+def links(distinct: DataFrame, bits: int = MOST_BITS) -> DataFrame:
+    """``a, b``: a forest of links of ``distinct(fp, view)``, per unit of comparison.
 
-    An anchor with more than ``TILE_ROWS`` rows is cut into k tiles; its homes of tile i
+    ``bits`` may be up to five, for which the blocks leave one with at most one.  An
+    anchor with more than ``TILE_ROWS`` rows is cut into k tiles; its homes of tile i
     meet its replicas of tile j in unit (i, j), so every pair still meets.
     """
     placed = cut(_placed(distinct))
@@ -220,7 +231,7 @@ def links(distinct: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(parts):
             unit, home, fp = (np.concatenate(x) for x in zip(*parts, strict=True))
-            a, b = _links(unit, home, fp)
+            a, b = _links(unit, home, fp, bits)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         held: list[tuple] = []  # rows so far, up to the last whole unit
@@ -255,7 +266,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id, fp, component_id``, the smallest id reachable by links."""
     rows = cut(fingerprints(docs))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    joined = cut(components(links(distinct)))
+    joined = cut(components(links(distinct.withColumn("view", F.lit(0)))))
     members = distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("component", "fp").alias("component"), "least"
     )
@@ -264,11 +275,161 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return attach(rows, classes, ["fp"]).select("doc_id", "fp", "component_id")
 
 
+#: Of the copies that ``keep_one`` looks for.
+COPY_SHINGLE_WORDS = 5
+COPY_SIMILARITY = 0.8
+#: Fingerprints of a document's set of words, besides that of its shingles, and the bits
+#: in which candidates may differ in one of them.
+WORD_VIEWS = 4
+CANDIDATE_BITS = 5
+#: Documents of one candidate group compared in one task; larger groups are cut first.
+GROUP_ROWS = 5_000
+#: Minimum hashes by which two sets of shingles are first compared, and the agreement
+#: below which they are not compared whole: four deviations under the similarity.
+SKETCH = 64
+LEAST_AGREEMENT = 0.6
+
+
+def word_views(text: str | None) -> list[int]:
+    """Fingerprints of the set of words, each by another mixing of the words' hashes."""
+    import xxhash
+
+    words = set((text or "").encode().lower().split())
+    if not words:
+        return [0] * WORD_VIEWS
+    hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], np.uint64)
+    return [_majority(_mixed(hashes, view)) for view in range(1, WORD_VIEWS + 1)]
+
+
+def _mixed(hashes: np.ndarray, salt: int) -> np.ndarray:
+    x = hashes ^ np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def copy_shingles(text: str | None) -> np.ndarray:
+    """Sorted hashes of the set of five-word shingles; a shorter text is one shingle."""
+    import xxhash
+
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    n = COPY_SHINGLE_WORDS
+    shingles = {b" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
+    return np.sort(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.uint64))
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The least hash in each of many parts of the hash space, the high bits apart."""
+    out = np.full(SKETCH, 0xFFFFFFFF, np.uint32)
+    if len(shingles):
+        mixed = _mixed(shingles, 99)
+        np.minimum.at(out, (mixed % np.uint64(SKETCH)).astype(np.int64), (mixed >> np.uint64(32)).astype(np.uint32))
+    return out
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets; two empty ones are equal."""
+    if not len(a) and not len(b):
+        return 1.0
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def candidate_groups(docs: DataFrame) -> DataFrame:
+    """``doc_id, component, members`` of documents that may be near copies of others.
+
+    A document stands under the fingerprint of its shingles and those of its words; a
+    link in any of them joins two documents into a group.
+    """
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            prints = [[fingerprint(t), *word_views(t)] for t in texts]
+            fps = np.array(prints, np.uint64).reshape(-1).view(np.int64)
+            index = np.repeat(np.arange(len(texts)), WORD_VIEWS + 1)
+            view = np.tile(np.arange(WORD_VIEWS + 1, dtype=np.int32), len(texts))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(index)), pa.array(view), pa.array(fps)], ["doc_id", "view", "fp"]
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = cut(map_batches(docs.select("doc_id", "text"), compute, f"doc_id {kind}, view int, fp bigint"))
+    distinct = cut(rows.groupBy("view", "fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")))
+    # A value that two views share by chance would only make one candidate more.
+    found = cut(links(distinct, CANDIDATE_BITS))
+    least = cut(distinct.groupBy("fp").agg(F.min("least").alias("least")))
+    first = attach(found, least.toDF("a", "x"), ["a"])
+    edges = attach(first, least.toDF("b", "y"), ["b"]).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    shared = cut(distinct.where("rows > 1").select("view", "fp", "least"))
+    same = attach(rows, shared, ["view", "fp"]).select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    grouped = cut(components(edges.union(same)))
+    sizes = cut(grouped.groupBy("component").agg(F.count("*").alias("members")))
+    return attach(grouped, sizes, ["component"]).select(F.col("node").alias("doc_id"), "component", "members")
+
+
+def _leaders(rows: DataFrame) -> DataFrame:
+    """Of ``unit, doc_id, shingles`` the rows like no earlier one of their unit, by id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, sets = None, []
+        sketches = np.empty((0, SKETCH), np.uint32)
+        for batch in batches:
+            kept = []
+            for i, (own, data) in enumerate(
+                zip(batch.column("unit").to_pylist(), batch.column("shingles").to_pylist(), strict=True)
+            ):
+                if own != unit:
+                    unit, sets = own, []
+                    sketches = np.empty((16, SKETCH), np.uint32)
+                shingles = np.frombuffer(data, np.uint64)
+                mine = sketch(shingles)
+                agreement = (sketches[: len(sets)] == mine).mean(axis=1)
+                near = np.flatnonzero(agreement >= LEAST_AGREEMENT)
+                near = near[np.argsort(-agreement[near], kind="stable")].tolist()
+                if any(similarity(shingles, sets[k]) >= COPY_SIMILARITY for k in near):
+                    continue
+                kept.append(i)
+                if len(sets) == len(sketches):
+                    sketches = np.concatenate((sketches, np.empty_like(sketches)))
+                sketches[len(sets)] = mine
+                sets.append(shingles)
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(partitions, "unit").sortWithinPartitions("unit", "doc_id")
+    return map_batches(dealt, run, rows.schema)
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, whole, of which each group keeps the one with the smallest id.
+    """The documents, whole, less every one that is a near copy of one that is kept.
 
-    Rows with a null id are kept; of rows that repeat the kept id all stay.
+    Within a group of candidates documents are taken by id; one goes if it shares 0.8 or
+    more of its shingles with one taken before.  A large group is cut into parts whose
+    remaining documents are compared once more.  Rows with a null id are kept; rows that
+    repeat an id are kept or go together.
     """
-    groups = near_groups(docs.where("doc_id IS NOT NULL"))
-    dropped = cut(groups.where("doc_id != component_id").select("doc_id").distinct())
-    return attach(docs, dropped, ["doc_id"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    grouped = cut(candidate_groups(known))
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [copy_shingles(t).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("unit", "component", "members", "doc_id")), pa.array(sets, pa.binary())],
+                ["unit", "component", "members", "doc_id", "shingles"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    part = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / GROUP_ROWS))
+    rows = attach(known, grouped, ["doc_id"]).withColumn("unit", F.concat_ws(":", "component", part))
+    schema = f"unit string, component {kind}, members bigint, doc_id {kind}, shingles binary"
+    sets = map_batches(rows.select("unit", "component", "members", "doc_id", "text"), shingled, schema)
+    # Rows that repeat an id are one document here.
+    left = cut(_leaders(sets.dropDuplicates(["doc_id"])))
+    large = left.where(F.col("members") > GROUP_ROWS).withColumn("unit", F.col("component").cast("string"))
+    stay = left.where(F.col("members") <= GROUP_ROWS).select("doc_id").union(_leaders(large).select("doc_id"))
+    gone = cut(grouped.select("doc_id").join(cut(stay), "doc_id", "left_anti"))
+    return attach(docs, gone, ["doc_id"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

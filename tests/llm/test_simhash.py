@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 import xxhash
 
 from colfit.llm import simhash
@@ -57,7 +58,7 @@ def test_tiles_and_chunks_lose_no_link(spark, monkeypatch):
     centre = int(rng.integers(0, 1 << 62))
     prints = {centre ^ sum(1 << int(b) for b in rng.choice(64, 2, replace=False)) for _ in range(150)}
     prints |= {int(x) for x in rng.integers(0, 1 << 62, 150)}
-    distinct = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp bigint")
+    distinct = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p, 0) for p in prints], "fp bigint, view int")
     monkeypatch.setattr(simhash, "TILE_ROWS", 7)
     edges = {tuple(r) for r in simhash.links(distinct).collect()}
     parent = {p: p for p in prints}
@@ -73,12 +74,41 @@ def test_tiles_and_chunks_lose_no_link(spark, monkeypatch):
     assert {p: top(p) for p in prints} == plain_groups([(p, p) for p in prints])
 
 
-def test_one_of_each_group_stays(docs):
+def plain_similarity(a, b):
+    def shingles(text):
+        words = (text or "").encode().lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def plain_kept(rows):
+    """By id, less those like one kept before."""
+    kept = {}
+    for r in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        if all(plain_similarity(r[1], t) < 0.8 for t in kept.values()):
+            kept[r[0]] = r[1]
+    return set(kept)
+
+
+@pytest.mark.parametrize("group", [5000, 4])
+def test_near_copies_go(docs, rows, monkeypatch, group):
+    monkeypatch.setattr(simhash, "GROUP_ROWS", group)
     out = simhash.keep_one(docs)
     assert out.columns == docs.columns
-    ids = {r["doc_id"] for r in out.select("doc_id").collect()}
-    groups = simhash.near_groups(docs.where("doc_id IS NOT NULL")).collect()
-    assert ids == {r["component_id"] for r in groups} | {None}
+    ids = [r["doc_id"] for r in out.select("doc_id").collect()]
+    assert len(ids) == len(set(ids))
+    assert set(ids) == plain_kept(rows) | {None}
+
+
+def test_shingles_and_sketches(rows):
+    for a, b in [(rows[9], rows[-8]), (rows[9], rows[85]), (rows[0], rows[1]), (rows[5], rows[60])]:
+        x, y = simhash.copy_shingles(a[1]), simhash.copy_shingles(b[1])
+        exact = plain_similarity(a[1], b[1])
+        assert simhash.similarity(x, y) == pytest.approx(exact)
+        if len(x) > 50 and len(y) > 50:
+            assert abs((simhash.sketch(x) == simhash.sketch(y)).mean() - exact) < 0.25
 
 
 def test_empty(no_docs):
@@ -88,3 +118,4 @@ def test_empty(no_docs):
 
 def test_repeated_rows(repeated, rows):
     assert simhash.near_groups(repeated).count() == 2 * len(rows)
+    assert simhash.keep_one(repeated).count() == 2 * (len(plain_kept(rows)) + 1)
