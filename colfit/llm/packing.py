@@ -16,25 +16,30 @@ rows that repeat an id are packed each on its own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colfit.llm.common import cut, map_batches
+from colfit.llm.words import hashes, slices, split
 
 WINDOW = 2048
 END_ID = 1
 #: Remainders in a shard of the index.
-SHARD_ROWS = 1000
+SHARD_ROWS = 500
 #: Remainders in a task, many shards.
 TASK_ROWS = 20_000
-#: Words whose ids a worker remembers; when there are more it starts afresh.
-MOST_WORDS = 600_000
+#: Words, and parts of words, whose ids a worker remembers before it forgets old ones.
+MOST_WORDS = 1_200_000
+MOST_PARTS = 300_000
 #: BM25 constants.
 K1 = 1.2
 B = 0.75
@@ -45,44 +50,157 @@ PIECES = (
 )
 
 
+# Words of printable ASCII and Latin letters only; what they are split into does not
+# depend on the Unicode version.
+_LATIN = re.compile("[!-~\u00a1-\u012f]+")
+# Fixed value: how the tokenizer splits lower-cased text into the parts that it merges.
+_PART = re.compile(
+    "\\n|'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+|[\\d\u00b2\u00b3\u00b9\u00bc-\u00be]|(?:[^\\w\\s]|_)+"
+)
+
+
+class Remembered:
+    """A dictionary of bounded size that forgets what was not used for long."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def recall(self, keys: Iterable) -> tuple[dict, list]:
+        """The values of the keys that are known, and the other keys."""
+        if len(self.new) > self.most:
+            self.new, self.old = {}, self.new
+        known, missing = {}, []
+        for key in keys:
+            value = self.new.get(key)
+            if value is None:
+                value = self.old.get(key)
+                if value is None:
+                    missing.append(key)
+                    continue
+                self.new[key] = value
+            known[key] = value
+        return known, missing
+
+
 class WordEncoder:
     """Ids of whole texts for a tokenizer that drops white space.
 
     Such a tokenizer never merges over white space, so a text's ids are its words' ids
-    end to end; each distinct word is encoded by the library once.  Words end at ASCII
-    white space, as ``bytes.split`` has it; other white space is left to the library.
+    end to end; words end at ASCII white space.  Nor does it merge over the parts into
+    which it splits a word, so each distinct part of Latin words is encoded by the
+    library once, many at a time; other words are encoded whole.
+
+    All words of a batch are found at once by their 64-bit hashes.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.kind = np.uint16 if small else np.uint32
-        self.words: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        words = self.words
-        end = np.array([END_ID], self.kind).tobytes()
-        for text in texts:
-            parts = text.encode().split()
-            found = list(map(words.get, parts))
-            if None in found:
-                if len(words) > MOST_WORDS:
-                    words.clear()
-                    found = [None] * len(parts)
-                missing = list({w for w, ids in zip(parts, found, strict=True) if ids is None})
-                for at in range(0, len(missing), 4096):
-                    some = missing[at : at + 4096]
-                    made = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-                    for w, e in zip(some, made, strict=True):
-                        words[w] = np.array(e.ids, self.kind).tobytes()
-                found = [words[w] for w in parts]
-            found.append(end)
-            out.append(np.frombuffer(b"".join(found), self.kind))
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = np.uint16 if max(vocabulary.values()) < 1 << 16 else np.uint32
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a part
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        if not all(t.content.startswith("<|") for t in special):
+            raise ValueError("special strings must begin with <|")
+        self.parts = Remembered(MOST_PARTS)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.entry: dict[int, int] = {}  # of a word's hash
+        self.start = np.zeros(1 << 16, np.int64)  # of each entry's ids
+        self.size = np.zeros(1 << 16, np.int64)
+        self.flat = np.zeros(1 << 18, self.kind)
+        self.used = 0
+
+    def _remember(self, hashes: list[int], ids: list[bytes]) -> None:
+        data = np.frombuffer(b"".join(ids), self.kind)
+        sizes = np.array([len(x) for x in ids], np.int64) // np.dtype(self.kind).itemsize
+        at, n = len(self.entry), len(hashes)
+        while at + n > len(self.start):
+            self.start = np.concatenate((self.start, np.zeros_like(self.start)))
+            self.size = np.concatenate((self.size, np.zeros_like(self.size)))
+        while self.used + len(data) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.start[at : at + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[at : at + n] = sizes
+        self.flat[self.used : self.used + len(data)] = data
+        self.used += len(data)
+        self.entry.update(zip(hashes, range(at, at + n), strict=True))
+
+    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out: dict[bytes, bytes] = {}
+        texts = [w.decode() for w in words]
+        # "<|" begins the special strings, which are tokens of their own.
+        latin = [w for w, t in zip(words, texts, strict=True) if _LATIN.fullmatch(t) and "<|" not in t]
+        if len(latin) < len(words):
+            for word in set(words) - set(latin):
+                ids = self.tokenizer.encode_batch_fast([word.decode()], add_special_tokens=False)[0].ids
+                out[word] = np.array(ids, self.kind).tobytes()
+            texts = [w.decode() for w in latin]
+        # The parts of all words at once, with a line feed after each word.
+        parts = _PART.findall("\n".join([*texts, ""]).lower())
+        distinct = set(parts)
+        distinct.discard("\n")
+        known, missing = self.parts.recall(distinct)
+        new = self._encode_parts(missing)
+        self.parts.new.update(new)
+        known.update(new)
+        known["\n"] = None
+        word: list[bytes] = []
+        done = iter(latin)
+        for ids in map(known.__getitem__, parts):
+            if ids is None:
+                out[next(done)] = word[0] if len(word) == 1 else b"".join(word)
+                word = []
+            else:
+                word.append(ids)
         return out
 
+    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """Each part is one when alone, and just its last token ends it."""
+        out: dict[str, bytes] = {}
+        size = np.dtype(self.kind).itemsize
+        for at in range(0, len(parts), 2000):
+            some = parts[at : at + 2000]
+            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+            ids = np.array(ids, self.kind)
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * size
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer splits parts that were one")
+            data, places = ids.tobytes(), [0, *ends.tolist()]
+            out.update(zip(some, [data[a:b] for a, b in zip(places, places[1:], strict=False)], strict=True))
+        return out
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, and the end id."""
+        words = split(texts)
+        codes, distinct = pd.factorize(hashes(words))
+        if len(self.entry) > MOST_WORDS:
+            self._forget()
+        keys = distinct.tolist()
+        entries = list(map(self.entry.get, keys))
+        if None in entries:
+            place = np.empty(len(keys), np.int64)
+            place[codes[::-1]] = np.arange(len(codes))[::-1]  # where each word is first
+            unknown = [i for i, e in enumerate(entries) if e is None]
+            new = [words.word(p) for p in place[unknown].tolist()]
+            ids = self._encode_words(new)
+            self._remember([keys[i] for i in unknown], [ids[w] for w in new])
+            entries = [self.entry[k] for k in keys]
+        entry = np.array(entries, np.int64)[codes] if len(keys) else np.empty(0, np.int64)
+        size = self.size[entry]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = self.flat[np.repeat(self.start[entry] - (ends - size), size) + np.arange(total)]
+        bounds = np.concatenate(([0], ends))[words.before]  # of the texts' ids
+        end = np.array([END_ID], self.kind)
+        return [np.concatenate((flat[a:b], end)) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -116,10 +234,12 @@ def encoded(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            at = 0
+            for texts in slices(batch.column("text")):
+                part = batch.slice(at, len(texts))
+                at += len(texts)
                 columns: list[list] = [[], [], [], []]
-                for ids in encode.encode([t or "" for t in part.column("text").to_pylist()]):
+                for ids in encode.encode(texts):
                     full = len(ids) // window
                     rest = ids[full * window :]
                     whole = [_crc(ids[i * window : (i + 1) * window]) for i in range(full)]

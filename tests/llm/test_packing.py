@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -72,6 +73,6 @@ def test_best_neighbour_first():
 
 def test_encoder_agrees_with_the_library(rows):
     tokenizer = Tokenizer.from_file(PACKING_TOKENIZER)
-    texts = [r[1] or "" for r in rows] + ["a\x1cb\x85c d　e", "É Σσ İI", "it's  don't\tWE'LL"]
-    for text, ids in zip(texts, packing.WordEncoder(PACKING_TOKENIZER).encode(texts), strict=True):
+    texts = [r[1] or "" for r in rows] + ["w" * 500 + " " + "é" * 200, "a\x1cb\x85c d　e", "É Σσ İI", "it's  don't\tWE'LL"]
+    for text, ids in zip(texts, packing.WordEncoder(PACKING_TOKENIZER).encode(pa.array(texts)), strict=True):
         assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
