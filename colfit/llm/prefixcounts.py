@@ -33,8 +33,9 @@ from pyspark.sql import DataFrame
 from colfit.llm.common import map_batches
 
 LIMIT = 512
-#: Words remembered by a worker; when there are more it starts afresh.
-MOST_WORDS = 400_000
+#: Words remembered by a worker; when there are more those not seen since the last
+#: time are forgotten.
+MOST_WORDS = 300_000
 
 # The Unicode white space characters.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -82,6 +83,8 @@ class PrefixCounter:
         self.tokens = {t for t in tokens if self._merged(t) == [t]}
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
 
     def _merged(self, data: bytes) -> list[bytes]:
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -127,8 +130,10 @@ class PrefixCounter:
         known, may_follow = self.follows.get, self._may_follow
         last: list[bytes] = [b""]
         counts = [0]
+        start = 0
         for end in range(1, len(data) + 1):
-            for start in range(end - longest if end > longest else 0, end):
+            # Just one start is right; that of the prefix before is the likeliest.
+            for start in (start, *range(end - longest if end > longest else 0, end)):
                 token = data[start:end]
                 if token in tokens:
                     if not start:
@@ -146,6 +151,10 @@ class PrefixCounter:
         """Of a word: the change of the count at each character."""
         changes = self.words.get(word)
         if changes is None:
+            changes = self.old_words.get(word)
+            if changes is not None:
+                self.words[word] = changes
+                return changes
             data = word.encode()
             counts = self._counts(data)
             if word in _SPLIT_UNTIL_WHOLE:
@@ -154,22 +163,26 @@ class PrefixCounter:
                 counts = [c for c, byte in zip(counts, data, strict=False) if byte & 0xC0 != 0x80] + counts[-1:]
             changes = bytes([(b - a) & 255 for a, b in zip(counts, counts[1:], strict=False)])
             if len(self.words) > MOST_WORDS:
-                self.words.clear()
+                self.words, self.old_words = {}, self.words
             self.words[word] = changes
         return changes
 
     def _piece(self, piece: str) -> bytes:
+        known = self.old_pieces.get(piece)
+        if known is not None:
+            self.pieces[piece] = known
+            return known
         if piece.isascii() or max(piece) < _LATIN_END:
             words = _WORD.findall(piece)
         else:
             words = [piece[a:b] for _, (a, b) in self.split(piece)]
         known = b"".join(map(self._changes, words))
-        if len(self.pieces) > MOST_WORDS:
-            self.pieces.clear()
         self.pieces[piece] = known
         return known
 
     def _plain(self, text: str) -> bytes:
+        if len(self.pieces) > MOST_WORDS:
+            self.pieces, self.old_pieces = {}, self.pieces
         get, miss = self.pieces.get, self._piece
         pieces = _PIECE.findall(text)
         out = [get(p) or miss(p) for p in pieces]
