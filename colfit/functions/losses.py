@@ -93,12 +93,13 @@ BCE = BinaryCrossEntropy()
 HINGE = Hinge()
 
 
-def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> list:
+def first_rows(df: DataFrame, order_by: str | Sequence[str], n: int) -> list:
     """The first ``n`` rows by a unique key; ``n`` is at most the feature count.
 
     Spark keeps the ``n + 1`` smallest keys of each partition, reading only the
     key columns; the rows are then read with a filter on the key.
     """
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     if not order_by:
         raise ValueError("the hinge gradient needs order_by, a unique row key")
     keys = [F.col(f"`{k}`") for k in order_by]
@@ -113,12 +114,16 @@ def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> list:
 
 
 def hinge_gates(
-    df: DataFrame, y: Column, p: Column, order_by: Sequence[str], n_columns: int
+    df: DataFrame, y: Column, p: Column, order_by: str | Sequence[str], n_columns: int
 ) -> list[bool]:
     """For each column whether its row has a positive margin; min(rows, columns) long."""
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     keys = [F.col(f"`{k}`") for k in order_by]
     margins = df.select(*keys, (y - p).alias("__margin"))
-    return [row["__margin"] > 0 for row in first_rows(margins, order_by, n_columns)]
+    rows = first_rows(margins, order_by, n_columns)
+    if any(row["__margin"] is None for row in rows):
+        raise ValueError("the first rows have a null label or prediction")
+    return [row["__margin"] > 0 for row in rows]
 
 
 def hinge_gradient(
@@ -126,7 +131,7 @@ def hinge_gradient(
     xs: dict[str, Column],
     y: Column,
     p: Column,
-    order_by: Sequence[str],
+    order_by: str | Sequence[str],
 ) -> DataFrame:
     """Hinge gradient values: ``df`` with one more column per gated feature column.
 

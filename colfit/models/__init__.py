@@ -1,5 +1,5 @@
 from colfit.models.kmeans import EQUIDISTANT, RANDOM, KMeans, KMeansModel, MaxIter, Tol
-from colfit.models.layers import layer_random, layer_zeroes
+from colfit.models.layers import layer_random, layer_zeroes, positions
 from colfit.models.linear import LinearModel, fit_linear
 from colfit.models.logistic import LogisticModel, classify, fit_logistic
 from colfit.models.mlp import ColumnNetwork, Layer, Network
@@ -24,4 +24,5 @@ __all__ = [
     "fit_svm",
     "layer_random",
     "layer_zeroes",
+    "positions",
 ]

@@ -23,6 +23,7 @@ from colfit.operators.stats import (
     check_invalid,
     column_means,
     require_columns,
+    wide_means,
 )
 from colfit.session import persisted
 
@@ -67,10 +68,11 @@ class GradientModel:
         return self.loss_function.loss(y, p)
 
     def gradients(
-        self, df: DataFrame, order_by: Sequence[str] = (), gradient: str = SHARED
+        self, df: DataFrame, order_by: str | Sequence[str] = (), gradient: str = SHARED
     ) -> tuple[float, tuple[float, ...]]:
         """Intercept and coefficient gradients at the current parameters."""
         check_gradient(gradient)
+        order_by = key_columns(order_by)
         require_columns(df, [self.label, *order_by])
         y, p = double(self.label), self.prediction(df)
         xs = [double(f) for f in self.features]
@@ -120,7 +122,7 @@ def starting_point(model: GradientModel, warm_start: GradientModel | None) -> Gr
 
 
 def training_rows(
-    df: DataFrame, model: GradientModel, order_by: Sequence[str], handle_invalid: str
+    df: DataFrame, model: GradientModel, order_by: str | Sequence[str], handle_invalid: str
 ) -> DataFrame:
     """The needed columns only, as doubles, without null rows when skipping."""
     check_invalid(handle_invalid)
@@ -139,13 +141,24 @@ def without_keys(rows: DataFrame, model: GradientModel) -> DataFrame:
 def checked_means(
     rows: DataFrame, model: GradientModel, columns: Sequence[Column]
 ) -> list[float]:
-    """Averages of the columns; raises on nulls and on no rows, in the same pass."""
+    """Averages of the columns, as many as features; raises on nulls and on no rows."""
     missing = any_null([*model.features, model.label]).cast("double")
-    *means, nulls = column_means(rows, [*columns, missing])
+    *means, nulls = wide_means(rows, [*columns, missing])
     check_counts(nulls is not None, nulls)
     return means
 
 
+def check_rows(rows: DataFrame, model: GradientModel) -> None:
+    """Raises on nulls and on no rows."""
+    missing = any_null([*model.features, model.label])
+    check_counts(*rows.agg(F.count("*"), F.count_if(missing)).first())
+
+
+def key_columns(order_by: str | Sequence[str]) -> list[str]:
+    """A key is one column name or several."""
+    return [order_by] if isinstance(order_by, str) else list(order_by)
+
+
 def descend(
     model: GradientModel,
     num_epochs: int,
@@ -167,12 +180,13 @@ def fit_by_epochs(
     df: DataFrame,
     num_epochs: int,
     learning_rate: float,
-    order_by: Sequence[str],
+    order_by: str | Sequence[str],
     gradient: str,
     handle_invalid: str,
 ) -> GradientModel:
     """Gradient descent for any loss, one aggregate per epoch."""
     check_gradient(gradient)
+    order_by = key_columns(order_by)
     rows = training_rows(df, model, order_by, handle_invalid)
     if model.loss_function.gated:
         return _fit_gated(model, rows, num_epochs, learning_rate, order_by, gradient)
@@ -180,14 +194,14 @@ def fit_by_epochs(
         return _fit_shared(model, rows, num_epochs, learning_rate)
     y = double(model.label)
     with persisted(rows):
-        checked_means(rows, model, [])
+        check_rows(rows, model)
 
         def step(current: GradientModel):
             p = current.activation.over_column(rows, current.score)
             loss = current.loss_function
             xs = [double(f) for f in current.features]
             terms = [loss.feature_term(x, y, p) for x in xs]
-            means = column_means(rows, [loss.intercept_term(y, p), *terms])
+            means = wide_means(rows, [loss.intercept_term(y, p), *terms])
             return loss.intercept_scale * means[0], [loss.feature_scale * m for m in means[1:]]
 
         return descend(model, num_epochs, learning_rate, step)
@@ -228,7 +242,7 @@ def _fit_gated(
     rows: DataFrame,
     num_epochs: int,
     learning_rate: float,
-    order_by: Sequence[str],
+    order_by: str | Sequence[str],
     gradient: str,
 ) -> GradientModel:
     """Hinge loss: feature means are constant, the first rows open or close them."""

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from colfit.functions.numeric import INF, any_null, double, sql_column, sql_double
 from colfit.functions.uniform import uniform_value
 from colfit.operators.stats import (
-    MAX_AGGREGATES,
     check_counts,
     check_invalid,
     column_statistics,
@@ -27,12 +26,12 @@ from colfit.operators.stats import (
     number_min,
     require_columns,
 )
-from colfit.session import persisted
+from colfit.session import persisted, ship_package
 
 EQUIDISTANT = "equidistant"
 RANDOM = "random"
-# Beyond this many coordinates distances are computed on Arrow batches instead
-# of as one expression.
+# Beyond this many coordinates, of all centroids, distances are computed on Arrow
+# batches instead of as one expression; the results are the same.
 MAX_EXPRESSION_COORDINATES = 128
 
 Centroids = tuple[tuple[float, ...], ...]
@@ -47,10 +46,13 @@ class MaxIter:
 
 @dataclass(frozen=True)
 class Tol:
-    """Until no coordinate moves by more than ``tolerance``; raises at the cap."""
+    """Until no coordinate moves by more than ``tolerance``.
+
+    Raises if the centroids come round to earlier ones, or after ``max_rounds`` if given.
+    """
 
     tolerance: float
-    max_rounds: int = 10_000
+    max_rounds: int | None = None
 
 
 @dataclass(frozen=True)
@@ -79,25 +81,30 @@ class KMeansModel:
     def _on_batches(self) -> bool:
         return len(self.features) * len(self.centroids) > MAX_EXPRESSION_COORDINATES
 
+    def _prepare(self, df: DataFrame) -> None:
+        require_columns(df, self.features)
+        if self._on_batches():
+            ship_package(df.sparkSession)
+
     def assign(self, df: DataFrame, column: str = "cluster") -> DataFrame:
         """``df`` with the number of the nearest centroid."""
-        require_columns(df, self.features)
+        self._prepare(df)
         return df.withColumn(column, self.nearest()["cluster"])
 
     def predict(self, df: DataFrame, column: str = "clusters") -> DataFrame:
         """``df`` with the cluster number as a double."""
-        require_columns(df, self.features)
+        self._prepare(df)
         return df.withColumn(column, self.nearest()["cluster"].cast("double"))
 
     def compactness(self, df: DataFrame) -> DataFrame:
         """Sum of squared distances to the own centroid, as column ``compactness``."""
-        require_columns(df, self.features)
+        self._prepare(df)
         near = df.select(self.nearest()["distance"].alias("d"))
         return near.agg(F.sum(F.col("d") * F.col("d")).alias("compactness"))
 
     def update(self, df: DataFrame) -> KMeansModel:
         """One round: each centroid becomes the mean of its rows; empty ones stay."""
-        require_columns(df, self.features)
+        self._prepare(df)
         moved = {row["cluster"]: row["coords"] for row in self._cluster_means(df).collect()}
         return KMeansModel(
             self.features,
@@ -113,16 +120,8 @@ class KMeansModel:
             self.nearest()["cluster"].alias("cluster"),
             *[double(f).alias(n) for f, n in zip(self.features, names, strict=True)],
         )
-        if len(names) <= MAX_AGGREGATES:
-            means = rows.groupBy("cluster").agg(*[F.avg(n).alias(n) for n in names])
-            return means.select("cluster", F.array(*names).alias("coords"))
-        return (
-            rows.select("cluster", F.posexplode(F.array(*names)).alias("pos", "value"))
-            .groupBy("cluster", "pos")
-            .agg(F.avg("value").alias("mean"))
-            .groupBy("cluster")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "mean")))["mean"].alias("coords"))
-        )
+        means = rows.groupBy("cluster").agg(*[F.avg(n).alias(n) for n in names])
+        return means.select("cluster", F.array(*names).alias("coords"))
 
     def _cluster_means_on_batches(self, df: DataFrame) -> DataFrame:
         """Sums per cluster within each task, then added up: k rows per task."""
@@ -192,21 +191,22 @@ class KMeans:
         self, df: DataFrame, features: Sequence[str], handle_invalid: str = "error"
     ) -> KMeansModel:
         rows = _rows(df, features, handle_invalid)
-        rounds, tolerance = (
-            (self.end.rounds, 0.0)
-            if isinstance(self.end, MaxIter)
-            else (self.end.max_rounds, self.end.tolerance)
-        )
+        most = self.end.rounds if isinstance(self.end, MaxIter) else self.end.max_rounds
+        tolerance = 0.0 if isinstance(self.end, MaxIter) else self.end.tolerance
         if not tolerance >= 0:
             raise ValueError(f"tolerance must be >= 0, got {tolerance}")
+        seen: set[Centroids] = set()
         with persisted(rows):
             model = self._initial(rows, tuple(features))
-            for _ in range(rounds):
+            while most is None or len(seen) < most:
+                if model.centroids in seen:
+                    raise RuntimeError(f"the centroids repeat and never come within {tolerance}")
+                seen.add(model.centroids)
                 before, model = model, model.update(rows)
                 if converged(before.centroids, model.centroids, tolerance):
                     return model
         if isinstance(self.end, Tol):
-            raise RuntimeError(f"not within {tolerance} after {rounds} rounds")
+            raise RuntimeError(f"not within {tolerance} after {most} rounds")
         return model
 
     def predict(
@@ -215,6 +215,10 @@ class KMeans:
         """Assignments of an unfitted model: centroids are initialised from ``df``."""
         return self.initial(df, features).predict(df, column)
 
+    def compactness(self, df: DataFrame, features: Sequence[str]) -> DataFrame:
+        """Of an unfitted model: centroids are initialised from ``df``."""
+        return self.initial(df, features).compactness(df)
+
     def _initial(self, rows: DataFrame, features: tuple[str, ...]) -> KMeansModel:
         if self.n_clusters < 1:
             raise ValueError("n_clusters must be at least 1")

@@ -17,26 +17,36 @@ from pyspark.sql import functions as F
 from colfit.functions.activations import Activation
 from colfit.functions.uniform import uniform_column
 from colfit.operators.stats import require_columns
-from colfit.session import persisted
+from colfit.session import persisted, shared_folder
 
 
-def layer_zeroes(spark: SparkSession, width: int) -> DataFrame:
-    """A layer of ``width`` neurons with zero weights and biases."""
-    return spark.range(width).select(
-        F.col("id").alias("pos"), F.lit(0.0).alias("weight"), F.lit(0.0).alias("bias")
+def positions(spark: SparkSession, width: int) -> DataFrame:
+    """The positions 0 to ``width - 1`` of a layer that belongs to no table."""
+    return spark.range(width).toDF("pos")
+
+
+def layer_zeroes(table: DataFrame, pos: str = "pos") -> DataFrame:
+    """A layer with a neuron of zero weight and bias for each position of a table."""
+    require_columns(table, [pos])
+    return table.select(
+        F.col(f"`{pos}`").alias("pos"), F.lit(0.0).alias("weight"), F.lit(0.0).alias("bias")
     )
 
 
 def layer_random(
-    spark: SparkSession, width: int, limits: tuple[float, float], seed: int
+    table: DataFrame, limits: tuple[float, float], seed: int, pos: str = "pos"
 ) -> DataFrame:
-    """Weights and biases uniform between the limits, given in either order."""
+    """Weights and biases uniform between the limits, given in either order.
+
+    A neuron's values depend on the seed and its position only.
+    """
+    require_columns(table, [pos])
     low, high = min(limits), max(limits)
-    pos = F.col("id")
-    return spark.range(width).select(
-        pos.alias("pos"),
-        uniform_column(low, high, seed, "weight", pos).alias("weight"),
-        uniform_column(low, high, seed, "bias", pos).alias("bias"),
+    at = F.col(f"`{pos}`")
+    return table.select(
+        at.alias("pos"),
+        uniform_column(low, high, seed, "weight", at).alias("weight"),
+        uniform_column(low, high, seed, "bias", at).alias("bias"),
     )
 
 
@@ -65,12 +75,14 @@ def layer_backward(
     else:
         g, shift = F.lit(float(gradient)), float(gradient)
     rows = inputs.select("pos", F.col("value").cast("double").alias("value"), g.alias("g"))
+    shared_folder(inputs.sparkSession)
     with aligned(rows, [layer]) as joined:
-        return joined.select(
+        updated = joined.select(
             "pos",
             stepped(F.col("weight0"), F.col("value"), F.col("g"), learning_rate).alias("weight"),
             (F.col("bias0") - F.lit(shift) * F.lit(float(learning_rate))).alias("bias"),
         )
+        return updated.checkpoint()  # of the kept join, which is not computed again
 
 
 def stepped(weight: Column, x: Column, g: Column, learning_rate: float) -> Column:

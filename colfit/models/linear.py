@@ -10,21 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colfit.functions.losses import MSE, Loss, MeanSquaredError
-from colfit.functions.numeric import double, total, weighted
+from colfit.functions.numeric import any_null, double, total, weighted
 from colfit.models.gradient import (
     SHARED,
     GradientModel,
     check_gradient,
-    checked_means,
     fit_by_epochs,
     starting_point,
     training_rows,
 )
-from colfit.operators.stats import require_columns
-
-# Per-feature training keeps a matrix of this many features squared on the driver.
-MAX_MOMENT_FEATURES = 200
-
+from colfit.operators.stats import check_counts, column_means, require_columns, sums_by_task
 
 @dataclass(frozen=True)
 class LinearModel(GradientModel):
@@ -56,7 +51,7 @@ def fit_linear(
     *,
     loss: Loss = MSE,
     gradient: str = SHARED,
-    order_by: Sequence[str] = (),
+    order_by: str | Sequence[str] = (),
     warm_start: LinearModel | None = None,
     handle_invalid: str = "error",
 ) -> LinearModel:
@@ -74,8 +69,7 @@ def fit_linear(
     if isinstance(loss, MeanSquaredError):
         if gradient == SHARED:
             return _fit_shared_moments(model, df, num_epochs, learning_rate, handle_invalid)
-        if len(features) <= MAX_MOMENT_FEATURES:
-            return _fit_moments(model, df, num_epochs, learning_rate, handle_invalid)
+        return _fit_moments(model, df, num_epochs, learning_rate, handle_invalid)
     return fit_by_epochs(
         model, df, num_epochs, learning_rate, order_by, gradient, handle_invalid
     )
@@ -90,7 +84,9 @@ def _fit_shared_moments(model, df, num_epochs, learning_rate, handle_invalid) ->
     k = len(model.features)
     x = total(model.features)
     r = double(model.label) - weighted(0.0, model.coefficients, model.features)
-    mx, mr, mxx, mrx = checked_means(rows, model, [x, r, x * x, r * x])
+    missing = any_null([*model.features, model.label]).cast("double")
+    mx, mr, mxx, mrx, nulls = column_means(rows, [x, r, x * x, r * x, missing])
+    check_counts(nulls is not None, nulls)
     intercept, t = model.intercept, 0.0
     for _ in range(num_epochs):
         g0 = -2.0 * (mr - intercept - t * mx)
@@ -101,17 +97,26 @@ def _fit_shared_moments(model, df, num_epochs, learning_rate, handle_invalid) ->
 
 
 def _fit_moments(model, df, num_epochs, learning_rate, handle_invalid) -> LinearModel:
-    """Each coefficient has its own gradient: k*k/2 averages in one pass."""
+    """Each coefficient has its own gradient: the averages of all products of features.
+
+    One pass in which every task multiplies its rows as a matrix.  The driver
+    holds features squared numbers.
+    """
     rows = training_rows(df, model, (), handle_invalid)
     k = len(model.features)
-    v = [F.lit(1.0), *[double(f) for f in model.features]]
-    y = double(model.label)
-    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
-    means = checked_means(rows, model, [*[v[i] * v[j] for i, j in pairs], *[c * y for c in v]])
-    xx = np.zeros((k + 1, k + 1))
-    for (i, j), m in zip(pairs, means, strict=False):
-        xx[i, j] = xx[j, i] = m
-    xy = np.array(means[len(pairs) :])
+
+    def products(values: np.ndarray) -> np.ndarray:
+        x = np.column_stack((np.ones(len(values)), values[:, :k]))
+        y, missing = values[:, k], values[:, k + 1]
+        return np.concatenate(((x.T @ x).ravel(), x.T @ y, [missing.sum()]))
+
+    missing = any_null([*model.features, model.label]).cast("double")
+    columns = [*[double(f) for f in model.features], double(model.label), missing]
+    totals = sums_by_task(rows, columns, products)
+    check_counts(totals is not None, totals is not None and totals[-1])
+    n = totals[0]
+    xx = totals[: (k + 1) ** 2].reshape(k + 1, k + 1) / n
+    xy = totals[(k + 1) ** 2 : -1] / n
     w = np.array([model.intercept, *model.coefficients])
     for _ in range(num_epochs):
         w = w + learning_rate * 2.0 * (xy - xx @ w)

@@ -42,7 +42,7 @@ def fit_logistic(
     *,
     loss: Loss = BCE,
     gradient: str = SHARED,
-    order_by: Sequence[str] = (),
+    order_by: str | Sequence[str] = (),
     warm_start: LogisticModel | None = None,
     handle_invalid: str = "error",
 ) -> LogisticModel:

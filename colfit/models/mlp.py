@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from contextlib import AbstractContextManager
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +25,14 @@ from colfit.functions.activations import Activation
 from colfit.functions.losses import MSE, Hinge, Loss
 from colfit.functions.numeric import array_sum, bind, double_array
 from colfit.models.layers import activated, aligned, dots, stepped
-from colfit.operators.stats import require_columns
+from colfit.operators.stats import array_means, require_columns
 from colfit.session import persisted, shared_folder
 
 
+#: Epochs whose parameters are kept before they are written to the checkpoint folder.
+EPOCHS_BETWEEN_WRITES = 5
+
+
 @dataclass(frozen=True)
 class ColumnNetwork:
     """Layers are DataFrames ``(pos, weight, bias)``, one activation each.
@@ -82,14 +87,26 @@ class ColumnNetwork:
 
     def fit(self, inputs: DataFrame, num_epochs: int, learning_rate: float) -> ColumnNetwork:
         """Inputs and layers are joined once; an epoch is one aggregate for each
-        layer, one for the gradients, and one write of the new parameters to the
-        shared checkpoint folder, which keeps the plan from growing.
+        layer and one for the gradients over the kept parameters.  Every few epochs
+        they are written to the shared checkpoint folder, which keeps the plan from
+        growing.
         """
         if num_epochs <= 0 or not self.layers:
             return self
+        kept: list[DataFrame] = []
         with self._joined(inputs, ["value", "label"]) as state:
-            for _ in range(num_epochs):
-                state = self._updated(state, learning_rate, None).checkpoint()
+            try:
+                for epoch in range(1, num_epochs + 1):
+                    state = self._updated(state, learning_rate, None)
+                    if epoch % EPOCHS_BETWEEN_WRITES == 0 or epoch == num_epochs:
+                        state = state.checkpoint()
+                        while kept:
+                            kept.pop().unpersist()
+                    else:
+                        kept.append(state.persist(StorageLevel.MEMORY_AND_DISK))
+            finally:
+                for table in kept:
+                    table.unpersist()
         return self._from_state(state)
 
     def loss(self, inputs: DataFrame) -> DataFrame:
@@ -263,8 +280,8 @@ class Network:
     ) -> Network:
         """The network after one update, averaged over the samples of ``df``.
 
-        A sample's new weights and bias shifts are computed within its row; the
-        averages are combined on the map side, one row per parameter.
+        A sample's new weights and bias shifts are computed within its row; each
+        task adds them up and yields one row.
         """
         if not self.layers:
             return self
@@ -289,15 +306,10 @@ class Network:
             rows = rows.withColumn(f"w{i}", F.zip_with(old, step, lambda w, s: w - s * rate))
         shifts = [*[array_sum(F.col(f"w{i + 1}")) for i in range(last)], F.col("g")]
         values = F.concat(*[F.col(f"w{i}") for i in range(last + 1)], F.array(*shifts))
-        means = {
-            row["pos"]: row["mean"]
-            for row in rows.select(F.posexplode_outer(values).alias("pos", "value"))
-            .groupBy("pos")
-            .agg(F.avg("value").alias("mean"))
-            .collect()
-        }
-        if not means:
+        found = array_means(rows.filter(values.isNotNull()), values)
+        if found is None:
             raise ValueError("no samples to learn from")
+        means = found.tolist()
         d = self._width()
         return replace(
             self,

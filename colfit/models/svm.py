@@ -20,15 +20,17 @@ from colfit.functions.losses import HINGE, Loss, first_rows
 from colfit.functions.numeric import double
 from colfit.models.gradient import (
     GradientModel,
+    check_rows,
     checked_means,
     descend,
+    key_columns,
     literal,
     margin,
     starting_point,
     training_rows,
     without_keys,
 )
-from colfit.operators.stats import check_counts, column_means, require_columns
+from colfit.operators.stats import check_counts, column_means, require_columns, wide_means
 from colfit.session import persisted
 
 
@@ -50,9 +52,10 @@ class SVMModel(GradientModel):
         return self.loss_function.loss(p, y)
 
     def gradients(
-        self, df: DataFrame, order_by: Sequence[str] = ()
+        self, df: DataFrame, order_by: str | Sequence[str] = ()
     ) -> tuple[float, tuple[float, ...]]:
         """Intercept and coefficient gradients at the current parameters."""
+        order_by = key_columns(order_by)
         rows = training_rows(df, self, order_by, "error")
         head = first_rows(rows, order_by, 1) if self.loss_function.gated else []
         g0, g = self._gradients(rows, head, [])
@@ -70,7 +73,7 @@ class SVMModel(GradientModel):
         if not shut and not constant:
             kernel = [self.kernel.apply(double(f), p) for f in self.features]
             terms = [loss.feature_term(x, y, p) for x in kernel]
-        means = column_means(rows, [loss.intercept_term(y, p), *terms])
+        means = (wide_means if terms else column_means)(rows, [loss.intercept_term(y, p), *terms])
         check_counts(means[0] is not None, 0)
         if shut:
             each = [0.0] * len(self.features)
@@ -85,7 +88,7 @@ def fit_svm(
     label: str,
     num_epochs: int,
     learning_rate: float,
-    order_by: Sequence[str] = (),
+    order_by: str | Sequence[str] = (),
     *,
     loss: Loss = HINGE,
     activation: Activation = IDENTITY,
@@ -98,14 +101,16 @@ def fit_svm(
     With the hinge loss and identity kernel an epoch is a single aggregate,
     because the feature means do not change.
     """
-    features = tuple(features)
+    features, order_by = tuple(features), key_columns(order_by)
     zeros = SVMModel(features, label, 0.0, (0.0,) * len(features), loss, activation, kernel)
     model = starting_point(zeros, warm_start)
     rows = training_rows(df, model, order_by, handle_invalid)
     head = first_rows(rows, order_by, 1) if loss.gated else []
     with persisted(without_keys(rows, model)) as rows:
         fixed = loss.gated and isinstance(kernel, kernels.Identity)
-        means = checked_means(rows, model, [double(f) for f in features] if fixed else [])
+        means = checked_means(rows, model, [double(f) for f in features]) if fixed else []
+        if not fixed:
+            check_rows(rows, model)
         return descend(
             model, num_epochs, learning_rate, lambda m: m._gradients(rows, head, means)
         )

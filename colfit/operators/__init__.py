@@ -1,6 +1,7 @@
 from colfit.operators.prep import (
     get_col_by_index,
     min_max_norm_cols,
+    spread_vector,
     transform_cols,
     z_norm_cols,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "softmax_columns",
     "softmax_jacobian",
     "split",
+    "spread_vector",
     "transform_cols",
     "with_row_index",
     "z_norm_cols",

@@ -22,20 +22,40 @@ from colfit.operators.stats import (
 def transform_cols(
     df: DataFrame,
     columns: Sequence[str],
-    function: Callable[[Column], Column],
+    function: Callable[..., Column],
     rename: Callable[[str], str] | None = None,
+    statistics: Sequence[Callable[[Column], Column]] = (),
 ) -> DataFrame:
     """Apply ``function`` to each named column of the input.
 
     The result replaces the column, or is appended under ``rename(name)``.  A
-    column listed twice is transformed once.
+    column listed twice is transformed once.  ``statistics`` are aggregates of
+    the whole column, such as ``F.avg``; ``function`` gets their values, of its
+    own column, as further arguments.
     """
     require_columns(df, columns)
+    names = list(dict.fromkeys(columns))
+    values: dict[str, tuple] = dict.fromkeys(names, ())
+    if statistics:
+        found = column_statistics(df, [F.col(f"`{c}`") for c in names], statistics)
+        values = dict(zip(names, found, strict=True))
     return df.withColumns(
-        {(rename(c) if rename else c): function(F.col(f"`{c}`")) for c in columns}
+        {(rename(c) if rename else c): function(F.col(f"`{c}`"), *map(F.lit, values[c])) for c in names}
     )
 
 
+def spread_vector(df: DataFrame, column: str, width: int) -> tuple[DataFrame, list[str]]:
+    """``df`` with the elements of an array column as doubles, and their names.
+
+    The names serve as features of the models; a null array or one of another
+    length gives nulls.
+    """
+    require_columns(df, [column])
+    names = [f"{column}_{i}" for i in range(width)]
+    vector = F.when(F.size(F.col(f"`{column}`")) == width, F.col(f"`{column}`"))
+    return df.withColumns({n: vector[i].cast("double") for i, n in enumerate(names)}), names
+
+
 def z_norm_cols(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(x - mean) / population std``; a constant column becomes NaN.
 

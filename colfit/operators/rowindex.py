@@ -5,26 +5,30 @@ position take ``order_by``: columns that together are unique and not null.  No
 step sorts the table in one task.
 
 ``split`` needs only the key at the cut, and ``select_rows`` the keys at its
-positions, so both end as filters on the key that reach the file scan.  For a
-single integer or float key, and few positions, the keys are found by narrowing
-percentiles without shuffling rows.  Otherwise the key columns alone are sorted
-as in ``with_row_index``.
+positions, so both end as filters on the key that reach the file scan.  The keys
+are found by narrowing a window of keys around each position with exact counts,
+reading only the key columns and shuffling no rows; many positions are read from
+the sorted key columns instead.  Either way a key that repeats at a position
+raises, and repeats elsewhere don't matter.  ``with_row_index`` gives every row a
+position, so there any repeated key raises.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colfit.operators.stats import require_columns
-from colfit.session import shared_folder
+from colfit.session import shared_folder, ship_package
 
 # A window of keys this small is sorted and read directly.
 SORT_LIMIT = 10_000
@@ -34,10 +38,13 @@ NARROW_ROWS = 16
 BROADCAST_ROWS = 100_000
 # Relative rank error of percentile_approx is 1 / ACCURACY.
 ACCURACY = 10_000
+# Keys that are not one number are narrowed by a sample of about this many of a window.
+SAMPLE_KEYS = 20_000
 # Low bits of monotonically_increasing_id: the position inside a partition.
 POSITION_BITS = 33
 
-_NARROWABLE = (T.IntegralType, T.FloatType, T.DoubleType)
+_NUMBERS = (T.IntegralType, T.FloatType, T.DoubleType)
+NOT_UNIQUE = "the row key is not unique"
 
 
 def with_row_index(
@@ -49,7 +56,10 @@ def with_row_index(
     shared checkpoint folder, which fixes the partitions.  The position is the
     row's place in its partition plus the sizes of the partitions before it.
     """
-    numbered, sizes = _numbered(df, _keys(df, order_by))
+    keys = _keys(df, order_by)
+    numbered, sizes = _numbered(df, keys)
+    if _repeats(numbered, keys):
+        raise ValueError(NOT_UNIQUE)
     starts = _starts(sizes)
     offsets = df.sparkSession.createDataFrame(
         list(starts.items()), "__part bigint, __start bigint"
@@ -75,18 +85,27 @@ def select_rows(
         raise IndexError(f"row index {wanted[0]} is negative")
     if not wanted:
         return df.limit(0)
-    if len(wanted) <= NARROW_ROWS and _narrowable(df, keys):
+    if len(wanted) <= NARROW_ROWS:
         rows = _count(df, keys)
         _check_range(wanted, rows)
-        found = _narrow(df.select(_col(keys[0]).alias("k")), wanted, rows)
-        return df.filter(_col(keys[0]).isin(found))
+        found = _narrow(df, keys, wanted, rows)
+        same = reduce(lambda a, b: a | b, [_equal(df, keys, key) for key in found])
+        # The leading column's values are implied; they are there for the file scan.
+        return df.filter(same & _col(keys[0]).isin([key[0] for key in found]))
     numbered, sizes = _numbered(df.select(*map(_col, keys)), keys)
     places = _places(sizes, wanted)
     spark = df.sparkSession
-    picked = spark.createDataFrame([(p,) for p in places], "__place bigint")
     small = len(places) <= BROADCAST_ROWS
-    rows = numbered.join(F.broadcast(picked) if small else picked, "__place", "left_semi")
-    rows = rows.drop("__place")
+
+    def at(wanted_places: Sequence[int]) -> DataFrame:
+        picked = spark.createDataFrame([(p,) for p in wanted_places], "__place bigint")
+        return numbered.join(F.broadcast(picked) if small else picked, "__place", "left_semi")
+
+    # Equal keys are neighbours in one partition, so a repeated key shows beside its place.
+    near = at(sorted({q for p in places for q in (p - 1, p, p + 1)}))
+    if not near.groupBy(*map(_col, keys)).count().where("count > 1").isEmpty():
+        raise ValueError(NOT_UNIQUE)
+    rows = at(places).drop("__place")
     return df.join(F.broadcast(rows) if small else rows, keys, "left_semi")
 
 
@@ -119,18 +138,18 @@ def key_at_rank(
     df: DataFrame, keys: Sequence[str], rank: int, rows: int
 ) -> list[Column]:
     """The key values of the row at a 0-based rank, as literals."""
+    (key,) = _narrow(df, keys, [rank], rows)
+    return _literals(df, keys, key)
+
+
+def _literals(df: DataFrame, keys: Sequence[str], key: Sequence[Any]) -> list[Column]:
     types = [df.schema[k].dataType for k in keys]
-    if _narrowable(df, keys):
-        values = _narrow(df.select(_col(keys[0]).alias("k")), [rank], rows)
-    else:
-        numbered, sizes = _numbered(df.select(*map(_col, keys)), keys)
-        row = numbered.filter(F.col("__place") == _places(sizes, [rank])[0]).first()
-        values = [row[k] for k in keys]
-    return [F.lit(v).cast(t) for v, t in zip(values, types, strict=True)]
+    return [F.lit(v).cast(t) for v, t in zip(key, types, strict=True)]
 
 
-def _narrowable(df: DataFrame, keys: Sequence[str]) -> bool:
-    return len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _NARROWABLE)
+def _equal(df: DataFrame, keys: Sequence[str], key: Sequence[Any]) -> Column:
+    pairs = zip(keys, _literals(df, keys, key), strict=True)
+    return reduce(lambda a, b: a & b, [_col(k) == v for k, v in pairs])
 
 
 @dataclass(frozen=True)
@@ -144,28 +163,90 @@ class _Window:
     offset: int  # the rank within the window
 
 
-def _narrow(keys: DataFrame, ranks: Sequence[int], rows: int) -> list:
-    """The values of column ``k`` at the given ranks, by shrinking windows.
+class _Keys:
+    """The key columns, compared as one value."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str]):
+        self.df, self.keys = df, keys
+        self.table = df.select(*[_col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+        self.names = self.table.columns
+        kind = df.schema[keys[0]].dataType
+        self.one = len(keys) == 1
+        self.number = self.one and isinstance(kind, _NUMBERS)
+        self.whole = self.one and isinstance(kind, T.IntegralType)
+
+    def compared(self, operator: str, key: Any) -> Column:
+        """``columns operator key``; the leading column's bound is for the file scan."""
+        if self.one:
+            return getattr(F.col("k0"), operator)(_literals(self.df, self.keys, [key])[0])
+        literals = _literals(self.df, self.keys, key)
+        leading = "__ge__" if operator in ("__gt__", "__ge__") else "__le__"
+        bound = getattr(F.col("k0"), leading)(literals[0])
+        return bound & getattr(F.struct(*self.names), operator)(F.struct(*literals))
+
+    def value(self, row: Sequence[Any]) -> Any:
+        return row[0] if self.one else tuple(row)
 
-    Each round reads only the key column: one pass for two approximate
-    percentiles around each rank, one to count exactly.  A round shrinks a
-    window about 2,500-fold.
+
+def _narrow(df: DataFrame, keys: Sequence[str], ranks: Sequence[int], rows: int) -> list[tuple]:
+    """The keys at the given ranks, by shrinking windows.
+
+    Each round reads only the key columns: one pass for two guesses around each
+    rank, one to count exactly.  A guess for one number is an approximate
+    percentile, which shrinks a window about 2,500-fold; otherwise it comes from a
+    sample and shrinks it about 50-fold.  One job reads the last, small windows.
     """
-    whole = isinstance(keys.schema["k"].dataType, T.IntegralType)
-    least, most = keys.agg(F.min("k"), F.max("k")).first()
-    windows = [_Window(F.lit(True), least, most, rows, rank) for rank in ranks]
+    k = _Keys(df, keys)
+    least = most = None
+    if k.number:
+        least, most = k.table.agg(F.min("k0"), F.max("k0")).first()
+    whole = F.lit(True)
+    windows = [_Window(whole, least, most, rows, rank) for rank in ranks]
+    rounds = 0
     while any(w.size > SORT_LIMIT for w in windows):
         wide = [w for w in windows if w.size > SORT_LIMIT]
-        table = keys.filter(reduce(lambda a, b: a | b, [w.inside for w in wide]))
-        bounds = _bounds(table, wide, whole)
-        shrunk = iter(_shrunk(table, wide, bounds))
+        table = k.table.filter(reduce(lambda a, b: a | b, [w.inside for w in wide]))
+        rounds += 1
+        bounds = _bounds(table, wide, k.whole) if k.number else _sampled_bounds(table, k, wide, rounds)
+        shrunk = iter(_shrunk(table, k, wide, bounds))
         windows = [next(shrunk) if w.size > SORT_LIMIT else w for w in windows]
-    return [_at_offset(keys.filter(w.inside), w.offset) for w in windows]
+    return _at_offsets(k, windows)
+
+
+def _tagged(table: DataFrame, k: _Keys, windows: Sequence[_Window]) -> DataFrame:
+    """``tag`` and key of the rows of each of the different windows, by place in the list."""
+    first = _first_of_same(windows)
+    tags = F.array(*[F.when(windows[i].inside, F.lit(i)) for i in sorted(set(first))])
+    return table.select(F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("tag"), *k.names)
+
+
+def _first_of_same(windows: Sequence[_Window]) -> list[int]:
+    """For each window the place of the first one with the same range."""
+    places: dict[int, int] = {}
+    return [places.setdefault(id(w.inside), i) for i, w in enumerate(windows)]
+
+
+def _sampled_bounds(table: DataFrame, k: _Keys, windows: Sequence[_Window], seed: int) -> list[list]:
+    """Keys of a sample a little below and above each window's rank; None beyond its ends."""
+    different = set(_first_of_same(windows))
+    share = min(1.0, SAMPLE_KEYS / min(windows[i].size for i in different))
+    rows = _tagged(table, k, windows).sample(share, seed).orderBy("tag", *k.names).collect()
+    sample: dict[int, list] = {}
+    for row in rows:
+        sample.setdefault(row["tag"], []).append(k.value(row[1:]))
+    found = []
+    for w, i in zip(windows, _first_of_same(windows), strict=True):
+        keys = sample.get(i, [])
+        place = w.offset / w.size * len(keys)
+        margin = 1 if share == 1.0 else 3 * math.sqrt(len(keys)) / 2 + 2
+        low, high = math.floor(place - margin), math.ceil(place + margin)
+        found.append([keys[low] if low >= 0 and keys else None, keys[high] if high < len(keys) else None])
+    return found
 
 
 def _bounds(table: DataFrame, windows: Sequence[_Window], whole: bool) -> list[list]:
-    """Keys a little below and above each window's rank."""
-    k, margin = F.col("k"), 2.0 / ACCURACY
+    """Numbers a little below and above each window's rank."""
+    k, margin = F.col("k0"), 2.0 / ACCURACY
     decimal = "decimal(20,0)"
     sketches: dict[tuple, list[int]] = {}
     for i, w in enumerate(windows):  # windows with the same range share a sketch
@@ -190,40 +271,70 @@ def _bounds(table: DataFrame, windows: Sequence[_Window], whole: bool) -> list[l
 
 
 def _shrunk(
-    table: DataFrame, windows: Sequence[_Window], bounds: Sequence[Sequence]
+    table: DataFrame, k: _Keys, windows: Sequence[_Window], bounds: Sequence[Sequence]
 ) -> list[_Window]:
     """The part of each window, below, between or above its bounds, that holds its rank."""
-    k = F.col("k")
-    columns = []
-    for i, (w, (low, high)) in enumerate(zip(windows, bounds, strict=True)):
-        columns.append(F.count_if(w.inside & (k < F.lit(low))).alias(f"below{i}"))
-        between = w.inside & (k >= F.lit(low)) & (k <= F.lit(high))
-        columns.append(F.count_if(between).alias(f"between{i}"))
+    never, always = F.lit(False), F.lit(True)
+    parts = []
+    for w, (low, high) in zip(windows, bounds, strict=True):
+        below = never if low is None else k.compared("__lt__", low)
+        above = never if high is None else k.compared("__gt__", high)
+        from_low = always if low is None else k.compared("__ge__", low)
+        to_high = always if high is None else k.compared("__le__", high)
+        parts.append([w.inside & below, w.inside & from_low & to_high, w.inside & above])
+    columns = [F.count_if(c).alias(f"{n}{i}") for i, p in enumerate(parts) for n, c in zip("bm", p, strict=False)]
     counts = list(table.agg(*columns).first())
     result = []
     for i, (w, (low, high)) in enumerate(zip(windows, bounds, strict=True)):
         below, between = counts[2 * i : 2 * i + 2]
         if w.offset < below:
-            new = _Window(w.inside & (k < F.lit(low)), w.least, low, below, w.offset)
+            new = _Window(parts[i][0], w.least, low, below, w.offset)
         elif w.offset < below + between:
-            inside = w.inside & (k >= F.lit(low)) & (k <= F.lit(high))
-            new = _Window(inside, low, high, between, w.offset - below)
+            least, most = w.least if low is None else low, w.most if high is None else high
+            new = _Window(parts[i][1], least, most, between, w.offset - below)
         else:
             size, offset = w.size - below - between, w.offset - below - between
-            new = _Window(w.inside & (k > F.lit(high)), high, w.most, size, offset)
-        if new.size >= w.size:
-            raise ValueError("the row key is not unique")
+            new = _Window(parts[i][2], high, w.most, size, offset)
+        if new.size >= w.size and not (low is None and high is None):
+            raise ValueError(NOT_UNIQUE)  # else the sample was too small; the next is another
         result.append(new)
     return result
 
 
-def _at_offset(window: DataFrame, offset: int) -> Any:
-    # Neighbours are read too: a repeated key at the rank would be ambiguous.
-    start = max(offset - 1, 0)
-    near = [row["k"] for row in window.orderBy("k").offset(start).limit(3).collect()]
-    if len(set(near)) != len(near):
-        raise ValueError("the row key is not unique")
-    return near[offset - start]
+def _at_offsets(k: _Keys, windows: Sequence[_Window]) -> list[tuple]:
+    """The key at each window's offset; its neighbours show if it repeats."""
+    table = k.table.filter(reduce(lambda a, b: a | b, [w.inside for w in windows]))
+    rows: dict[int, list[tuple]] = {}
+    for row in _tagged(table, k, windows).orderBy("tag", *k.names).collect():
+        rows.setdefault(row["tag"], []).append(tuple(row[1:]))
+    found = []
+    for w, i in zip(windows, _first_of_same(windows), strict=True):
+        near = rows[i][max(w.offset - 1, 0) : w.offset + 2]
+        if len(set(near)) != len(near):
+            raise ValueError(NOT_UNIQUE)
+        found.append(rows[i][w.offset])
+    return found
+
+
+def _repeats(numbered: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether any key repeats; equal keys follow each other in a partition."""
+    ship_package(numbered.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, found = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is not None and last == [c[0].as_py() for c in batch.columns]:
+                found += 1
+            pairs = [pc.equal(c.slice(1), c.slice(0, len(c) - 1)) for c in batch.columns]
+            same = reduce(pc.and_, pairs)
+            found += pc.sum(same.cast(pa.int64())).as_py() or 0
+            last = [c[-1].as_py() for c in batch.columns]
+        yield pa.RecordBatch.from_arrays([pa.array([found], pa.int64())], ["repeats"])
+
+    counted = numbered.select(*map(_col, keys)).mapInArrow(run, "repeats bigint")
+    return bool(counted.agg(F.sum("repeats")).first()[0])
 
 
 def _numbered(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict[int, int]]:

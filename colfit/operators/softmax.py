@@ -15,6 +15,8 @@ from colfit.session import persisted, shared_folder
 
 # Group totals are broadcast up to this many groups.
 BROADCAST_GROUPS = 10_000
+# A group of more rows than this is not joined by shuffle, whatever the table's size.
+LARGE_ROWS = 1_000_000
 
 
 def softmax(
@@ -24,9 +26,9 @@ def softmax(
 
     The sums are pre-aggregated on the map side, so a group of any size is one
     small row.  They return to the rows by broadcast join while there are at
-    most ``BROADCAST_GROUPS`` groups.  With more, only the groups holding more
-    than one in ``BROADCAST_GROUPS`` rows are broadcast (there cannot be more
-    than that many), and the rest, none of them large, join by shuffle.
+    most ``BROADCAST_GROUPS`` groups.  With more, the groups of more than
+    ``LARGE_ROWS`` rows are broadcast, a millionth of the table's rows at most,
+    and the rest, none of them large, join by shuffle.
     """
     require_columns(df, [value, *by])
     x = double(value)
@@ -52,8 +54,9 @@ def softmax(
         shared_folder(spark)
         totals = totals.checkpoint()
 
-    rows = totals.agg(F.sum("__rows")).first()[0]
-    large = totals.filter(F.col("__rows") > rows / BROADCAST_GROUPS).collect()
+    large = totals.filter(F.col("__rows") > LARGE_ROWS).collect()
+    if not large:
+        return scored(df.join(totals, same))
     hot = F.broadcast(spark.createDataFrame(large, totals.schema))
     rest = df.join(hot, same, "left_anti").join(totals, same)
     return scored(df.join(hot, same)).unionByName(scored(rest))

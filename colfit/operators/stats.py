@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Beyond this many expressions one aggregate no longer compiles to a small
-# method, so the values are exploded and averaged by position instead.
-MAX_AGGREGATES = 100
+from colfit.session import ship_package
+
+# Expressions in one aggregate; more are split over several in the same job, as
+# one large aggregate no longer compiles to a small method.
+AGGREGATES_AT_ONCE = 50
 
 
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
@@ -23,33 +28,90 @@ def column_statistics(
     columns: Sequence[Column],
     aggregates: Sequence[Callable[[Column], Column]],
 ) -> list[tuple]:
-    """The aggregates of each column expression over all rows, in one pass.
+    """The aggregates of each column expression over all rows.
 
-    Both forms aggregate on the map side; at most ``len(columns)`` rows per
-    task are shuffled.
+    Combined on the map side.  Many columns are read in groups, each by an
+    aggregate of its own whose scan reads the group's columns only.
     """
-    if not columns:
-        return []
     width = len(aggregates)
-    if len(columns) * width <= MAX_AGGREGATES:
-        named = [
-            f(c).alias(f"s{i}_{j}") for i, c in enumerate(columns) for j, f in enumerate(aggregates)
-        ]
+    found: list[tuple] = []
+    for at in range(0, len(columns), max(1, AGGREGATES_AT_ONCE // width)):
+        group = columns[at : at + max(1, AGGREGATES_AT_ONCE // width)]
+        named = [f(c).alias(f"s{i}_{j}") for i, c in enumerate(group) for j, f in enumerate(aggregates)]
         row = df.agg(*named).first()
-        return [tuple(row[i * width : (i + 1) * width]) for i in range(len(columns))]
-    rows = (
-        df.select(F.posexplode(F.array(*columns)).alias("pos", "value"))
+        found += [tuple(row[i * width : (i + 1) * width]) for i in range(len(group))]
+    return found
+
+
+def column_means(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
+    """Averages of a few column expressions over all rows, in one pass."""
+    return list(df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()) if columns else []
+
+
+def sums_by_task(
+    df: DataFrame, columns: Sequence[Column], function: Callable[[np.ndarray], np.ndarray]
+) -> np.ndarray | None:
+    """``function`` of the values, rows by columns, added up over all rows; None without rows.
+
+    Each task adds up its batches in numpy and yields one row, so the cost does
+    not depend on how many numbers the function returns.  Nulls arrive as NaN.
+    """
+    names = [f"c{i}" for i in range(len(columns))]
+
+    def total(batch: pa.RecordBatch) -> np.ndarray:
+        return function(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+
+    return _added_up(df.select(*[c.cast("double").alias(n) for c, n in zip(columns, names, strict=True)]), total)
+
+
+def array_means(df: DataFrame, values: Column) -> np.ndarray | None:
+    """Averages by position of arrays of doubles of one length; None without rows."""
+
+    def total(batch: pa.RecordBatch) -> np.ndarray:
+        flat = pc.list_flatten(batch.column(0)).to_numpy(zero_copy_only=False)
+        return np.append(flat.reshape(batch.num_rows, -1).sum(axis=0), batch.num_rows)
+
+    sums = _added_up(df.select(values.alias("values")), total)
+    return None if sums is None else sums[:-1] / sums[-1]
+
+
+def _added_up(rows: DataFrame, total: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray | None:
+    ship_package(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
+        for batch in batches:
+            if batch.num_rows:
+                own = total(batch) if own is None else own + total(batch)
+        if own is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([own], pa.list_(pa.float64()))], ["total"])
+
+    summed = (
+        rows.mapInArrow(run, "total array<double>")
+        .select(F.posexplode("total").alias("pos", "value"))
         .groupBy("pos")
-        .agg(*[f(F.col("value")).alias(f"s{j}") for j, f in enumerate(aggregates)])
-        .collect()
+        .agg(F.sum("value").alias("value"))
+        .collect()  # one row per number that total returns
     )
-    found = {row["pos"]: tuple(row)[1:] for row in rows}
-    return [found.get(i, (None,) * width) for i in range(len(columns))]
+    if not summed:
+        return None
+    return np.array([r["value"] for r in sorted(summed, key=lambda r: r["pos"])])
 
 
-def column_means(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
-    """Average of each column expression over all rows, in one pass."""
-    return [mean for (mean,) in column_statistics(df, columns, [F.avg])]
+def wide_means(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
+    """Averages, nulls left out, of as many column expressions as there are features."""
+
+    def function(values: np.ndarray) -> np.ndarray:
+        return values.sum(axis=0)
+
+    # A null counts neither as a value nor in the number of values.
+    filled = [F.coalesce(c.cast("double"), F.lit(0.0)) for c in columns]
+    there = [c.isNotNull().cast("double") for c in columns]
+    totals = sums_by_task(df, [*filled, *there], function)
+    if totals is None:
+        return [None] * len(columns)
+    sums, counts = np.split(totals, 2)
+    return [float(x / n) if n else None for x, n in zip(sums, counts, strict=True)]
 
 
 def number_min(x: Column) -> Column:

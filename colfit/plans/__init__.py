@@ -1,6 +1,13 @@
 """Queries over the test tables, each with the SQL that must give the same rows."""
 
-from colfit.plans import clustering, functions, networks, preparation, supervised  # noqa: F401
+from colfit.plans import (  # noqa: F401
+    clustering,
+    functions,
+    networks,
+    preparation,
+    supervised,
+    wide,
+)
 from colfit.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -174,7 +174,7 @@ def _tol_sql(tolerance: float, most: int) -> str:
     )
 
 
-@query("kmeans_fit_tol", _tol_sql(0.5, 8))
+@query("kmeans_fit_tol", _tol_sql(0.5, 16))
 def _fit_tol(spark, folder):
     return _centroids(spark, KMeans(4, Tol(0.5)).fit(customers(spark, folder), CUS_FEATURES))
 

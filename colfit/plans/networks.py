@@ -38,17 +38,13 @@ def _sigmoid_sql(x: str) -> str:
 # ---- layers -----------------------------------------------------------------
 
 
-def _part_count(spark: SparkSession, folder: str) -> int:
-    return table(spark, folder, "part").count()
-
-
 @query(
     "layer_zeroes",
     f"SELECT p_partkey AS pos, {number(0.0)} AS weight, {number(0.0)} AS bias FROM part",
 )
 def _layer_zeroes(spark, folder):
-    """A layer as wide as the part table is long."""
-    return layer_zeroes(spark, _part_count(spark, folder))
+    """A layer with the positions of the part table."""
+    return layer_zeroes(table(spark, folder, "part"), "p_partkey")
 
 
 def _random_sql(kind: str) -> str:
@@ -61,7 +57,7 @@ def _random_sql(kind: str) -> str:
     f"{_random_sql('bias')} AS bias FROM part",
 )
 def _layer_random(spark, folder):
-    layer = layer_random(spark, _part_count(spark, folder), (1.0, -1.0), SEED)
+    layer = layer_random(table(spark, folder, "part"), (1.0, -1.0), SEED, "p_partkey")
     return layer.select(
         "pos", rounded("weight").alias("weight"), rounded("bias").alias("bias")
     )

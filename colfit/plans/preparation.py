@@ -19,7 +19,7 @@ from colfit.operators import (
 )
 from colfit.plans.registry import number, query, rounded, rounded_sql
 from colfit.plans.views import table
-from colfit.session import shared_folder
+from colfit.session import remove_folder, shared_folder
 from colfit.sources import load_csv
 
 PRICE = ["o_totalprice"]
@@ -38,16 +38,44 @@ def _price_sql(expression: str) -> str:
     return f"SELECT o_orderkey, {expression} AS o_totalprice FROM orders"
 
 
+CSV_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+
+
+def _orders_by_csv(spark: SparkSession, folder: str, schema: str | None) -> DataFrame:
+    """The orders written as CSV and loaded again; the files are deleted afterwards."""
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    try:
+        table(spark, folder, "orders").select(*CSV_COLUMNS).write.option("header", True).csv(path)
+        return load_csv(spark, path, schema).checkpoint()
+    finally:
+        remove_folder(spark, path)
+
+
 @query(
     "load_csv",
     "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, "
     "o_totalprice, o_orderpriority FROM orders",
 )
 def _load_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
-    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
-    table(spark, folder, "orders").select(*columns).write.option("header", True).csv(path)
-    return load_csv(spark, path)
+    return _orders_by_csv(spark, folder, None)
+
+
+@query("load_csv_schema", f"SELECT {', '.join(CSV_COLUMNS)} FROM orders")
+def _load_csv_schema(spark: SparkSession, folder: str) -> DataFrame:
+    schema = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderpriority string"
+    return _orders_by_csv(spark, folder, schema)
+
+
+@query(
+    "transform_cols_centred",
+    "SELECT o_orderkey, "
+    + rounded_sql("o_totalprice - avg(o_totalprice) OVER ()")
+    + " AS o_totalprice FROM orders",
+)
+def _transform_cols_centred(spark, folder):
+    """A function of the column and a statistic of all of it."""
+    centred = transform_cols(_prices(spark, folder), PRICE, lambda c, mean: c - mean, statistics=[F.avg])
+    return _rounded_prices(centred)
 
 
 @query("transform_cols", _price_sql("o_totalprice * 2"))
@@ -121,6 +149,30 @@ def _select_rows(spark, folder):
     return select_rows(_prices(spark, folder), ROWS, "o_orderkey")
 
 
+MANY_ROWS = list(range(0, 1500, 37))
+
+
+@query(
+    "select_rows_many",
+    "SELECT o_orderkey, o_totalprice FROM (SELECT o_orderkey, o_totalprice, "
+    "row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) "
+    f"WHERE i IN ({', '.join(map(str, MANY_ROWS))})",
+)
+def _select_rows_many(spark, folder):
+    return select_rows(_prices(spark, folder), MANY_ROWS, "o_orderkey")
+
+
+@query(
+    "select_rows_by_two_columns",
+    "SELECT o_orderkey, o_totalprice FROM (SELECT o_orderkey, o_totalprice, "
+    "row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS i FROM orders) "
+    f"WHERE i IN ({', '.join(map(str, ROWS))})",
+)
+def _select_rows_by_two_columns(spark, folder):
+    rows = table(spark, folder, "orders").select("o_orderdate", "o_orderkey", "o_totalprice")
+    return select_rows(rows, ROWS, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_totalprice")
+
+
 @query(
     "row_index",
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_index "

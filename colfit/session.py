@@ -52,6 +52,12 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(archive)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
     """Kept in memory and on disk within the block; lost blocks are recomputed."""

@@ -1,6 +1,7 @@
 """Linear, logistic and support vector models against plain loops."""
 
 import math
+import random
 from functools import reduce
 
 import pytest
@@ -18,7 +19,7 @@ from colfit.models import (
     fit_logistic,
     fit_svm,
 )
-from colfit.models.gradient import PER_FEATURE
+from colfit.models.gradient import PER_FEATURE, fit_by_epochs
 from colfit.operators import stats
 
 
@@ -146,11 +147,34 @@ def test_per_feature_one_feature_is_least_squares(data):
     same(model, (intercept, [slope]), 1e-8)
 
 
-def test_many_features_average_by_position(data, monkeypatch):
-    monkeypatch.setattr(stats, "MAX_AGGREGATES", 3)
+def test_wide_features(spark):
+    """Many features, by one matrix product per task and by epochs alike."""
+    rng = random.Random(5)
+    k, n = 70, 200
+    rows = [[rng.uniform(-1, 1) for _ in range(k)] for _ in range(n)]
+    y = [sum(r) / k + rng.random() for r in rows]
+    names = [f"f{i}" for i in range(k)]
+    schema = ", ".join(f"{c} double" for c in [*names, "target"])
+    df = spark.createDataFrame([(*r, t) for r, t in zip(rows, y, strict=True)], schema).repartition(3)
+    expected = loop([list(c) for c in zip(*rows, strict=True)], y, 4, 0.05, shared=False)
+    same(fit_linear(df, names, "target", 4, 0.05, gradient=PER_FEATURE), expected)
+    model = LinearModel(tuple(names), "target", 0.0, (0.0,) * k)
+    by_epochs = fit_by_epochs(model, df, 4, 0.05, (), PER_FEATURE, "error")
+    same(by_epochs, expected)
+
+
+def test_wide_means_leave_nulls_out(table):
+    df = table(a=[1.0, None, 3.0], b=[None, None, None], c=[float("nan"), 1.0, 2.0])
+    means = stats.wide_means(df, [F.col(c) for c in "abc"])
+    assert means[:2] == [2.0, None] and math.isnan(means[2])
+    assert stats.wide_means(df.limit(0), [F.col("a")]) == [None]
+
+
+def test_key_may_be_one_name(data):
     df, names = data(X, Y)
-    expected = loop(X, Y, 5, 0.05, shared=False)
-    same(fit_linear(df, names, "target", 5, 0.05, gradient=PER_FEATURE), expected)
+    df = df.withColumn("id", F.monotonically_increasing_id())
+    by_name = fit_svm(df, names, "target", 2, 0.1, order_by="id")
+    assert by_name == fit_svm(df, names, "target", 2, 0.1, order_by=["id"])
 
 
 def test_linear_r2_of_constant_label(data):

@@ -1,5 +1,8 @@
 import math
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +10,8 @@ from pyspark.sql import functions as F
 from colfit.models import RANDOM, KMeans, KMeansModel, MaxIter, Tol
 from colfit.models import kmeans as module
 from colfit.models.kmeans import centroids_from_wide, converged, euclidean_distance
-from colfit.operators import stats
 
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 ONE = [1, 2, 3, 101, 102, 103]
 THREE = [1, 2, 3, 101, 102, 103, 201, 202, 203]
 
@@ -90,11 +93,9 @@ def test_random_init_inertia_never_rises(table):
 
 
 @pytest.mark.parametrize("limit", [512, 3])
-@pytest.mark.parametrize("aggregates", [100, 2])
-def test_rounds_equal_brute_force(table, monkeypatch, limit, aggregates):
-    """Expression and batch forms, and both forms of the averages."""
+def test_rounds_equal_brute_force(table, monkeypatch, limit):
+    """Expression and batch forms."""
     monkeypatch.setattr(module, "MAX_EXPRESSION_COORDINATES", limit)
-    monkeypatch.setattr(module, "MAX_AGGREGATES", aggregates)
     rng = random.Random(9)
     # A third of the rows fall in one place.
     cols = [[0.5] * 20 + [rng.random() * 3 for _ in range(40)] for _ in range(3)]
@@ -196,5 +197,24 @@ def test_nothing_stays_cached(one, spark):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
-def test_average_limits_agree():
-    assert module.MAX_AGGREGATES == stats.MAX_AGGREGATES
+def test_compactness_of_an_unfitted_model(three):
+    model = KMeans(3, MaxIter(1))
+    expected = model.initial(three, F3).compactness(three).first()[0]
+    assert model.compactness(three, F3).first()[0] == approx(expected)
+
+
+def test_many_centroids_in_a_fresh_process(tmp_path):
+    """Workers get the package whatever folder and path they start with."""
+    code = f"""
+import sys
+sys.path.insert(0, {REPO!r})
+from pyspark.sql import SparkSession
+from colfit.models import KMeans, MaxIter
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+df = spark.range(300).selectExpr("cast(id as double) a", "cast(id % 7 as double) b")
+model = KMeans(65, MaxIter(1)).fit(df, ["a", "b"])
+print("rows", model.predict(df).where("clusters >= 0").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
+    assert "rows 300" in done.stdout, done.stderr[-2000:]

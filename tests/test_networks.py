@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from colfit.functions.activations import IDENTITY, RELU, SIGMOID, SOFTMAX, LeakyReLU
 from colfit.functions.losses import BCE, HINGE, MSE
-from colfit.models import ColumnNetwork, Layer, Network, layer_random, layer_zeroes
+from colfit.models import ColumnNetwork, Layer, Network, layer_random, layer_zeroes, positions
 from colfit.models.layers import layer_backward, layer_forward
 
 
@@ -96,18 +96,18 @@ def read(df, *names):
 
 
 def test_layer_zeroes(spark):
-    assert read(layer_zeroes(spark, 3), "pos", "weight", "bias") == [[0, 1, 2], [0] * 3, [0] * 3]
+    assert read(layer_zeroes(positions(spark, 3)), "pos", "weight", "bias") == [[0, 1, 2], [0] * 3, [0] * 3]
 
 
 def test_layer_random(spark):
-    first = layer_random(spark, 5, (1.0, -1.0), 3)
+    first = layer_random(positions(spark, 5), (1.0, -1.0), 3)
     weights, biases = read(first, "weight", "bias")
     assert len(weights) == 5
     assert all(-1 <= v <= 1 for v in weights + biases)
     assert len(set(weights + biases)) == 10
-    again = layer_random(spark, 50, (-1.0, 1.0), 3).filter("pos < 5")
+    again = layer_random(positions(spark, 50), (-1.0, 1.0), 3).filter("pos < 5")
     assert read(again, "weight", "bias") == [weights, biases]
-    assert read(layer_random(spark, 5, (-1.0, 1.0), 4), "weight") != weights
+    assert read(layer_random(positions(spark, 5), (-1.0, 1.0), 4), "weight") != weights
 
 
 def test_layer_forward(layer, vec):

@@ -151,3 +151,67 @@ def test_order_by_is_required(table):
         select_rows(table(a=[1]), [0], [])
     with pytest.raises(ValueError, match="not found"):
         split(table(a=[1]), 0.5, "absent")
+
+
+@pytest.fixture
+def twice(spark):
+    """Forty rows, each key twice, of three kinds."""
+    rows = [(i // 2, f"{i // 2:03d}", i // 2 // 5, float(i)) for i in range(40)]
+    return spark.createDataFrame(rows, "k bigint, s string, a int, rank double").repartition(3)
+
+
+@pytest.mark.parametrize("key", ["k", "s", ["a", "k"]])
+@pytest.mark.parametrize("positions", [[5], [0, 8, 21], range(16), range(17)])
+def test_repeated_keys_raise_on_every_path(twice, key, positions):
+    with pytest.raises(ValueError, match="not unique"):
+        select_rows(twice, positions, key).collect()
+
+
+@pytest.mark.parametrize("key", ["k", "s", ["a", "k"]])
+def test_repeated_key_at_the_cut(twice, key):
+    with pytest.raises(ValueError, match="not unique"):
+        split(twice, 0.525, key)
+
+
+@pytest.mark.parametrize("key", ["k", "s", ["a", "k"]])
+def test_row_index_rejects_repeated_keys(twice, key):
+    with pytest.raises(ValueError, match="not unique"):
+        with_row_index(twice, key)
+
+
+@pytest.mark.parametrize("key", ["k", "s", ["a", "s"]])
+@pytest.mark.parametrize("positions", [[3], range(3, 23)])
+def test_repeats_elsewhere_do_not_matter(spark, key, positions):
+    rows = [(min(i, 30), f"{min(i, 30):03d}", min(i, 30) // 7, float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "k bigint, s string, a int, rank double").repartition(3)
+    assert sorted(r["rank"] for r in select_rows(df, positions, key).collect()) == [float(i) for i in positions]
+
+
+@pytest.mark.parametrize("keys", [["s"], ["a", "s"], ["d", "a"]])
+def test_narrowing_by_a_sample(spark, monkeypatch, keys):
+    monkeypatch.setattr(rowindex, "SORT_LIMIT", 20)
+    monkeypatch.setattr(rowindex, "SAMPLE_KEYS", 100)
+    order = list(range(4000))
+    random.Random(5).shuffle(order)
+    rows = [(f"{i:05d}", i // 900 if keys[0] == "a" else i % 13, float(i // 13), float(i)) for i in order]
+    df = spark.createDataFrame(rows, "s string, a int, d double, rank double").repartition(4)
+    first, rest = split(df, 0.37, keys)
+    assert sorted(r["rank"] for r in first.collect()) == [float(i) for i in range(1480)]
+    assert rest.count() == 2520
+    wanted = [0, 1, 700, 701, 3999]
+    assert sorted(r["rank"] for r in select_rows(df, wanted, keys).collect()) == [float(i) for i in wanted]
+
+
+def test_jobs_do_not_grow_with_positions(shuffled, spark):
+    df = shuffled(2000).persist()
+    df.count()
+
+    def jobs(positions):
+        group = f"positions-{len(positions)}"
+        spark.sparkContext.setJobGroup(group, "")
+        select_rows(df, positions, "k")
+        spark.sparkContext.setJobGroup("", "")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs([7]) == jobs(list(range(0, 1600, 100)))
+    df.unpersist()
