@@ -205,7 +205,7 @@ def links(distinct: DataFrame, bits: int = MOST_BITS) -> DataFrame:
     anchor with more than ``TILE_ROWS`` rows is cut into k tiles; its homes of tile i
     meet its replicas of tile j in unit (i, j), so every pair still meets.
     """
-    placed = cut(_placed(distinct))
+    placed = _placed(distinct)  # quicker to make twice than to write
     large = cut(
         placed.groupBy("anchor")
         .count()
