@@ -91,7 +91,20 @@ def trie_scores(spark: SparkSession, folder: str) -> DataFrame:
     return eftrie.learn_and_score(table(spark, folder, "documents"))
 
 
-@query("op4_subspace_vectors")
+@query(
+    "op4_subspace_vectors",
+    f"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL),
+    s AS (SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM s a JOIN s b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= {subspace.COSINE}),
+    counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+    reach AS (SELECT vec_id AS node, vec_id AS root FROM embeddings
+        UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+    named AS (SELECT node AS vec_id, min(root) AS component_id FROM reach GROUP BY node)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM named LEFT JOIN counted USING (vec_id)""",
+)
 def subspace_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return subspace.near_vectors(table(spark, folder, "embeddings"))
 

@@ -16,7 +16,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables n
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = QUERIES[name](spark, FOLDER)
     cursor = con.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
