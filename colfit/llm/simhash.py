@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colfit.llm.common import attach, cut, map_batches
-from colfit.llm.components import components
+from colfit.llm.components import components, forest
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -149,25 +149,6 @@ def _placed(distinct: DataFrame) -> DataFrame:
     return map_batches(distinct.select("fp", F.col("view").cast("int").alias("view")), place, "anchor bigint, home boolean, fp bigint")
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join the same values as the pairs do, at most one per value."""
-    values, index = np.unique(np.concatenate((a, b)), return_inverse=True)
-    left, right = index[: len(a)], index[len(a) :]
-    label = np.arange(len(values))
-    while True:
-        least = np.minimum(label[left], label[right])
-        new = label.copy()
-        np.minimum.at(new, left, least)
-        np.minimum.at(new, right, least)
-        np.minimum.at(new, label, new)  # roots follow their members
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    apart = label != np.arange(len(values))
-    return values[apart], values[label[apart]]
-
-
 def _links(
     unit: np.ndarray, home: np.ndarray, fp: np.ndarray, bits: int
 ) -> tuple[np.ndarray, np.ndarray]:

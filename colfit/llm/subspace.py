@@ -29,8 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colfit.llm.common import attach, cut, map_batches
-from colfit.llm.components import components
-from colfit.llm.simhash import forest
+from colfit.llm.components import components, forest
 
 COSINE = 0.93
 BLOCKS = 8
