@@ -9,9 +9,10 @@ the leaves and back downward, give every block's marginals, and the text of bloc
 are content by more than half is the page's main text.
 
 The potentials are log frequencies counted on labelled pages: the few pages of
-``LABELLED`` with a label on every part, and up to ``TRAINING_PAGES`` pages of the corpus
-whose own markup labels them, with one article or main element.  Those are counted twice,
-the second time with that element's tag hidden, so that the model can do without.
+``LABELLED`` with a label on every part, and of about ``TRAINING_PAGES`` pages of the
+corpus those whose own markup labels them, with one article or main element.  Those are
+counted twice, the second time with that element's tag hidden, so that the model can do
+without.
 
 Results by case: a page that is null, empty or without text gives an empty text; broken
 markup is closed where browsers would; a page of any length is used whole; rows that
@@ -33,7 +34,8 @@ from pyspark.sql import functions as F
 from colfit.llm.common import map_batches
 
 CONTAINER, CONTENT, BOILERPLATE = range(3)
-#: Most pages of the corpus to learn from, the first by a hash of their id.
+#: Pages of the corpus to look at for labelled ones, by a hash of id and address; never
+#: more than twice as many are learned from.
 TRAINING_PAGES = 1000
 #: Each page of LABELLED counts as this many pages, or as this part of those of the corpus.
 SEED_PAGES = 25
@@ -344,7 +346,10 @@ def trained(totals: Counter) -> TreeModel:
 
 def learn(pages: DataFrame, most: int = TRAINING_PAGES) -> TreeModel:
     marked = F.col("html").rlike("(?i)<(article|main)[\\s>]")
-    sample = pages.where(marked).orderBy(F.xxhash64("page_id"), "url").limit(most).select("html")
+    # Rows are taken by hash where they are read; the limit is for ids that repeat very often.
+    share = min(1.0, most / max(pages.count(), 1))
+    taken = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) < F.lit(round(share * (1 << 30)))
+    sample = pages.where(taken & marked).select("html").limit(2 * most)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: Counter = Counter()
