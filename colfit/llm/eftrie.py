@@ -37,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colfit.llm.common import cut, map_batches, remainder_of
@@ -51,12 +51,12 @@ DISCOUNT = 0.75
 #: Occurrences below which a bigram or trigram is not stored.
 LEAST_COUNT = 2
 #: Training tokens to a shard of the trie, and distinct words to one of the vocabulary.
-SHARD_TOKENS = 64_000_000
+SHARD_TOKENS = 16_000_000
 SHARD_WORDS = 4_000_000
 #: Tokens whose n-grams a task merges before it passes them on.
 MERGED_TOKENS = 3_000_000
 #: Tokens looked up at once.
-TOKENS_AT_ONCE = 1 << 16
+TOKENS_AT_ONCE = 1 << 18
 #: One byte stores a base-10 logarithm from 0 down to this.
 LOWEST_LOG = -10.0
 #: Stands for the end of a text among the hashes of words.
@@ -395,14 +395,16 @@ class Trie:
         return (a * self.v + ids)[a <= self.v].astype(np.uint64)  # training words are all known
 
     def find_bigrams(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Places over all shards, -1 if not stored."""
+        """Places over all shards, -1 if not stored; each distinct bigram is looked up once."""
         found = np.full(len(a), -1, np.int64)
         known = np.flatnonzero((a <= self.v) & (b < self.v))
-        shard = a[known] % self.sizes.shards
-        for k, mine in self._parts(shard):
-            at = known[mine]
-            place = self.bigrams[k].find(a[at] // self.sizes.shards * self.v + b[at])
-            found[at] = np.where(place >= 0, place + self.starts[k], -1)
+        shards = self.sizes.shards
+        local = a[known] // shards * self.v + b[known]
+        for k, mine in self._parts(a[known] % shards):
+            # In order, so that neighbours in memory are looked up together.
+            distinct, inverse = np.unique(local[mine], return_inverse=True)
+            place = self.bigrams[k].find(distinct)
+            found[known[mine]] = np.where(place >= 0, place + self.starts[k], -1)[inverse]
         return found
 
     def first_bigram(self, a: np.ndarray) -> np.ndarray:
@@ -420,12 +422,20 @@ class Trie:
             out[mine] = self.pointers[k].access(local + 1) - self.pointers[k].access(local)
         return out
 
+    def ranks(self, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Of each stored bigram its rank among those of its first word, else -1."""
+        out = np.full(len(ids), -1, np.int64)
+        stored = np.flatnonzero(place >= 0)
+        words, inverse = np.unique(self.before(ids)[stored], return_inverse=True)
+        out[stored] = place[stored] - self.first_bigram(words)[inverse]
+        return out
+
     def trigram_keys(self, ids: np.ndarray) -> np.ndarray:
         """Of every token whose two bigrams are stored: place of the first, rank in the second."""
         place = self.find_bigrams(self.before(ids), ids)
+        rank = self.ranks(ids, place)
         both = np.flatnonzero((place[1:] >= 0) & (place[:-1] >= 0) & (ids[:-1] != self.end)) + 1
-        rank = place[both] - self.first_bigram(ids[both - 1])
-        return (place[both - 1].astype(np.uint64) * np.uint64(self.v + 1)) + rank.astype(np.uint64)
+        return place[both - 1].astype(np.uint64) * np.uint64(self.v + 1) + rank[both].astype(np.uint64)
 
     def unigram_log(self, count: np.ndarray) -> np.ndarray:
         total = self.sizes.tokens + ADDED * (self.vocabulary.size + 1)
@@ -438,41 +448,41 @@ class Trie:
             out[mine] = arrays[k][place[mine] - self.starts[k]]
         return _value(out)
 
-    def logs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Base-10 logarithm of each token's probability, and its training count."""
-        count = self.vocabulary.count(ids)
-        out = self.unigram_log(count)
+    def logs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Base-10 logarithm of each token's probability, that of the base, and its count."""
+        words, code = np.unique(ids, return_inverse=True)
+        word_count = self.vocabulary.count(words)
+        base, count = self.unigram_log(word_count)[code], word_count[code]
         if not len(self.bigrams) or not len(ids):
-            return out, count
+            return base, base, count
         a = self.before(ids)
         # Bigram, or the word's back-off before the unigram.
-        backoff = np.zeros(len(ids))
-        context = np.flatnonzero(a <= self.v)
-        for k, mine in self._parts(a[context] % self.sizes.shards):
-            at = context[mine]
-            backoff[at] = _value(self.word_backoff[k][a[at] // self.sizes.shards])
+        contexts, code = np.unique(a, return_inverse=True)
+        backoff = np.zeros(len(contexts))
+        known = np.flatnonzero(contexts <= self.v)
+        for k, mine in self._parts(contexts[known] % self.sizes.shards):
+            at = known[mine]
+            backoff[at] = _value(self.word_backoff[k][contexts[at] // self.sizes.shards])
         place = self.find_bigrams(a, ids)
-        stored = place >= 0
-        out = np.where(stored, out, out + backoff)
+        out = base + backoff[code]
+        stored = np.flatnonzero(place >= 0)
         out[stored] = self._bigram_codes(self.bigram_log, place[stored])
         # Trigram, or the bigram's back-off before that.
+        rank = self.ranks(ids, place)
         after = np.flatnonzero((place[:-1] >= 0) & (ids[:-1] != self.end)) + 1
         first = place[after - 1]
         shard = np.searchsorted(self.starts, first, "right") - 1
-        rank = np.full(len(after), -1, np.int64)
-        has = np.flatnonzero(place[after] >= 0)
-        rank[has] = place[after[has]] - self.first_bigram(ids[after[has] - 1])
         for k, mine in self._parts(shard):
             at, local = after[mine], first[mine] - self.starts[k]
-            weights = _value(self.bigram_backoff[k][local])
-            searched = np.flatnonzero(rank[mine] >= 0)
-            found = np.full(len(mine), -1, np.int64)
-            base = self.bases[k].access(local[searched])
-            found[searched] = self.trigrams[k].find(base + rank[mine][searched])
-            hit = found >= 0
-            out[at] = np.where(hit, 0.0, out[at] + weights)
-            out[at[hit]] = _value(self.trigram_log[k][found[hit]])
-        return out, count
+            out[at] += _value(self.bigram_backoff[k][local])
+            searched = np.flatnonzero(rank[at] >= 0)
+            parents, inverse = np.unique(local[searched], return_inverse=True)
+            value = self.bases[k].access(parents)[inverse] + rank[at[searched]]
+            distinct, inverse = np.unique(value, return_inverse=True)
+            found = self.trigrams[k].find(distinct)[inverse]
+            hit = np.flatnonzero(found >= 0)
+            out[at[searched[hit]]] = _value(self.trigram_log[k][found[hit]])
+        return out, base, count
 
 
 _vocabularies: dict[str, tuple[str, Vocabulary]] = {}
@@ -498,10 +508,13 @@ def trie(sizes: Sizes, scores: bool = False) -> Trie:
     return held[1]
 
 
-def learn(texts: DataFrame) -> Sizes:
-    """Count, smooth and write the model of all texts to a new shared folder."""
-    spark = texts.sparkSession
-    folder = f"{shared_folder(spark).rstrip('/')}/ngrams-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession) -> str:
+    """A name in the shared folder that no other model has."""
+    return f"{shared_folder(spark).rstrip('/')}/ngrams-{uuid.uuid4().hex}"
+
+
+def learn(texts: DataFrame, folder: str) -> Sizes:
+    """Count, smooth and write the model of all texts to a folder that all executors see."""
     files = Files(folder)
     files.fs.create_dir(files.path, recursive=True)
     n_texts = texts.count()
@@ -615,8 +628,7 @@ def score(docs: DataFrame, sizes: Sizes) -> DataFrame:
             columns: list[list[np.ndarray]] = [[], [], [], []]
             for ids, lengths in token_ids([batch], model.vocabulary):
                 starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-                logs, count = model.logs(ids)
-                base = model.unigram_log(count)
+                logs, base, count = model.logs(ids)
                 values = (
                     lengths,
                     np.add.reduceat((count > 0).astype(np.int64), starts),
@@ -642,11 +654,12 @@ def held_out(doc_id: Column) -> Column:
 
 def learn_and_score(docs: DataFrame) -> DataFrame:
     """Learn from the documents that are not held out, score all, delete the model's files."""
-    sizes = learn(docs.where(~held_out(F.col("doc_id"))))
+    folder = new_folder(docs.sparkSession)
     try:
+        sizes = learn(docs.where(~held_out(F.col("doc_id"))), folder)
         scored = cut(score(docs, sizes))
     finally:
-        files = Files(sizes.folder)
+        files = Files(folder)
         files.fs.delete_dir(files.path)
     return scored.select(
         "doc_id",
