@@ -24,6 +24,7 @@ from colfit.operators.stats import (
     column_means,
     require_columns,
     wide_means,
+    wide_means_of_checked,
 )
 from colfit.session import persisted
 
@@ -74,7 +75,8 @@ class GradientModel:
         check_gradient(gradient)
         order_by = key_columns(order_by)
         require_columns(df, [self.label, *order_by])
-        y, p = double(self.label), self.prediction(df)
+        y = double(self.label)
+        df, p = with_prediction(df, self.prediction(df))
         xs = [double(f) for f in self.features]
         loss = self.loss_function
         terms = [loss.feature_term(x, y, p) for x in xs]
@@ -148,6 +150,11 @@ def checked_means(
     return means
 
 
+def with_prediction(rows: DataFrame, prediction: Column) -> tuple[DataFrame, Column]:
+    """The prediction as a column, so that many terms share one expression."""
+    return rows.withColumn("__prediction", prediction), F.col("__prediction")
+
+
 def check_rows(rows: DataFrame, model: GradientModel) -> None:
     """Raises on nulls and on no rows."""
     missing = any_null([*model.features, model.label])
@@ -197,11 +204,11 @@ def fit_by_epochs(
         check_rows(rows, model)
 
         def step(current: GradientModel):
-            p = current.activation.over_column(rows, current.score)
+            scored, p = with_prediction(rows, current.activation.over_column(rows, current.score))
             loss = current.loss_function
             xs = [double(f) for f in current.features]
             terms = [loss.feature_term(x, y, p) for x in xs]
-            means = wide_means(rows, [loss.intercept_term(y, p), *terms])
+            means = wide_means_of_checked(scored, [loss.intercept_term(y, p), *terms])
             return loss.intercept_scale * means[0], [loss.feature_scale * m for m in means[1:]]
 
         return descend(model, num_epochs, learning_rate, step)

@@ -306,7 +306,7 @@ class Network:
             rows = rows.withColumn(f"w{i}", F.zip_with(old, step, lambda w, s: w - s * rate))
         shifts = [*[array_sum(F.col(f"w{i + 1}")) for i in range(last)], F.col("g")]
         values = F.concat(*[F.col(f"w{i}") for i in range(last + 1)], F.array(*shifts))
-        found = array_means(rows.filter(values.isNotNull()), values)
+        found = array_means(rows, values)
         if found is None:
             raise ValueError("no samples to learn from")
         means = found.tolist()

@@ -28,9 +28,10 @@ from colfit.models.gradient import (
     margin,
     starting_point,
     training_rows,
+    with_prediction,
     without_keys,
 )
-from colfit.operators.stats import check_counts, column_means, require_columns, wide_means
+from colfit.operators.stats import check_counts, column_means, require_columns, wide_means_of_checked
 from colfit.session import persisted
 
 
@@ -57,6 +58,7 @@ class SVMModel(GradientModel):
         """Intercept and coefficient gradients at the current parameters."""
         order_by = key_columns(order_by)
         rows = training_rows(df, self, order_by, "error")
+        check_rows(rows, self)
         head = first_rows(rows, order_by, 1) if self.loss_function.gated else []
         g0, g = self._gradients(rows, head, [])
         return g0, tuple(g)
@@ -67,13 +69,13 @@ class SVMModel(GradientModel):
         """One aggregate; ``constant`` holds kernel means that never change."""
         loss, y = self.loss_function, double(self.label)
         summed = self.activation.column_total(rows, self.score)
-        p = self.activation.activate(self.score, literal(summed))
+        rows, p = with_prediction(rows, self.activation.activate(self.score, literal(summed)))
         shut = loss.gated and not (head and margin(self, head[0], summed) > 0)
         terms = []
         if not shut and not constant:
             kernel = [self.kernel.apply(double(f), p) for f in self.features]
             terms = [loss.feature_term(x, y, p) for x in kernel]
-        means = (wide_means if terms else column_means)(rows, [loss.intercept_term(y, p), *terms])
+        means = (wide_means_of_checked if terms else column_means)(rows, [loss.intercept_term(y, p), *terms])
         check_counts(means[0] is not None, 0)
         if shut:
             each = [0.0] * len(self.features)

@@ -65,24 +65,31 @@ def sums_by_task(
 
 
 def array_means(df: DataFrame, values: Column) -> np.ndarray | None:
-    """Averages by position of arrays of doubles of one length; None without rows."""
+    """Averages by position of arrays of doubles of one length, null arrays left out.
 
-    def total(batch: pa.RecordBatch) -> np.ndarray:
-        flat = pc.list_flatten(batch.column(0)).to_numpy(zero_copy_only=False)
-        return np.append(flat.reshape(batch.num_rows, -1).sum(axis=0), batch.num_rows)
+    None without arrays.
+    """
+
+    def total(batch: pa.RecordBatch) -> np.ndarray | None:
+        arrays = batch.column(0).drop_null()
+        if not len(arrays):
+            return None
+        flat = pc.list_flatten(arrays).to_numpy(zero_copy_only=False)
+        return np.append(flat.reshape(len(arrays), -1).sum(axis=0), len(arrays))
 
     sums = _added_up(df.select(values.alias("values")), total)
     return None if sums is None else sums[:-1] / sums[-1]
 
 
-def _added_up(rows: DataFrame, total: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray | None:
+def _added_up(rows: DataFrame, total: Callable[[pa.RecordBatch], np.ndarray | None]) -> np.ndarray | None:
     ship_package(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
         for batch in batches:
-            if batch.num_rows:
-                own = total(batch) if own is None else own + total(batch)
+            part = total(batch) if batch.num_rows else None
+            if part is not None:
+                own = part if own is None else own + part
         if own is not None:
             yield pa.RecordBatch.from_arrays([pa.array([own], pa.list_(pa.float64()))], ["total"])
 
@@ -114,6 +121,18 @@ def wide_means(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
     return [float(x / n) if n else None for x, n in zip(sums, counts, strict=True)]
 
 
+def wide_means_of_checked(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
+    """The same for columns that are known to have no nulls."""
+
+    def function(values: np.ndarray) -> np.ndarray:
+        return np.append(values.sum(axis=0), len(values))
+
+    totals = sums_by_task(df, columns, function)
+    if totals is None:
+        return [None] * len(columns)
+    return [float(x) for x in totals[:-1] / totals[-1]]
+
+
 def number_min(x: Column) -> Column:
     """Minimum with NaN left out."""
     return F.min(F.when(~F.isnan(x), x))
