@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from colfit.session import ship_package
 
+# Up to so many averages are one aggregate, which needs no Python; the values are the same.
+FEW_AVERAGES = 16
 # Expressions in one aggregate; more are split over several in the same job, as
 # one large aggregate no longer compiles to a small method.
 AGGREGATES_AT_ONCE = 50
@@ -108,6 +110,9 @@ def _added_up(rows: DataFrame, total: Callable[[pa.RecordBatch], np.ndarray | No
 def wide_means(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
     """Averages, nulls left out, of as many column expressions as there are features."""
 
+    if len(columns) <= FEW_AVERAGES:
+        return column_means(df, columns)
+
     def function(values: np.ndarray) -> np.ndarray:
         return values.sum(axis=0)
 
@@ -124,6 +129,9 @@ def wide_means(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
 def wide_means_of_checked(df: DataFrame, columns: Sequence[Column]) -> list[float | None]:
     """The same for columns that are known to have no nulls."""
 
+    if len(columns) <= FEW_AVERAGES:
+        return column_means(df, columns)
+
     def function(values: np.ndarray) -> np.ndarray:
         return np.append(values.sum(axis=0), len(values))
 

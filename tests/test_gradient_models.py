@@ -163,7 +163,9 @@ def test_wide_features(spark):
     same(by_epochs, expected)
 
 
-def test_wide_means_leave_nulls_out(table):
+@pytest.mark.parametrize("few", [16, 0])
+def test_wide_means_leave_nulls_out(table, monkeypatch, few):
+    monkeypatch.setattr(stats, "FEW_AVERAGES", few)
     df = table(a=[1.0, None, 3.0], b=[None, None, None], c=[float("nan"), 1.0, 2.0])
     means = stats.wide_means(df, [F.col(c) for c in "abc"])
     assert means[:2] == [2.0, None] and math.isnan(means[2])
