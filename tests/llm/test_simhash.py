@@ -119,3 +119,33 @@ def test_empty(no_docs):
 def test_repeated_rows(repeated, rows):
     assert simhash.near_groups(repeated).count() == 2 * len(rows)
     assert simhash.keep_one(repeated).count() == 2 * (len(plain_kept(rows)) + 1)
+
+
+def passages(seed):
+    """Copies with a passage appended, cut off or replaced, of 200 words, at 0.8 or more."""
+    rng = np.random.default_rng(seed)
+    words = [f"w{x}" for x in rng.permutation(5000)[:250]]
+    text, other = words[:200], words[200:]
+    return [text, text + other[:40], text[:165], text[:90] + other[:16] + text[106:]]
+
+
+def test_copies_with_other_passages_go(spark):
+    made = [(10 * i + j, " ".join(w)) for i in range(40) for j, w in enumerate(passages(i))]
+    alike = [plain_similarity(made[i][1], made[i - i % 4][1]) for i in range(len(made))]
+    assert min(alike) >= 0.8
+    kept = simhash.keep_one(spark.createDataFrame(made, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [10 * i for i in range(40)]
+
+
+@pytest.mark.parametrize("frequent", [0, 400])
+def test_prefixes_of_similar_sets_meet(frequent):
+    rng = np.random.default_rng(7)
+    hashes = np.arange(0, 2 * frequent, 2, dtype=np.uint64)
+    counts = rng.integers(3, 50, frequent)
+    for n in [0, 1, 2, 3, 4, 5, 6, 9, 10, 11, 50, 333]:
+        for _ in range(50):
+            a = np.sort(rng.choice(1000, n, replace=False)).astype(np.uint64)
+            b = np.union1d(rng.permutation(a)[: n - n // 10], rng.integers(0, 1000, n // 10).astype(np.uint64))
+            if simhash.similarity(a, b) >= 0.8:
+                x, y = (simhash.prefix(s, hashes, counts) for s in (a, b))
+                assert len(np.intersect1d(x, y))
