@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from colfit.llm.common import attach, cut, map_batches
 from colfit.llm.components import components, forest
@@ -267,12 +268,15 @@ COPY_SIMILARITY = 0.8
 SAMPLE_DOCS = 5_000
 FREQUENT = 3
 MOST_FREQUENT = 1_000_000
-#: Documents of one candidate group compared in one task; larger groups are cut first.
+#: Width of the classes of sizes, more than one over the similarity.
+SIZE_CLASS = 1.26
+#: Documents and shingles of a tile; the candidates of one shingle are compared in pairs of tiles.
 GROUP_ROWS = 5_000
-#: Minimum hashes by which two sets of shingles are first compared, and the agreement
-#: below which they are not compared whole: four deviations under the similarity.
+TILE_SHINGLES = 2_000_000
+#: Cells of the matrix by which the documents of a unit are compared at once.
+MATRIX_CELLS = 20_000_000
+#: Parts of a sketch.
 SKETCH = 64
-LEAST_AGREEMENT = 0.6
 
 
 def _mixed(hashes: np.ndarray, salt: int) -> np.ndarray:
@@ -345,111 +349,213 @@ def prefix(shingles: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> np.n
 
 
 def candidate_sets(docs: DataFrame) -> DataFrame:
-    """``shingle, doc_id``: the documents that share a shingle of their prefixes.
+    """``shingle, size, doc_id``: documents of like size that share a shingle of their prefixes.
 
-    Every two documents that share 0.8 of their shingles stand under a common one.  Of
-    shingles shared by the very same documents one stands for all.
+    Every two documents that share 0.8 of their shingles stand under a common shingle and
+    size: a document stands under its own class of sizes and the next, and the classes are
+    wider than the similarity lets sizes differ.  Of shingles shared by the very same
+    documents one stands for all.
     """
     send = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [prefix(copy_shingles(t), *send.value).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "prefix"])
+            sizes, found = [], []
+            for text in batch.column("text").to_pylist():
+                shingles = copy_shingles(text)
+                sizes.append(int(np.log(max(len(shingles), 1)) / np.log(SIZE_CLASS)))
+                found.append(prefix(shingles, *send.value).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(found, pa.binary())], ["doc_id", "size", "prefix"]
+            )
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 found = [np.frombuffer(x, np.int64) for x in part.column("prefix").to_pylist()]
-                index = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                index = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found)), part.column("doc_id").take(pa.array(index))], ["shingle", "doc_id"]
+                    [pa.array(np.concatenate(found)), *(part.column(c).take(index) for c in ("size", "doc_id"))],
+                    ["shingle", "size", "doc_id"],
                 )
 
-    prefixes = cut(map_batches(docs.select("doc_id", "text"), compute, f"doc_id {kind}, prefix binary"))
-    entries = map_batches(prefixes, spread, f"shingle bigint, doc_id {kind}")
+    prefixes = cut(map_batches(docs.select("doc_id", "text"), compute, f"doc_id {kind}, size int, prefix binary"))
+    entries = map_batches(prefixes, spread, f"shingle bigint, size int, doc_id {kind}")
     shared = cut(entries.groupBy("shingle").count().where("count > 1").select("shingle"))
-    members = cut(attach(entries, shared, ["shingle"]).distinct())
-    sets = members.groupBy("shingle").agg(
+    sizes = F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size")
+    members = cut(attach(entries, shared, ["shingle"]).select("shingle", sizes, "doc_id").distinct())
+    sets = members.groupBy("shingle", "size").agg(
         F.count("*").alias("rows"),
         F.bit_xor(F.xxhash64("doc_id")).alias("x"),
         F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"),
     )
-    chosen = sets.where("rows > 1").groupBy("rows", "x", "y").agg(F.min("shingle").alias("shingle"))
-    return attach(members, cut(chosen.select("shingle")), ["shingle"]).select("shingle", "doc_id")
+    chosen = sets.where("rows > 1").groupBy("rows", "x", "y").agg(F.min(F.struct("shingle", "size")).alias("first"))
+    return attach(members, cut(chosen.select("first.*")), ["shingle", "size"]).select("shingle", "size", "doc_id")
+
+
+def _alike(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of sets of similarity 0.8 or more, as a forest."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    empty = np.flatnonzero(sizes == 0)
+    found: list[tuple[np.ndarray, np.ndarray]] = [(empty[1:], empty[:-1])]
+    of = np.repeat(np.arange(n), sizes)
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[code] > 1
+    of = of[shared]
+    _, code, times = np.unique(code[shared], return_inverse=True, return_counts=True)
+    dense = n * len(times) <= MATRIX_CELLS
+    if dense:
+        matrix = np.zeros((n, len(times)), np.float32)
+        matrix[of, code] = 1
+    else:
+        holders = of[np.argsort(code, kind="stable")]  # of each shingle, one after the other
+        starts = np.cumsum(times) - times
+        bounds = np.searchsorted(of, np.arange(n + 1))
+    rows = 256 if dense else 1
+    pairs = 0
+    for at in range(0, n, rows):
+        if dense:
+            both = (matrix[at : at + rows] @ matrix[: at + rows].T).astype(np.int64)
+        else:
+            own = code[bounds[at] : bounds[at + 1]]
+            many = times[own]
+            place = np.arange(many.sum()) + np.repeat(starts[own] - (np.cumsum(many) - many), many)
+            both = np.bincount(holders[place], minlength=n)[None, : at + 1]
+        # 0.8 of the union, in whole numbers
+        near = 5 * both >= 4 * (sizes[at : at + rows, None] + sizes[: at + rows] - both)
+        x, y = np.nonzero(near & (both > 0))
+        x += at
+        found.append((x[y < x], y[y < x]))
+        pairs += len(found[-1][0])
+        if pairs > PAIRS_AT_ONCE:
+            found, pairs = [forest(*(np.concatenate(z) for z in zip(*found, strict=True)))], 0
+    return forest(*(np.concatenate(z) for z in zip(*found, strict=True)))
+
+
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each part of the hash space, of which there are about as many as shingles, if it has an odd number of them."""
+    bits = 64
+    while bits < len(shingles):
+        bits *= 2
+    part = (_mixed(shingles, 7) % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(part, minlength=bits).astype(np.uint8) & 1).view(np.uint64)
+
+
+def _possible(sizes: np.ndarray, sketches: list[np.ndarray]) -> np.ndarray:
+    """Places of sets that may have a similar one among the others, by an exact bound.
+
+    Every odd part in which two sets differ has a shingle that only one of them has; sets
+    of similarity 0.8 differ in no more than a ninth of their sizes' sum.
+    """
+    width = min(map(len, sketches))
+    folded = np.array([np.bitwise_xor.reduce(x.reshape(-1, width), axis=0) for x in sketches])
+    out = np.zeros(len(sizes), bool)
+    for i in range(1, len(sizes)):
+        apart = np.bitwise_count(folded[:i] ^ folded[i]).sum(axis=1, dtype=np.int64)
+        near = 9 * apart <= sizes[:i] + sizes[i]
+        out[:i] |= near
+        out[i] |= near.any()
+    return np.flatnonzero(out)
+
+
+def _by_unit(batches: Iterator[pa.RecordBatch], columns: list[str], function) -> Iterator[pa.RecordBatch]:
+    """The function's result for each unit of two rows or more, given its columns."""
+    unit, held = None, []
+    for batch in batches:
+        values = (batch.column(c).to_pylist() for c in columns)
+        for own, *row in zip(batch.column("unit").to_pylist(), *values, strict=True):
+            if own != unit:
+                if len(held) > 1:
+                    yield function(unit, *zip(*held, strict=True))
+                unit, held = own, []
+            held.append(row)
+    if len(held) > 1:
+        yield function(unit, *zip(*held, strict=True))
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """``a, b``: pairs of ``docs(doc_id, text)`` that share 0.8 or more of their shingles.
+
+    Not all pairs, but a forest per unit, whose components are those of all pairs.  The
+    candidates of one shingle and size are one unit; if they have more than ``GROUP_ROWS``
+    documents or ``TILE_SHINGLES`` shingles they are cut into k tiles, and every two tiles
+    are a unit, so that every pair still meets.  Documents without a possible partner in
+    their unit leave it before the shingles are brought there.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    candidates = cut(candidate_sets(docs))
+    ids = cut(candidates.select("doc_id").distinct())
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [copy_shingles(t) for t in batch.column("text").to_pylist()]
+            n, odd = [len(x) for x in sets], [parities(x).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(odd, pa.binary())], ["doc_id", "n", "odd"]
+            )
 
+    texts = docs.select("doc_id", "text")
+    sketches = cut(map_batches(attach(texts, ids, ["doc_id"]), sketched, f"doc_id {kind}, n bigint, odd binary"))
+    sized = attach(candidates, cut(sketches.groupBy("doc_id").agg(F.sum("n").alias("n"))), ["doc_id"])
+    tiles = F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int")
+    large = cut(sized.groupBy("shingle", "size").agg(tiles.alias("tiles")).where("tiles > 1"))
+    tiled = attach(candidates, large, ["shingle", "size"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    own = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
+    # With two tiles or more a unit is two of them, in which the pairs of each meet too.
+    others = F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: (j != own) | (F.col("tiles") == 1))
+    units = tiled.select("doc_id", "shingle", "size", own.alias("own"), F.explode(others).alias("j")).select(
+        "doc_id", F.xxhash64("shingle", "size", F.least("own", "j"), F.greatest("own", "j")).alias("unit")
+    )
 
-def candidate_groups(docs: DataFrame) -> DataFrame:
-    """``doc_id, component, members`` of documents that may be near copies of others."""
-    sets = cut(candidate_sets(docs))
-    first = cut(sets.groupBy("shingle").agg(F.min("doc_id").alias("b")))
-    grouped = cut(components(attach(sets, first, ["shingle"]).select(F.col("doc_id").alias("a"), "b")))
-    sizes = cut(grouped.groupBy("component").agg(F.count("*").alias("members")))
-    return attach(grouped, sizes, ["component"]).select(F.col("node").alias("doc_id"), "component", "members")
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def few(unit, documents, n, odd):
+            at = _possible(np.array(n), [np.frombuffer(x, np.uint64) for x in odd]).tolist()
+            found = pa.array([documents[i] for i in at], id_type)
+            return pa.RecordBatch.from_arrays([pa.array([unit] * len(at), pa.int64()), found], ["unit", "doc_id"])
 
-def _leaders(rows: DataFrame) -> DataFrame:
-    """Of ``unit, doc_id, shingles`` the rows like no earlier one of their unit, by id."""
+        return _by_unit(batches, ["doc_id", "n", "odd"], few)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, sets = None, []
-        sketches = np.empty((0, SKETCH), np.uint32)
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for i, (own, data) in enumerate(
-                zip(batch.column("unit").to_pylist(), batch.column("shingles").to_pylist(), strict=True)
-            ):
-                if own != unit:
-                    unit, sets = own, []
-                    sketches = np.empty((16, SKETCH), np.uint32)
-                shingles = np.frombuffer(data, np.uint64)
-                mine = sketch(shingles)
-                agreement = (sketches[: len(sets)] == mine).mean(axis=1)
-                near = np.flatnonzero(agreement >= LEAST_AGREEMENT)
-                near = near[np.argsort(-agreement[near], kind="stable")].tolist()
-                if any(similarity(shingles, sets[k]) >= COPY_SIMILARITY for k in near):
-                    continue
-                kept.append(i)
-                if len(sets) == len(sketches):
-                    sketches = np.concatenate((sketches, np.empty_like(sketches)))
-                sketches[len(sets)] = mine
-                sets.append(shingles)
-            yield batch.take(pa.array(kept, pa.int64()))
-
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(partitions, "unit").sortWithinPartitions("unit", "doc_id")
-    return map_batches(dealt, run, rows.schema)
+            sets = [copy_shingles(t).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def alike(unit, documents, sets):
+            documents = pa.array(documents, id_type)
+            a, b = _alike([np.frombuffer(x, np.uint64) for x in sets])
+            return pa.RecordBatch.from_arrays([documents.take(pa.array(a)), documents.take(pa.array(b))], ["a", "b"])
+
+        return _by_unit(batches, ["doc_id", "shingles"], alike)
+
+    # A collision of the unit hash only brings more documents together.
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(partitions, "unit").sortWithinPartitions("unit")
+
+    # Sketches and sets are few rows but many bytes, so they are not broadcast.
+    met = dealt(units.join(sketches, "doc_id")).select("unit", "doc_id", "n", "odd")
+    left = cut(map_batches(met, narrow, f"unit bigint, doc_id {kind}").distinct())
+    ids = cut(left.select("doc_id").distinct())
+    sets = cut(map_batches(attach(texts, ids, ["doc_id"]), shingled, f"doc_id {kind}, shingles binary"))
+    compared = dealt(left.join(sets, "doc_id")).select("unit", "doc_id", "shingles")
+    return map_batches(compared, compare, f"a {kind}, b {kind}")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, whole, less every one that is a near copy of one that is kept.
+    """The documents, whole, less all but the smallest id of each group of near copies.
 
-    Within a group of candidates documents are taken by id; one goes if it shares 0.8 or
-    more of its shingles with one taken before.  A large group is cut into parts whose
-    remaining documents are compared once more.  Rows with a null id are kept; rows that
-    repeat an id are kept or go together.
+    A group is what pairs that share 0.8 or more of their shingles link, directly or
+    through others, whatever its size.  Rows with a null id are kept; rows that repeat an
+    id are kept or go together.
     """
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    grouped = cut(candidate_groups(known))
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [copy_shingles(t).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("unit", "component", "members", "doc_id")), pa.array(sets, pa.binary())],
-                ["unit", "component", "members", "doc_id", "shingles"],
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    part = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / GROUP_ROWS))
-    rows = attach(known, grouped, ["doc_id"]).withColumn("unit", F.concat_ws(":", "component", part))
-    schema = f"unit string, component {kind}, members bigint, doc_id {kind}, shingles binary"
-    sets = map_batches(rows.select("unit", "component", "members", "doc_id", "text"), shingled, schema)
-    # Rows that repeat an id are one document here.
-    left = cut(_leaders(sets.dropDuplicates(["doc_id"])))
-    large = left.where(F.col("members") > GROUP_ROWS).withColumn("unit", F.col("component").cast("string"))
-    stay = left.where(F.col("members") <= GROUP_ROWS).select("doc_id").union(_leaders(large).select("doc_id"))
-    gone = cut(grouped.select("doc_id").join(cut(stay), "doc_id", "left_anti"))
+    grouped = components(cut(near_copies(known)))
+    gone = cut(grouped.where("node != component").select(F.col("node").alias("doc_id")))
     return attach(docs, gone, ["doc_id"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

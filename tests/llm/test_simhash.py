@@ -149,3 +149,48 @@ def test_prefixes_of_similar_sets_meet(frequent):
             if simhash.similarity(a, b) >= 0.8:
                 x, y = (simhash.prefix(s, hashes, counts) for s in (a, b))
                 assert len(np.intersect1d(x, y))
+
+
+def chain(seed):
+    """A like B like C, A not like C."""
+    words = [f"c{seed}x{i}" for i in range(120)]
+    return [" ".join(words[at : at + 100]) for at in (0, 10, 20)]
+
+
+@pytest.mark.parametrize("group", [5000, 3])
+def test_chains_keep_their_first_at_every_size(spark, monkeypatch, group):
+    monkeypatch.setattr(simhash, "GROUP_ROWS", group)
+    a, b, c = chain(0)
+    assert plain_similarity(a, b) >= 0.8 <= plain_similarity(b, c) and plain_similarity(a, c) < 0.8
+    made = [(10 * i + j, t) for i in range(12) for j, t in enumerate(chain(i))]
+    kept = simhash.keep_one(spark.createDataFrame(made, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [10 * i for i in range(12)]
+
+
+@pytest.mark.parametrize("cells", [10**7, 0])
+def test_alike_sets_against_all_pairs(monkeypatch, cells):
+    monkeypatch.setattr(simhash, "MATRIX_CELLS", cells)
+    rng = np.random.default_rng(11)
+    base = rng.permutation(400).astype(np.uint64)
+    sets = [np.empty(0, np.uint64)] * 2 + [base[:1], base[:1], base[:5], base[:4]]
+    sets = [np.sort(x) for x in sets + [base[at : at + 100] for at in range(0, 300, 7)]]
+    label = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if simhash.similarity(x, y) >= 0.8:
+                label = [label[j] if k == label[i] else k for k in label]
+    parent = list(range(len(sets)))
+    for i, j in zip(*simhash._alike(sets), strict=True):
+        parent = [parent[j] if k == parent[i] else k for k in parent]
+    assert [label.index(k) for k in label] == [parent.index(k) for k in parent]
+
+
+def test_possible_partners_are_never_lost():
+    rng = np.random.default_rng(13)
+    for n in [1, 4, 5, 20, 70, 300]:
+        base = rng.integers(0, 1 << 62, 2 * n).astype(np.uint64)
+        sets = [np.sort(base[at : at + n]) for at in range(0, n, max(1, n // 20))]
+        found = set(simhash._possible(np.array([len(x) for x in sets]), [simhash.parities(x) for x in sets]).tolist())
+        for i, x in enumerate(sets):
+            if any(simhash.similarity(x, y) >= 0.8 for y in sets[:i] + sets[i + 1 :]):
+                assert i in found
