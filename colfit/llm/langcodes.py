@@ -3,8 +3,10 @@
 Each language has a codeword, a row of a Hadamard matrix, and each bit of the codewords
 a binary classifier: naive Bayes on character n-grams, of the languages that have the
 bit against those that don't.  The classifiers' margins on a text are decoded against
-all codewords by exponential loss; the nearest codeword is the prediction and the loss
-of the others tells how sure it is.
+all codewords by exponential loss; the nearest codeword is the prediction and its share
+among all the score.  A prediction is ambiguous if the bits in which the two nearest
+codewords differ do not clearly speak for the nearest; unlike the score, that does not
+shrink with the number of languages.
 
 Learning is one aggregate over all training rows: counts per language and hashed
 n-gram.  A model is a table of languages times n-gram buckets, bounded by both.
@@ -36,7 +38,8 @@ BUCKET_BITS = 15
 SMOOTHING = 0.5
 #: Margins are multiplied by this before decoding; they are a mean per n-gram.
 SHARPNESS = 12.0
-#: A score below this is flagged as ambiguous.
+#: The margin between the two nearest codewords, of the weight of the bits in which they
+#: differ (1 if all of it speaks for the nearest), below which a text is ambiguous.
 AMBIGUOUS = 0.5
 MOST_LANGUAGES = 1000
 #: Bytes hashed at once.
@@ -115,7 +118,11 @@ class Model:
         shown = np.exp(2 * (relative - relative.max()))
         best = int(np.argmax(shown))
         score = float(shown[best] / shown.sum())
-        return self.languages[best], score, score < AMBIGUOUS
+        shown[best] = -1
+        apart = self.codes[best] != self.codes[int(np.argmax(shown))]
+        apart_weight = max(np.abs(margins[apart]).sum(), 1e-12)
+        margin = float((self.codes[best] * margins)[apart].sum() / apart_weight)
+        return self.languages[best], score, margin < AMBIGUOUS
 
 
 def learn(training: DataFrame) -> Model:

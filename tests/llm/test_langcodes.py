@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from colfit.llm import langcodes
 
@@ -46,3 +47,24 @@ def test_nothing_to_learn_and_empty(spark, docs, no_docs):
     blank = docs.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r["lang_pred"] for r in langcodes.identify(blank).collect()} == {"und"}
     assert langcodes.identify(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("n", [4, 50])
+def test_clean_texts_of_many_languages_are_not_ambiguous(n):
+    rng = np.random.default_rng(2)
+
+    def word():
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10)))
+
+    common, own = [word() for _ in range(300)], [[word() for _ in range(60)] for _ in range(n)]
+
+    def text(words, share):
+        return " ".join(rng.choice(words if rng.random() < share else common) for _ in range(100))
+
+    counts = np.array([langcodes._histogram(" ".join(text(words, 0.5) for _ in range(40))) for words in own], float)
+    model = langcodes.Model([str(i) for i in range(n)], counts)
+    found = [model.predict(text(words, 0.5)) for words in own]
+    assert [f[0] for f in found] == [str(i) for i in range(n)]
+    assert not any(f[2] for f in found)
+    if n == 50:  # of no language more than of another
+        assert np.mean([model.predict(text([], 0))[2] for _ in range(40)]) > 0.8
