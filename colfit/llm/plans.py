@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colfit.llm import (
+    bytebpe,
     eftrie,
     exactdup,
     htmltree,
@@ -25,6 +26,7 @@ from colfit.llm.common import table
 #: Tokenizer files; they stand in the same place on every worker.
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 COUNTING_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -132,3 +134,9 @@ def prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
 def tree_pages(spark: SparkSession, folder: str) -> DataFrame:
     texts = htmltree.main_texts(table(spark, folder, "pages"))
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+@query("op13_scanned_byte_bpe")
+def scanned_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bytebpe.encode(table(spark, folder, "documents"), BYTE_RANKS)
+    return bytebpe.digests(encoded, BYTE_RANKS)
