@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colfit.llm import (
+    alignment,
     bytebpe,
     eftrie,
     exactdup,
@@ -19,6 +20,7 @@ from colfit.llm import (
     prefixcounts,
     sharding,
     simhash,
+    spelling,
     subspace,
 )
 from colfit.llm.common import table
@@ -26,6 +28,7 @@ from colfit.llm.common import table
 #: Tokenizer files; they stand in the same place on every worker.
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 COUNTING_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +143,13 @@ def tree_pages(spark: SparkSession, folder: str) -> DataFrame:
 def scanned_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bytebpe.encode(table(spark, folder, "documents"), BYTE_RANKS)
     return bytebpe.digests(encoded, BYTE_RANKS)
+
+
+@query("op12_merge_path_alignment")
+def merge_path_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_and_count(table(spark, folder, "documents"), COUNTING_TOKENIZER, PIECE_TOKENIZER)
+
+
+@query("op11_bit_sliced_variants", spelling.variants_sql())
+def bit_sliced_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))

@@ -75,13 +75,13 @@ def hashes(words: Words) -> np.ndarray:
     return out
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, size: int | None = None) -> Iterator[pa.Array]:
     """Consecutive parts of an array of strings, of bounded size."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(sizes)
     at = 0
     while at < len(texts):
         base = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, base + BYTES_AT_ONCE, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, base + (size or BYTES_AT_ONCE), "right")))
         yield texts.slice(at, to - at)
         at = to
