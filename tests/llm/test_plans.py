@@ -22,9 +22,9 @@ def test_query_matches_sql(spark, name):
     cursor = con.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(df.columns)
-    mine = sorted(tuple(r[c] for c in sorted(names)) for r in df.collect())
+    mine = sorted((tuple(r[c] for c in sorted(names)) for r in df.collect()), key=repr)
     order = [names.index(c) for c in sorted(names)]
-    assert mine == sorted(tuple(r[i] for i in order) for r in cursor.fetchall())
+    assert mine == sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
