@@ -4,10 +4,13 @@ from colfit.models.linear import LinearModel, fit_linear
 from colfit.models.logistic import LogisticModel, classify, fit_logistic
 from colfit.models.mlp import ColumnNetwork, Layer, Network
 from colfit.models.svm import SVMModel, fit_svm
+from colfit.models.tree import CLASSIFICATION, REGRESSION, TreeModel, fit_forest, fit_tree
 
 __all__ = [
+    "CLASSIFICATION",
     "EQUIDISTANT",
     "RANDOM",
+    "REGRESSION",
     "ColumnNetwork",
     "KMeans",
     "KMeansModel",
@@ -18,10 +21,13 @@ __all__ = [
     "Network",
     "SVMModel",
     "Tol",
+    "TreeModel",
     "classify",
+    "fit_forest",
     "fit_linear",
     "fit_logistic",
     "fit_svm",
+    "fit_tree",
     "layer_random",
     "layer_zeroes",
     "positions",

@@ -6,6 +6,7 @@ from colfit.plans import (  # noqa: F401
     networks,
     preparation,
     supervised,
+    trees,
     wide,
 )
 from colfit.plans.registry import ORACLES, QUERIES
