@@ -10,19 +10,21 @@ and levels are partitioned Elias-Fano sequences.
 
 Probabilities are interpolated by absolute discounting, the unigrams by adding 0.1 to
 every count, and stored, like the back-off weights, as a one-byte logarithm.  All n-grams
-of the training texts are counted; bigrams and trigrams that occur once are not stored,
-as in pruned back-off models, and their discounted mass goes to the shorter context.
+of the training texts are stored, those that occur once too.
 
-The levels are files of the shared checkpoint folder, in shards of a bounded number of
-training tokens, which every worker memory-maps; nothing of the model passes the driver
-or is broadcast.  Files are named by shard and written anew if a task is run again.  The
+The levels are files of the shared checkpoint folder, in shards, which every worker
+memory-maps; nothing of the model passes the driver or is broadcast.  Level two is dealt
+by first word; level three by ranges of bigrams that occur a bounded number of times
+together, so a frequent first word is spread over several.  The task that merges a shard's
+n-grams writes it; files are named by shard and written anew if a task is run again.  The
 hashes are 64 bits wide: two of a billion words share one in about three of a hundred
 corpora, and would then be counted as one word.
 
 Results by case: a null or empty text is its end token alone; a word that no training
 text has gets the probability left for unknown words, together with all others; rows
 that repeat an id are texts of their own; without any training text every word is
-unknown; an empty table gives no rows.
+unknown; an empty table gives no rows; a text of any length is scored whole, its tokens
+being one array; only ``doc_id`` and ``text`` are read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -48,10 +50,8 @@ from colfit.session import shared_folder
 FOLDS = 10
 ADDED = 0.1
 DISCOUNT = 0.75
-#: Occurrences below which a bigram or trigram is not stored.
-LEAST_COUNT = 2
 #: Training tokens to a shard of the trie, and distinct words to one of the vocabulary.
-SHARD_TOKENS = 16_000_000
+SHARD_TOKENS = 6_000_000
 SHARD_WORDS = 4_000_000
 #: Tokens whose n-grams a task merges before it passes them on.
 MERGED_TOKENS = 3_000_000
@@ -71,7 +71,8 @@ class Sizes(NamedTuple):
     tokens: int
     texts: int
     shards: int
-    bigrams: tuple[int, ...] = ()  # in each shard of the trie
+    bigrams: tuple[int, ...] = ()  # in each shard of level two
+    ranges: tuple[int, ...] = ()  # first bigram of each shard of level three
 
 
 def _code(log10: np.ndarray) -> np.ndarray:
@@ -106,14 +107,11 @@ class Files:
     def load(self, name: str, key: str) -> np.ndarray:
         path = f"{self.path}/{name}.{key}.npy"
         if not isinstance(self.fs, pa.fs.LocalFileSystem):
-            copy = os.path.join(_copies(), f"{abs(hash(self.path))}-{name}.{key}.npy")
-            if not os.path.exists(copy):
-                draft = f"{copy}.{uuid.uuid4().hex}"
-                with self.fs.open_input_stream(path) as source, open(draft, "wb") as out:
-                    while part := source.read(1 << 24):
-                        out.write(part)
-                os.replace(draft, copy)
-            path = copy
+            with self.fs.open_input_stream(path) as source, tempfile.NamedTemporaryFile(suffix=".npy") as out:
+                while part := source.read(1 << 24):
+                    out.write(part)
+                out.flush()
+                return np.load(out.name, mmap_mode="r")  # stays mapped when its name goes
         return np.load(path, mmap_mode="r")
 
     def save_sequence(self, name: str, values: np.ndarray) -> None:
@@ -126,15 +124,6 @@ class Files:
         return MonotoneSequence(length, *(self.load(name, k) for k in MonotoneSequence.NAMES))
 
 
-_copied: list[str] = []
-
-
-def _copies() -> str:
-    if not _copied:
-        _copied.append(tempfile.mkdtemp(prefix="trie-"))
-    return _copied[0]
-
-
 def _npy(array: np.ndarray) -> bytes:
     out = pa.BufferOutputStream()
     np.lib.format.write_array(_Sink(out), np.ascontiguousarray(array))
@@ -268,22 +257,20 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
-def gram_counts(texts: DataFrame, sizes: Sizes, order: int) -> DataFrame:
-    """``key, count`` of the n-grams of the given order that occur often enough.
+def _write_grams(texts: DataFrame, sizes: Sizes, shards: int, keys_of, write, schema: str) -> DataFrame:
+    """Count n-grams and hand each shard's sorted keys and counts to ``write``, once.
 
-    A task merges its own n-grams and sends the sorted keys, packed, to the part they
-    hash to, where they are merged again.  Trigram keys are counted only if both their
-    bigrams are stored; all others occur too rarely.
+    ``keys_of(model, ids)`` gives a key for each n-gram and ``shard_of`` below its shard and
+    place there.  A task merges its own n-grams and sends the sorted keys, packed, to their
+    shard, where they are merged again and written.
     """
-    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sizes.tokens // MERGED_TOKENS))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = trie(sizes)
 
         def flush(held: list[np.ndarray]) -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            mixed = keys * np.uint64(0x9E3779B97F4A7C15)
-            part = ((mixed >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+            part, keys = keys_of(model, keys)
             by_part = np.argsort(part, kind="stable")  # keys stay sorted within a part
             part, keys, counts = part[by_part], keys[by_part], counts[by_part]
             edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
@@ -298,7 +285,7 @@ def gram_counts(texts: DataFrame, sizes: Sizes, order: int) -> DataFrame:
 
         held, n = [], 0
         for ids, _ in token_ids(batches, model.vocabulary):
-            keys = model.bigram_keys(ids) if order == 2 else model.trigram_keys(ids)
+            keys = model.trigram_keys(ids) if sizes.bigrams else model.bigram_keys(ids)
             if len(keys):
                 held.append(keys)
                 n += len(keys)
@@ -309,29 +296,26 @@ def gram_counts(texts: DataFrame, sizes: Sizes, order: int) -> DataFrame:
             yield flush(held)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         last = None
 
-        def flush(part: int) -> pa.RecordBatch:
-            keys, counts = (np.concatenate(x) for x in zip(*held.pop(part), strict=True))
-            keys, counts = _summed(keys, counts.astype(np.int64))
-            often = counts >= LEAST_COUNT
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys[often].view(np.int64)), pa.array(counts[often])], ["key", "count"]
-            )
+        def flush() -> pa.RecordBatch:
+            keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            return write(last, *_summed(keys, counts.astype(np.int64)))
 
         for batch in batches:
-            for row in batch.to_pylist():
-                if last is not None and row["part"] != last:
-                    yield flush(last)
-                last = row["part"]
-                held.setdefault(last, []).append(_unpack(row["n"], row["keys"], row["counts"]))
-        if last is not None:
-            yield flush(last)
+            for part, n, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if last is not None and part != last:
+                    yield flush()
+                last = part
+                held.append(_unpack(n, *packed))
+        if held:
+            yield flush()
 
     packed = map_batches(texts.select("text"), split, "part int, n bigint, keys binary, counts binary")
-    dealt = packed.repartition(parts, "part").sortWithinPartitions("part")
-    return map_batches(dealt, merge, "key bigint, count bigint")
+    dealt = packed.repartition(shards, "part").sortWithinPartitions("part")
+    return map_batches(dealt, merge, schema)
 
 
 def token_ids(batches: Iterator[pa.RecordBatch], known: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -368,10 +352,11 @@ class Trie:
 
     def load_scores(self) -> None:
         shards = range(len(self.sizes.bigrams))
-        self.trigrams = [self.files.load_sequence(f"trigrams-{k}") for k in shards]
-        self.bases = [self.files.load_sequence(f"bases-{k}") for k in shards]
         self.word_backoff = [self.files.load(f"codes-{k}", "backoff") for k in shards]
         self.bigram_log = [self.files.load(f"codes-{k}", "log") for k in shards]
+        shards = range(len(self.sizes.ranges))
+        self.trigrams = [self.files.load_sequence(f"trigrams-{k}") for k in shards]
+        self.bases = [self.files.load_sequence(f"bases-{k}") for k in shards]
         self.bigram_backoff = [self.files.load(f"context-{k}", "backoff") for k in shards]
         self.trigram_log = [self.files.load(f"context-{k}", "log") for k in shards]
 
@@ -383,9 +368,6 @@ class Trie:
         return previous
 
     def _parts(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        if self.sizes.shards == 1:
-            yield 0, np.arange(len(shard))
-            return
         for k in np.unique(shard).tolist():
             yield k, np.flatnonzero(shard == k)
 
@@ -430,6 +412,18 @@ class Trie:
         out[stored] = place[stored] - self.first_bigram(words)[inverse]
         return out
 
+    def bigram_shards(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shard of each bigram key, and its value there."""
+        first, second = keys // np.uint64(self.v), keys % np.uint64(self.v)
+        shards = np.uint64(self.sizes.shards)
+        return (first % shards).astype(np.int64), first // shards * np.uint64(self.v) + second
+
+    def trigram_shards(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shard of each trigram key, and the key with the bigram's place counted there."""
+        ranges = np.array(self.sizes.ranges, np.int64)
+        shard = np.searchsorted(ranges, (keys // np.uint64(self.v + 1)).astype(np.int64), "right") - 1
+        return shard, keys - ranges[shard].astype(np.uint64) * np.uint64(self.v + 1)
+
     def trigram_keys(self, ids: np.ndarray) -> np.ndarray:
         """Of every token whose two bigrams are stored: place of the first, rank in the second."""
         place = self.find_bigrams(self.before(ids), ids)
@@ -471,9 +465,8 @@ class Trie:
         rank = self.ranks(ids, place)
         after = np.flatnonzero((place[:-1] >= 0) & (ids[:-1] != self.end)) + 1
         first = place[after - 1]
-        shard = np.searchsorted(self.starts, first, "right") - 1
-        for k, mine in self._parts(shard):
-            at, local = after[mine], first[mine] - self.starts[k]
+        for k, mine in self._parts(np.searchsorted(self.sizes.ranges, first, "right") - 1):
+            at, local = after[mine], first[mine] - self.sizes.ranges[k]
             out[at] += _value(self.bigram_backoff[k][local])
             searched = np.flatnonzero(rank[at] >= 0)
             parents, inverse = np.unique(local[searched], return_inverse=True)
@@ -544,43 +537,45 @@ def learn(texts: DataFrame, folder: str) -> Sizes:
     if not v:
         return sizes
 
-    # Level two: shard k has the words whose id leaves k when divided by the shards.
-    first, second = F.expr(f"key div {v}"), F.col("key") % F.lit(v)
-    pairs = cut(gram_counts(texts, sizes, 2))
-    pairs = pairs.select(
-        (first % F.lit(shards)).cast("int").alias("shard"),
-        (F.expr(f"key div {v} div {shards}") * F.lit(v) + second).alias("value"),
-        "count",
-    )
-
-    def write_pairs(k: int, table: pa.Table) -> pa.RecordBatch:
-        write_level_two(sizes, k, table.column("value").to_numpy(), table.column("count").to_numpy())
-        return _done(k, table.num_rows)
-
-    counts = _shard_counts(_by_shard(pairs, shards, ["value"], write_pairs, DONE), shards)
-    for k in (k for k, n in enumerate(counts) if not n):
-        write_level_two(sizes, k, np.empty(0, np.int64), np.empty(0, np.int64))
-    sizes = sizes._replace(bigrams=tuple(counts))
+    if (v + 1) ** 2 >= 1 << 63:
+        raise OverflowError(f"{v} words are too many for keys of 63 bits")
 
-    # Level three: under the bigrams of the same shard.
-    triples = cut(gram_counts(texts, sizes, 3))
+    # Level two: shard k has the words whose id leaves k when divided by the shards.
+    def write_pairs(k: int, values: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        cuts = write_level_two(sizes, k, values.view(np.int64), counts)
+        return pa.RecordBatch.from_arrays(
+            [*_done(k, len(values)).columns, pa.array([cuts], pa.list_(pa.int64()))], ["shard", "count", "cuts"]
+        )
+
+    written = _write_grams(texts, sizes, shards, Trie.bigram_shards, write_pairs, f"{DONE}, cuts array<bigint>").collect()
+    pairs = {r["shard"]: r for r in written}  # a row per shard
+    for k in range(shards):
+        if k not in pairs:
+            write_level_two(sizes, k, np.empty(0, np.int64), np.empty(0, np.int64))
+    counts = [pairs[k]["count"] if k in pairs else 0 for k in range(shards)]
     starts = np.concatenate(([0], np.cumsum(counts))).tolist()
-    place = F.expr(f"key div {v + 1}")
-    shard = sum((F.when(place >= s, 1).otherwise(0) for s in starts[1:-1]), F.lit(0))
-    triples = triples.select(shard.cast("int").alias("shard"), "key", "count")
-
-    def write_triples(k: int, table: pa.Table) -> pa.RecordBatch:
-        write_level_three(sizes, k, table.column("key").to_numpy(), table.column("count").to_numpy())
-        return _done(k, table.num_rows)
-
-    counts = _shard_counts(_by_shard(triples, shards, ["key"], write_triples, DONE), shards)
-    for k in (k for k, n in enumerate(counts) if not n):
+    ranges = [starts[k] + at for k in range(shards) if k in pairs for at in pairs[k]["cuts"]]
+    sizes = sizes._replace(bigrams=tuple(counts), ranges=tuple(ranges))
+    if (starts[-1] + 1) * (v + 1) >= 1 << 63:
+        raise OverflowError(f"{starts[-1]} bigrams of {v} words are too many for keys of 63 bits")
+
+    # Level three: shard k has the trigrams under the bigrams of range k.
+    def write_triples(k: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        write_level_three(sizes, k, keys.view(np.int64), counts)
+        return _done(k, len(keys))
+
+    triples = _write_grams(texts, sizes, len(ranges), Trie.trigram_shards, write_triples, DONE)
+    for k in (k for k, n in enumerate(_shard_counts(triples, len(ranges))) if not n):
         write_level_three(sizes, k, np.empty(0, np.int64), np.empty(0, np.int64))
     return sizes
 
 
-def write_level_two(sizes: Sizes, k: int, values: np.ndarray, counts: np.ndarray) -> None:
-    model = trie(sizes._replace(bigrams=()))
+def write_level_two(sizes: Sizes, k: int, values: np.ndarray, counts: np.ndarray) -> list[int]:
+    """Write a shard; returns where ranges of its bigrams begin for level three.
+
+    A range's bigrams occur ``SHARD_TOKENS`` times together, but for its last, or it is one.
+    """
+    model = trie(sizes)
     v, words = model.v, model.vocabulary
     parents = np.arange(k, v + 1, sizes.shards)  # all words and the mark of the beginning
     local, last = values // v, values % v
@@ -596,17 +591,22 @@ def write_level_two(sizes: Sizes, k: int, values: np.ndarray, counts: np.ndarray
     files.save_sequence(f"pointers-{k}", first)
     files.save(f"codes-{k}", log=_code(np.log10(probability)), backoff=_code(np.log10(np.maximum(left, 1e-12))))
     files.save(f"counts-{k}", count=counts)
+    turn = (np.cumsum(counts) - counts) // SHARD_TOKENS
+    return np.flatnonzero(np.concatenate(([True], turn[1:] != turn[:-1]))).tolist() if len(counts) else []
 
 
 def write_level_three(sizes: Sizes, k: int, keys: np.ndarray, counts: np.ndarray) -> None:
     model = trie(sizes)
-    place, rank = keys // (model.v + 1) - model.starts[k], keys % (model.v + 1)
-    middle = model.bigrams[k].decode() % model.v  # the last word of each bigram
+    place, rank = keys // (model.v + 1), keys % (model.v + 1)
+    shard = int(np.searchsorted(model.starts, sizes.ranges[k], "right")) - 1
+    end = min([model.starts[shard + 1], *sizes.ranges[k + 1 : k + 2]])
+    own = slice(sizes.ranges[k] - int(model.starts[shard]), int(end - model.starts[shard]))
+    middle = model.bigrams[shard].decode()[own] % model.v  # the last word of each bigram
     follow = np.zeros(len(middle), np.int64)
     inner = middle != model.end  # nothing follows the end
     follow[inner] = model.followers(middle[inner])
     bases = np.concatenate(([0], np.cumsum(follow)))
-    contexts = model.files.load(f"counts-{k}", "count")
+    contexts = model.files.load(f"counts-{shard}", "count")[own]
     kept = np.bincount(place, counts - DISCOUNT, len(middle))
     left = 1 - kept / contexts if len(middle) else kept
     under = model.first_bigram(middle[place]) + rank

@@ -12,16 +12,14 @@ fingerprints are compared per anchor, home against replica, over all 64 bits.
 Equal fingerprints are one from the start.  Inside a task the pairs found are reduced
 to a spanning forest, so a group of near copies never yields all its pairs.
 
-``near_groups`` links by the fingerprint alone.  ``keep_one`` answers a question about
-shingles, which documents share at least 0.8 of their five-word shingles, and no
-fingerprint finds all of those.  Its candidates come from an exact prefix filter: with
-all shingles in one order, two documents of that similarity share one of the first
-n - ceil(0.8 n) + 1 of their n.  The order has shingles that a sample shows to be
-frequent last; whatever the sample, no pair is lost.
+The work of comparing grows with the square of the distinct fingerprints over the number
+of anchors, 2^17 a block.
 
 Results by case: a null or empty text, or one of white space, has fingerprint zero,
-which links like any other; rows that repeat an id give one row each; an empty table
-gives no rows.
+which links like any other; a text of any length is taken whole, its shingles' hashes being
+counted in parts; rows that repeat an id give one row each; ties cannot arise, as the
+smallest id names a group; an empty table gives no rows; only ``doc_id`` and ``text`` are
+read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -32,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from colfit.llm.common import attach, cut, map_batches
 from colfit.llm.components import components, forest
@@ -46,6 +43,10 @@ BLOCKS = ((0, 21), (21, 21), (42, 22))
 CODE_BITS = 15
 #: Rows of one anchor compared as one unit; larger anchors are cut into units of pairs of tiles.
 TILE_ROWS = 20_000
+#: Places of fingerprints that a task makes or compares on average, of which each
+#: fingerprint has about so many.
+TASK_ROWS = 400_000
+PLACES = 42
 #: Pairs of 64-bit words compared at once.
 PAIRS_AT_ONCE = 4_000_000
 
@@ -127,30 +128,29 @@ def anchors_within_two(block: np.ndarray, width: int) -> tuple[np.ndarray, np.nd
 
 
 def _placed(distinct: DataFrame) -> DataFrame:
-    """``anchor, home, fp`` of ``distinct(fp, view)``: each fingerprint at its anchors.
+    """``anchor, home, fp`` of ``distinct(fp)``: each fingerprint at its anchors.
 
-    The anchor carries block and view, so only blocks of the same kind meet.
+    The anchor carries the block, so only blocks of the same kind meet.
     """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("fp").to_numpy().view(np.uint64)
-            views = batch.column("view").to_numpy().astype(np.int64)
             for at in range(0, len(values), 20_000):
-                part, view = values[at : at + 20_000], views[at : at + 20_000]
+                part = values[at : at + 20_000]
                 for number, (low, width) in enumerate(BLOCKS):
                     block = ((part >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64)
                     index, anchor, home = anchors_within_two(block, width)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(anchor | (number << 32) | (view[index] << 40)),
+                            pa.array(anchor | (number << 32)),
                             pa.array(home),
                             pa.array(part[index].view(np.int64)),
                         ],
                         ["anchor", "home", "fp"],
                     )
 
-    return map_batches(distinct.select("fp", F.col("view").cast("int").alias("view")), place, "anchor bigint, home boolean, fp bigint")
+    return map_batches(distinct.select("fp"), place, "anchor bigint, home boolean, fp bigint")
 
 
 def _links(
@@ -184,13 +184,14 @@ def _links(
 
 
 def links(distinct: DataFrame, bits: int = MOST_BITS) -> DataFrame:
-    """``a, b``: a forest of links of ``distinct(fp, view)``, per unit of comparison.
+    """``a, b``: a forest of links of ``distinct(fp)``, per unit of comparison.
 
     ``bits`` may be up to five, for which the blocks leave one with at most one.  An
     anchor with more than ``TILE_ROWS`` rows is cut into k tiles; its homes of tile i
     meet its replicas of tile j in unit (i, j), so every pair still meets.
     """
-    placed = _placed(distinct)  # quicker to make twice than to write
+    tasks = max(distinct.sparkSession.sparkContext.defaultParallelism, -(-distinct.count() * PLACES // TASK_ROWS))
+    placed = _placed(distinct.repartition(tasks))  # quicker to make twice than to write
     large = cut(
         placed.groupBy("anchor")
         .count()
@@ -242,8 +243,7 @@ def links(distinct: DataFrame, bits: int = MOST_BITS) -> DataFrame:
             yield flush(held)
 
     # A collision of the unit hash only brings more rows together.
-    partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = hashed.repartition(partitions, "unit").sortWithinPartitions("unit")
+    dealt = hashed.repartition(tasks, "unit").sortWithinPartitions("unit")
     return map_batches(dealt, compare, "a bigint, b bigint")
 
 
@@ -251,7 +251,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id, fp, component_id``, the smallest id reachable by links."""
     rows = cut(fingerprints(docs))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    joined = cut(components(links(distinct.withColumn("view", F.lit(0)))))
+    joined = cut(components(links(distinct)))
     members = distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("component", "fp").alias("component"), "least"
     )
@@ -260,302 +260,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return attach(rows, classes, ["fp"]).select("doc_id", "fp", "component_id")
 
 
-#: Of the copies that ``keep_one`` looks for.
-COPY_SHINGLE_WORDS = 5
-COPY_SIMILARITY = 0.8
-#: Documents sampled for frequent shingles, the count from which one is frequent there, and
-#: the most that are kept.
-SAMPLE_DOCS = 5_000
-FREQUENT = 3
-MOST_FREQUENT = 1_000_000
-#: Width of the classes of sizes, more than one over the similarity.
-SIZE_CLASS = 1.26
-#: Documents and shingles of a tile; the candidates of one shingle are compared in pairs of tiles.
-GROUP_ROWS = 5_000
-TILE_SHINGLES = 2_000_000
-#: Cells of the matrix by which the documents of a unit are compared at once.
-MATRIX_CELLS = 20_000_000
-#: Parts of a sketch.
-SKETCH = 64
-
-
-def _mixed(hashes: np.ndarray, salt: int) -> np.ndarray:
-    x = hashes ^ np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def copy_shingles(text: str | None) -> np.ndarray:
-    """Sorted hashes of the set of five-word shingles; a shorter text is one shingle."""
-    import xxhash
-
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    n = COPY_SHINGLE_WORDS
-    shingles = {b" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
-    return np.sort(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.uint64))
-
-
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """The least hash in each of many parts of the hash space, the high bits apart."""
-    out = np.full(SKETCH, 0xFFFFFFFF, np.uint32)
-    if len(shingles):
-        mixed = _mixed(shingles, 99)
-        np.minimum.at(out, (mixed % np.uint64(SKETCH)).astype(np.int64), (mixed >> np.uint64(32)).astype(np.uint32))
-    return out
-
-
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted sets; two empty ones are equal."""
-    if not len(a) and not len(b):
-        return 1.0
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
-
-
-def frequent_shingles(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of shingles frequent in a sample of ``doc_id, text``, and their counts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(copy_shingles(text).view(np.int64))], ["shingle"])
-
-    parts = max(1, -(-known.count() // SAMPLE_DOCS))
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == 0).select("text")
-    counted = map_batches(sample, run, "shingle bigint").groupBy("shingle").count()
-    found = counted.where(F.col("count") >= FREQUENT).limit(MOST_FREQUENT).toPandas()
-    hashes = found["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], found["count"].to_numpy(np.int64)[order]
-
-
-def prefix(shingles: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first of a set of sorted shingles, of which a set of similarity 0.8 has one too.
-
-    The order is by count, none for shingles not in ``hashes``, and by hash.  An empty set
-    has the prefix zero.
-    """
-    n = len(shingles)
-    if not n:
-        return np.zeros(1, np.uint64)
-    count = np.zeros(n, np.int64)
-    if len(hashes):
-        at = np.minimum(np.searchsorted(hashes, shingles), len(hashes) - 1)
-        count = np.where(hashes[at] == shingles, counts[at], 0)
-    return shingles[np.argsort(count, kind="stable")[: n // 5 + 1]]
-
-
-def candidate_sets(docs: DataFrame) -> DataFrame:
-    """``shingle, size, doc_id``: documents of like size that share a shingle of their prefixes.
-
-    Every two documents that share 0.8 of their shingles stand under a common shingle and
-    size: a document stands under its own class of sizes and the next, and the classes are
-    wider than the similarity lets sizes differ.  Of shingles shared by the very same
-    documents one stands for all.
-    """
-    send = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, found = [], []
-            for text in batch.column("text").to_pylist():
-                shingles = copy_shingles(text)
-                sizes.append(int(np.log(max(len(shingles), 1)) / np.log(SIZE_CLASS)))
-                found.append(prefix(shingles, *send.value).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(found, pa.binary())], ["doc_id", "size", "prefix"]
-            )
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                found = [np.frombuffer(x, np.int64) for x in part.column("prefix").to_pylist()]
-                index = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found)), *(part.column(c).take(index) for c in ("size", "doc_id"))],
-                    ["shingle", "size", "doc_id"],
-                )
-
-    prefixes = cut(map_batches(docs.select("doc_id", "text"), compute, f"doc_id {kind}, size int, prefix binary"))
-    entries = map_batches(prefixes, spread, f"shingle bigint, size int, doc_id {kind}")
-    shared = cut(entries.groupBy("shingle").count().where("count > 1").select("shingle"))
-    sizes = F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size")
-    members = cut(attach(entries, shared, ["shingle"]).select("shingle", sizes, "doc_id").distinct())
-    sets = members.groupBy("shingle", "size").agg(
-        F.count("*").alias("rows"),
-        F.bit_xor(F.xxhash64("doc_id")).alias("x"),
-        F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"),
-    )
-    chosen = sets.where("rows > 1").groupBy("rows", "x", "y").agg(F.min(F.struct("shingle", "size")).alias("first"))
-    return attach(members, cut(chosen.select("first.*")), ["shingle", "size"]).select("shingle", "size", "doc_id")
-
-
-def _alike(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Places of pairs of sets of similarity 0.8 or more, as a forest."""
-    n = len(sets)
-    sizes = np.array([len(x) for x in sets], np.int64)
-    empty = np.flatnonzero(sizes == 0)
-    found: list[tuple[np.ndarray, np.ndarray]] = [(empty[1:], empty[:-1])]
-    of = np.repeat(np.arange(n), sizes)
-    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times[code] > 1
-    of = of[shared]
-    _, code, times = np.unique(code[shared], return_inverse=True, return_counts=True)
-    dense = n * len(times) <= MATRIX_CELLS
-    if dense:
-        matrix = np.zeros((n, len(times)), np.float32)
-        matrix[of, code] = 1
-    else:
-        holders = of[np.argsort(code, kind="stable")]  # of each shingle, one after the other
-        starts = np.cumsum(times) - times
-        bounds = np.searchsorted(of, np.arange(n + 1))
-    rows = 256 if dense else 1
-    pairs = 0
-    for at in range(0, n, rows):
-        if dense:
-            both = (matrix[at : at + rows] @ matrix[: at + rows].T).astype(np.int64)
-        else:
-            own = code[bounds[at] : bounds[at + 1]]
-            many = times[own]
-            place = np.arange(many.sum()) + np.repeat(starts[own] - (np.cumsum(many) - many), many)
-            both = np.bincount(holders[place], minlength=n)[None, : at + 1]
-        # 0.8 of the union, in whole numbers
-        near = 5 * both >= 4 * (sizes[at : at + rows, None] + sizes[: at + rows] - both)
-        x, y = np.nonzero(near & (both > 0))
-        x += at
-        found.append((x[y < x], y[y < x]))
-        pairs += len(found[-1][0])
-        if pairs > PAIRS_AT_ONCE:
-            found, pairs = [forest(*(np.concatenate(z) for z in zip(*found, strict=True)))], 0
-    return forest(*(np.concatenate(z) for z in zip(*found, strict=True)))
-
-
-def parities(shingles: np.ndarray) -> np.ndarray:
-    """For each part of the hash space, of which there are about as many as shingles, if it has an odd number of them."""
-    bits = 64
-    while bits < len(shingles):
-        bits *= 2
-    part = (_mixed(shingles, 7) % np.uint64(bits)).astype(np.int64)
-    return np.packbits(np.bincount(part, minlength=bits).astype(np.uint8) & 1).view(np.uint64)
-
-
-def _possible(sizes: np.ndarray, sketches: list[np.ndarray]) -> np.ndarray:
-    """Places of sets that may have a similar one among the others, by an exact bound.
-
-    Every odd part in which two sets differ has a shingle that only one of them has; sets
-    of similarity 0.8 differ in no more than a ninth of their sizes' sum.
-    """
-    width = min(map(len, sketches))
-    folded = np.array([np.bitwise_xor.reduce(x.reshape(-1, width), axis=0) for x in sketches])
-    out = np.zeros(len(sizes), bool)
-    for i in range(1, len(sizes)):
-        apart = np.bitwise_count(folded[:i] ^ folded[i]).sum(axis=1, dtype=np.int64)
-        near = 9 * apart <= sizes[:i] + sizes[i]
-        out[:i] |= near
-        out[i] |= near.any()
-    return np.flatnonzero(out)
-
-
-def _by_unit(batches: Iterator[pa.RecordBatch], columns: list[str], function) -> Iterator[pa.RecordBatch]:
-    """The function's result for each unit of two rows or more, given its columns."""
-    unit, held = None, []
-    for batch in batches:
-        values = (batch.column(c).to_pylist() for c in columns)
-        for own, *row in zip(batch.column("unit").to_pylist(), *values, strict=True):
-            if own != unit:
-                if len(held) > 1:
-                    yield function(unit, *zip(*held, strict=True))
-                unit, held = own, []
-            held.append(row)
-    if len(held) > 1:
-        yield function(unit, *zip(*held, strict=True))
-
-
-def near_copies(docs: DataFrame) -> DataFrame:
-    """``a, b``: pairs of ``docs(doc_id, text)`` that share 0.8 or more of their shingles.
-
-    Not all pairs, but a forest per unit, whose components are those of all pairs.  The
-    candidates of one shingle and size are one unit; if they have more than ``GROUP_ROWS``
-    documents or ``TILE_SHINGLES`` shingles they are cut into k tiles, and every two tiles
-    are a unit, so that every pair still meets.  Documents without a possible partner in
-    their unit leave it before the shingles are brought there.
-    """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    candidates = cut(candidate_sets(docs))
-    ids = cut(candidates.select("doc_id").distinct())
-
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [copy_shingles(t) for t in batch.column("text").to_pylist()]
-            n, odd = [len(x) for x in sets], [parities(x).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(odd, pa.binary())], ["doc_id", "n", "odd"]
-            )
-
-    texts = docs.select("doc_id", "text")
-    sketches = cut(map_batches(attach(texts, ids, ["doc_id"]), sketched, f"doc_id {kind}, n bigint, odd binary"))
-    sized = attach(candidates, cut(sketches.groupBy("doc_id").agg(F.sum("n").alias("n"))), ["doc_id"])
-    tiles = F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int")
-    large = cut(sized.groupBy("shingle", "size").agg(tiles.alias("tiles")).where("tiles > 1"))
-    tiled = attach(candidates, large, ["shingle", "size"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    own = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
-    # With two tiles or more a unit is two of them, in which the pairs of each meet too.
-    others = F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda j: (j != own) | (F.col("tiles") == 1))
-    units = tiled.select("doc_id", "shingle", "size", own.alias("own"), F.explode(others).alias("j")).select(
-        "doc_id", F.xxhash64("shingle", "size", F.least("own", "j"), F.greatest("own", "j")).alias("unit")
-    )
-
-    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
-
-    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def few(unit, documents, n, odd):
-            at = _possible(np.array(n), [np.frombuffer(x, np.uint64) for x in odd]).tolist()
-            found = pa.array([documents[i] for i in at], id_type)
-            return pa.RecordBatch.from_arrays([pa.array([unit] * len(at), pa.int64()), found], ["unit", "doc_id"])
-
-        return _by_unit(batches, ["doc_id", "n", "odd"], few)
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [copy_shingles(t).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def alike(unit, documents, sets):
-            documents = pa.array(documents, id_type)
-            a, b = _alike([np.frombuffer(x, np.uint64) for x in sets])
-            return pa.RecordBatch.from_arrays([documents.take(pa.array(a)), documents.take(pa.array(b))], ["a", "b"])
-
-        return _by_unit(batches, ["doc_id", "shingles"], alike)
-
-    # A collision of the unit hash only brings more documents together.
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition(partitions, "unit").sortWithinPartitions("unit")
-
-    # Sketches and sets are few rows but many bytes, so they are not broadcast.
-    met = dealt(units.join(sketches, "doc_id")).select("unit", "doc_id", "n", "odd")
-    left = cut(map_batches(met, narrow, f"unit bigint, doc_id {kind}").distinct())
-    ids = cut(left.select("doc_id").distinct())
-    sets = cut(map_batches(attach(texts, ids, ["doc_id"]), shingled, f"doc_id {kind}, shingles binary"))
-    compared = dealt(left.join(sets, "doc_id")).select("unit", "doc_id", "shingles")
-    return map_batches(compared, compare, f"a {kind}, b {kind}")
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, whole, less all but the smallest id of each group of near copies.
+    """The documents, whole, less all but the smallest id of each group of ``near_groups``.
 
-    A group is what pairs that share 0.8 or more of their shingles link, directly or
-    through others, whatever its size.  Rows with a null id are kept; rows that repeat an
-    id are kept or go together.
+    Rows with a null id are kept; rows that repeat an id are kept or go together.
     """
-    known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    grouped = components(cut(near_copies(known)))
-    gone = cut(grouped.where("node != component").select(F.col("node").alias("doc_id")))
+    grouped = near_groups(docs.where("doc_id IS NOT NULL"))
+    gone = cut(grouped.where("doc_id != component_id").select("doc_id").distinct())
     return attach(docs, gone, ["doc_id"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -41,6 +41,8 @@ def rows():
         (303, "12 34 !!", "fr", "src3"),
         (304, prose(1, "en", 30_000), "en", "src9"),
         (305, "Straße ÉTÉ \U0001f600 中文 é  <|endoftext|> x", "de", "src1"),
+        (306, prose(6, "fr", 3000), "fr", "src2"),
+        (307, prose(6, "fr", 3000).replace(" ", " changed ", 1), "fr", "src2"),
         (None, "an id that is not there, in the morning", "en", "src1"),
     ]
     return out

@@ -45,8 +45,6 @@ class Plain:
             self.two.update(zip(chain, chain[1:], strict=False))
             self.three.update(zip(chain, chain[1:], chain[2:], strict=False))
         self.n, self.v, self.texts = sum(self.one.values()), len(self.one), len(texts)
-        self.two = {k: c for k, c in self.two.items() if c >= 2}
-        self.three = {k: c for k, c in self.three.items() if c >= 2}
         self.left1, self.left2 = Counter(), Counter()
         for (a, _), c in self.two.items():
             self.left1[a] += c - eftrie.DISCOUNT
