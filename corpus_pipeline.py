@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from colfit.llm import exactdup, langcodes, mixing, packing, simhash
 from colfit.llm.plans import PACKING_TOKENIZER
+from colfit.session import remove_folder, shared_folder
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -22,7 +24,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of documents that pairs sharing 0.8 of their five-word shingles link, one stays."""
+    """Of documents that fingerprints of four-word shingles link at four bits or fewer, one stays."""
     return simhash.keep_one(docs)
 
 
@@ -51,8 +53,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over the documents of a folder."""
+    """The stages in order over the documents of a folder.
+
+    What a stage keeps is written once to the shared folder and read by the next, and
+    deleted when that has written its own.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    before = None
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_folder(spark, before)
+        before = f"{folder}/{name}"
+    return STAGES[-1][1](spark, docs, sf_dir)
