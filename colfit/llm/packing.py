@@ -2,16 +2,21 @@
 
 A document's ids end with the id 1.  Every whole window of it is a sequence of its own;
 what remains, shorter than a window, is packed with the remainders of documents like it.
-Remainders are sorted by a signature of their ids, so that those that share words lie
-together and equal signatures, however many, spread over consecutive shards.  A shard
-holds a bounded number of remainders and a BM25 index of their ids.  Each window starts
-with a seed; the index returns the unused neighbours of the seed, best first, and they
-fill the window.  The last one is cut where the window ends and its rest is the next
-seed, so only the last window of a shard is padded.
+How many remainders of the whole corpus have a term, and their mean length, are counted
+first; BM25 weighs by these.  Remainders are sorted by their rarest terms that another one
+has too, so that those which share what tells most lie together, wherever they came from,
+and equal keys, however many, spread over consecutive shards.  A shard holds a bounded
+number of remainders and a BM25 index of all their ids.  Each window starts with a seed;
+the index returns the unused neighbours of the seed, best first, and they fill the window.
+The last one is cut where the window ends and its rest is the next seed, so only the last
+window of a task is padded.  A neighbour that shares none of a seed's rarest terms may be
+in another shard, where the seed does not find it.
 
 Results by case: a null text counts as empty; an empty text is the one id 1; a text of
 any length is cut into windows, so no row grows with it but by its windows' checksums;
-rows that repeat an id are packed each on its own; an empty table gives no rows.
+rows that repeat an id are packed each on its own; of equal scores the first in the order
+of the sort is nearer, of equal keys the smaller id comes first; an empty table gives no
+rows; only ``doc_id`` and ``text`` are read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -20,26 +25,31 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colfit.llm.common import cut, map_batches
 from colfit.llm.words import hashes, slices, split
+from colfit.operators.stats import added_up
 
 WINDOW = 2048
 END_ID = 1
 #: Remainders in a shard of the index.
-SHARD_ROWS = 500
+SHARD_ROWS = 1000
+#: Terms by which remainders are sorted, and bits of a term's place among all by rarity.
+RAREST = 3
+RARITY_BITS = 21
 #: Remainders in a task, many shards.
 TASK_ROWS = 20_000
 #: Words, and parts of words, whose ids a worker remembers before it forgets old ones.
 MOST_WORDS = 1_200_000
-MOST_PARTS = 300_000
+MOST_PARTS = 200_000
 #: BM25 constants.
 K1 = 1.2
 B = 0.75
@@ -111,13 +121,15 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.entry: dict[int, int] = {}  # of a word's hash
+        self.hashes = np.empty(0, np.uint64)  # of the words, sorted
+        self.entry = np.empty(0, np.int64)  # of each hash
         self.start = np.zeros(1 << 16, np.int64)  # of each entry's ids
         self.size = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18, self.kind)
         self.used = 0
 
-    def _remember(self, hashes: list[int], ids: list[bytes]) -> None:
+    def _remember(self, hashes: np.ndarray, ids: list[bytes]) -> None:
+        """Hashes in order, and their words' ids."""
         data = np.frombuffer(b"".join(ids), self.kind)
         sizes = np.array([len(x) for x in ids], np.int64) // np.dtype(self.kind).itemsize
         at, n = len(self.entry), len(hashes)
@@ -130,7 +142,9 @@ class WordEncoder:
         self.size[at : at + n] = sizes
         self.flat[self.used : self.used + len(data)] = data
         self.used += len(data)
-        self.entry.update(zip(hashes, range(at, at + n), strict=True))
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, place, hashes)
+        self.entry = np.insert(self.entry, place, np.arange(at, at + n))
 
     def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         out: dict[bytes, bytes] = {}
@@ -182,17 +196,22 @@ class WordEncoder:
         codes, distinct = pd.factorize(hashes(words))
         if len(self.entry) > MOST_WORDS:
             self._forget()
-        keys = distinct.tolist()
-        entries = list(map(self.entry.get, keys))
-        if None in entries:
+        order = np.argsort(distinct)
+        keys = distinct[order]
+        if not len(self.entry):
+            unknown = np.arange(len(keys))
+        else:
+            at = np.minimum(np.searchsorted(self.hashes, keys), len(self.hashes) - 1)
+            unknown = np.flatnonzero(self.hashes[at] != keys)
+        if len(unknown):
             place = np.empty(len(keys), np.int64)
             place[codes[::-1]] = np.arange(len(codes))[::-1]  # where each word is first
-            unknown = [i for i, e in enumerate(entries) if e is None]
-            new = [words.word(p) for p in place[unknown].tolist()]
+            new = [words.word(p) for p in place[order[unknown]].tolist()]
             ids = self._encode_words(new)
-            self._remember([keys[i] for i in unknown], [ids[w] for w in new])
-            entries = [self.entry[k] for k in keys]
-        entry = np.array(entries, np.int64)[codes] if len(keys) else np.empty(0, np.int64)
+            self._remember(keys[unknown], [ids[w] for w in new])
+        found = np.empty(len(keys), np.int64)
+        found[order] = self.entry[np.searchsorted(self.hashes, keys)] if len(keys) else 0
+        entry = found[codes]
         size = self.size[entry]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
@@ -215,21 +234,8 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def signature(ids: np.ndarray) -> int:
-    """Two minimum hashes of the set of ids, one after the other, as one number."""
-    if not len(ids):
-        return 0
-    x = ids.astype(np.uint64)
-    out = 0
-    for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-        y = (x + np.uint64(1)) * np.uint64(factor)
-        y ^= y >> np.uint64(29)
-        out = (out << 31) | int((y * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).min())
-    return out
-
-
 def encoded(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
-    """``doc_id, doc_tokens, whole, rest, signature``: checksums of the whole windows, ids of the rest."""
+    """``doc_id, doc_tokens, whole, rest``: checksums of the whole windows, ids of the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -238,32 +244,102 @@ def encoded(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
             for texts in slices(batch.column("text")):
                 part = batch.slice(at, len(texts))
                 at += len(texts)
-                columns: list[list] = [[], [], [], []]
+                columns: list[list] = [[], [], []]
                 for ids in encode.encode(texts):
                     full = len(ids) // window
                     rest = ids[full * window :]
                     whole = [_crc(ids[i * window : (i + 1) * window]) for i in range(full)]
-                    values = (len(ids), whole, rest.tobytes(), signature(rest))
+                    values = (len(ids), whole, rest.tobytes())
                     for column, value in zip(columns, values, strict=True):
                         column.append(value)
-                kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64()]
+                kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                    ["doc_id", "doc_tokens", "whole", "rest", "signature"],
+                    ["doc_id", "doc_tokens", "whole", "rest"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_batches(
         docs.select("doc_id", "text"),
         run,
-        f"doc_id {kind}, doc_tokens bigint, whole array<bigint>, rest binary, signature bigint",
+        f"doc_id {kind}, doc_tokens bigint, whole array<bigint>, rest binary",
     )
 
 
+class Corpus(NamedTuple):
+    """What all remainders say: each term's BM25 weight and place by rarity, and the mean length."""
+
+    idf: np.ndarray
+    rarity: np.ndarray
+    mean: float
+
+
+def _distinct(pieces: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces and their distinct terms, in the order of both."""
+    lengths = [len(p) for p in pieces]
+    flat = np.concatenate(pieces) if pieces else np.empty(0, np.int64)
+    key = np.unique(np.repeat(np.arange(len(pieces)), lengths) * size + flat)
+    return key // size, key % size
+
+
+def corpus(rows: DataFrame, kind: type, size: int) -> Corpus:
+    """Counted over the remainders of ``rows(rest)``; the vocabulary's size bounds what is sent."""
+
+    def total(batch: pa.RecordBatch) -> np.ndarray:
+        pieces = [np.frombuffer(r, kind) for r in batch.column(0).to_pylist() if r]
+        sums = np.zeros(size + 2)
+        for at in range(0, len(pieces), 500):
+            sums[:size] += np.bincount(_distinct(pieces[at : at + 500], size)[1], minlength=size)
+        sums[size:] = len(pieces), sum(map(len, pieces))
+        return sums
+
+    sums = added_up(rows.select("rest"), total)
+    if sums is None:
+        sums = np.zeros(size + 2)
+    df, n = sums[:size], sums[size]
+    # A term in half the remainders or more tells nothing; its weight is zero.
+    idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0.0)
+    shared = np.where(df > 1, df, np.inf)  # one that no other has brings nothing together
+    rarity = np.empty(size, np.int64)
+    rarity[np.argsort(shared, kind="stable")] = np.arange(size)
+    none = (1 << RARITY_BITS) - 1
+    if size > none:
+        raise ValueError(f"a vocabulary of {size} does not fit {RARITY_BITS} bits")
+    return Corpus(idf, np.where((df > 1) & (idf > 0), rarity, none), float(sums[size + 1] / max(n, 1)))
+
+
+def sort_keys(pieces: list[np.ndarray], known: Corpus) -> np.ndarray:
+    """Of each piece: its rarest shared terms, rarest first, as one number."""
+    none = (1 << RARITY_BITS) - 1
+    ranks = [known.rarity[p] for p in pieces]
+    of, rank = _distinct([r[r < none] for r in ranks], none)
+    nth = np.arange(len(of)) - np.searchsorted(of, of)
+    few = nth < RAREST
+    table = np.full((len(pieces), RAREST), none, np.int64)
+    table[of[few], nth[few]] = rank[few]
+    return (table << (RARITY_BITS * np.arange(RAREST - 1, -1, -1))).sum(axis=1)
+
+
+def keyed(rows: DataFrame, known: Corpus, kind: type) -> DataFrame:
+    """The rows of ``encoded`` with ``signature``, by which remainders are sorted."""
+    send = rows.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                pieces = [np.frombuffer(r, kind) for r in part.column("rest").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(sort_keys(pieces, send.value))], [*part.schema.names, "signature"]
+                )
+
+    return map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("signature", T.LongType())]))
+
+
 class Index:
-    """A BM25 inverted index of the ids of a shard's remainders."""
+    """A BM25 inverted index of the ids of a shard's remainders, weighed by the whole corpus."""
 
-    def __init__(self, pieces: list[np.ndarray]):
+    def __init__(self, pieces: list[np.ndarray], known: Corpus):
         n = len(pieces)
         lengths = np.array([len(p) for p in pieces], np.float64)
         terms, counts, of = [], [], []
@@ -277,13 +353,10 @@ class Index:
         order = np.argsort(all_terms, kind="stable")
         all_terms, self.of = all_terms[order].astype(np.int64), all_of[order]
         tf = all_counts[order].astype(np.float64)
-        df = np.bincount(all_terms)
-        # A term in half the pieces or more tells nothing; its weight is zero.
-        idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0.0)
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1.0))
-        self.score = idf[all_terms] * tf * (K1 + 1) / (tf + norm[self.of])
-        self.starts = np.concatenate(([0], np.cumsum(df)))
-        self.telling = idf > 0
+        norm = K1 * (1 - B + B * lengths / max(known.mean, 1.0))
+        self.score = known.idf[all_terms] * tf * (K1 + 1) / (tf + norm[self.of])
+        self.starts = np.concatenate(([0], np.cumsum(np.bincount(all_terms))))
+        self.telling = known.idf > 0
         self.n = n
 
     def neighbours(self, seed: int) -> np.ndarray:
@@ -298,9 +371,9 @@ class Index:
         return np.argsort(-total, kind="stable")
 
 
-def pack_shard(pieces: list[np.ndarray], window: int) -> Iterator[tuple[int, int, int, int, int]]:
+def pack_shard(pieces: list[np.ndarray], window: int, known: Corpus) -> Iterator[tuple[int, int, int, int, int]]:
     """``piece, start, length, sequence, offset``: every id of every piece once."""
-    index = Index(pieces)
+    index = Index(pieces, known)
     free = np.ones(len(pieces), bool)
     sequence, space = 0, window
     carried: tuple[int, int] | None = None  # a piece cut by the last window, and where
@@ -340,10 +413,13 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = cut(encoded(docs, path, window))
     tasks = max(1, -(-rows.count() // TASK_ROWS))
-    dealt = rows.repartitionByRange(tasks, "signature", "doc_id").sortWithinPartitions("signature", "doc_id")
+    own = encoder(path)
+    known = corpus(rows, own.kind, len(own.ends))
+    send = docs.sparkSession.sparkContext.broadcast(known)
+    dealt = keyed(rows, known, own.kind).repartitionByRange(tasks, "signature", "doc_id").sortWithinPartitions("signature", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_kind = encoder(path).kind
+        ids_kind, known = encoder(path).kind, send.value
         sequence = TaskContext.get().partitionId() << 40
         out: list[tuple] = []
         held: list[tuple] = []  # id, tokens of the document, start of the remainder, its ids
@@ -355,7 +431,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
             shard = held.copy()
             held.clear()
             window_pieces: list[tuple] = []
-            for i, start, length, k, offset in pack_shard([r[3] for r in shard], window):
+            for i, start, length, k, offset in pack_shard([r[3] for r in shard], window, known):
                 doc_id, n, at, ids = shard[i]
                 window_pieces.append((doc_id, n, at + start, ids[start : start + length], sequence + k, offset))
                 if offset + length == window:

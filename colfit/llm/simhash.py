@@ -48,7 +48,7 @@ TILE_ROWS = 20_000
 TASK_ROWS = 400_000
 PLACES = 42
 #: Pairs of 64-bit words compared at once.
-PAIRS_AT_ONCE = 4_000_000
+PAIRS_AT_ONCE = 1_000_000
 
 
 def fingerprint(text: str | None) -> int:
