@@ -274,12 +274,10 @@ class Corpus(NamedTuple):
     mean: float
 
 
-def _distinct(pieces: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces and their distinct terms, in the order of both."""
-    lengths = [len(p) for p in pieces]
-    flat = np.concatenate(pieces) if pieces else np.empty(0, np.int64)
-    key = np.unique(np.repeat(np.arange(len(pieces)), lengths) * size + flat)
-    return key // size, key % size
+def _together(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some pieces, none empty, and where each piece starts."""
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    return np.concatenate(pieces), np.cumsum(lengths) - lengths
 
 
 def corpus(rows: DataFrame, kind: type, size: int) -> Corpus:
@@ -289,7 +287,10 @@ def corpus(rows: DataFrame, kind: type, size: int) -> Corpus:
         pieces = [np.frombuffer(r, kind) for r in batch.column(0).to_pylist() if r]
         sums = np.zeros(size + 2)
         for at in range(0, len(pieces), 500):
-            sums[:size] += np.bincount(_distinct(pieces[at : at + 500], size)[1], minlength=size)
+            flat, starts = _together(pieces[at : at + 500])
+            of = np.repeat(np.arange(len(starts), dtype=np.uint32), np.diff(np.append(starts, len(flat))))
+            key = np.sort(of * np.uint32(size) + flat)  # 500 vocabularies fit 32 bits
+            sums[:size] += np.bincount(key[np.append(True, key[1:] != key[:-1])] % np.uint32(size), minlength=size)
         sums[size:] = len(pieces), sum(map(len, pieces))
         return sums
 
@@ -300,7 +301,7 @@ def corpus(rows: DataFrame, kind: type, size: int) -> Corpus:
     # A term in half the remainders or more tells nothing; its weight is zero.
     idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0.0)
     shared = np.where(df > 1, df, np.inf)  # one that no other has brings nothing together
-    rarity = np.empty(size, np.int64)
+    rarity = np.empty(size, np.int32)
     rarity[np.argsort(shared, kind="stable")] = np.arange(size)
     none = (1 << RARITY_BITS) - 1
     if size > none:
@@ -311,13 +312,19 @@ def corpus(rows: DataFrame, kind: type, size: int) -> Corpus:
 def sort_keys(pieces: list[np.ndarray], known: Corpus) -> np.ndarray:
     """Of each piece: its rarest shared terms, rarest first, as one number."""
     none = (1 << RARITY_BITS) - 1
-    ranks = [known.rarity[p] for p in pieces]
-    of, rank = _distinct([r[r < none] for r in ranks], none)
-    nth = np.arange(len(of)) - np.searchsorted(of, of)
-    few = nth < RAREST
-    table = np.full((len(pieces), RAREST), none, np.int64)
-    table[of[few], nth[few]] = rank[few]
-    return (table << (RARITY_BITS * np.arange(RAREST - 1, -1, -1))).sum(axis=1)
+    out = np.full(len(pieces), (1 << RARITY_BITS * RAREST) - 1)
+    some = np.flatnonzero([len(p) for p in pieces])
+    if not len(some):
+        return out
+    flat, starts = _together([pieces[i] for i in some.tolist()])
+    rank, lengths = known.rarity[flat], np.diff(np.append(starts, len(flat)))
+    key = np.zeros(len(some), np.int64)
+    for _ in range(RAREST):
+        least = np.minimum.reduceat(rank, starts)
+        key = (key << RARITY_BITS) | least
+        rank = np.where(rank == np.repeat(least, lengths), none, rank)
+    out[some] = key
+    return out
 
 
 def keyed(rows: DataFrame, known: Corpus, kind: type) -> DataFrame:
