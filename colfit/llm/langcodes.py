@@ -12,15 +12,21 @@ Learning is one aggregate over all training rows: counts per language and hashed
 n-gram.  A model is a table of languages times n-gram buckets, bounded by both.
 
 Results by case: a text that is null or has no letter is ``und`` with score 0 and
-ambiguous; a row without language teaches nothing; without any training row every text
-is ``und``; rows that repeat an id are predicted each on its own; an empty table gives
-no rows.
+ambiguous (letters are the code points of Unicode's letter categories; numerals like a
+half or a Roman eight are none); a row without language teaches nothing; without any
+training row every text is ``und``; of equally near codewords that of the first language by
+name is taken, and the text is ambiguous; a text of any length is read whole, in parts; rows
+that repeat an id are predicted each on its own; an empty table gives no rows; all columns
+of the input come back inside ``doc``, whatever they are called.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +47,29 @@ SHARPNESS = 12.0
 #: The margin between the two nearest codewords, of the weight of the bits in which they
 #: differ (1 if all of it speaks for the nearest), below which a text is ambiguous.
 AMBIGUOUS = 0.5
-MOST_LANGUAGES = 1000
+#: Bounds the model: so many languages have 511 classifiers, 67 MB of weights.
+MOST_LANGUAGES = 250
 #: Bytes hashed at once.
 BYTES_AT_ONCE = 1 << 22
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+
+@cache
+def _not_letters() -> re.Pattern[str]:
+    """Runs of anything but letters; numerals that count as parts of words are named one by one."""
+    numerals = "".join(
+        chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalnum() and unicodedata.category(chr(c))[0] == "N"
+    )
+    return re.compile(f"[\\W_{numerals}]+")
+
+
+def letters_of(text: str | None) -> str:
+    """The lower-cased letters, blanks for all else between them."""
+    return _not_letters().sub(" ", (text or "").lower()).strip()
 
 
 def _buckets(text: str | None) -> Iterator[np.ndarray]:
     """Buckets of the whole text's n-grams, in parts of bounded size."""
-    letters = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    letters = letters_of(text)
     if not letters:
         return
     data = np.frombuffer(f" {letters} ".encode(), np.uint8)
@@ -100,7 +119,12 @@ class Model:
             # Languages count alike, however much text each has.
             ones, zeros = share[bit > 0].mean(axis=0), share[bit < 0].mean(axis=0)
             weights.append(np.log(ones) - np.log(zeros))
-        self.weights = np.array(weights).reshape(len(weights), 1 << BUCKET_BITS).T
+        self.weights = np.array(weights, np.float32).reshape(len(weights), 1 << BUCKET_BITS).T
+
+    def margins(self, histogram: np.ndarray) -> np.ndarray:
+        """Of each classifier: how clearly the text has its bit."""
+        seen = np.flatnonzero(histogram)
+        return np.clip(histogram[seen] @ self.weights[seen] / histogram.sum() * SHARPNESS, -30, 30)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score and whether it is ambiguous."""
@@ -109,9 +133,10 @@ class Model:
             return UNKNOWN, 0.0, True
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
-        seen = np.flatnonzero(histogram)
-        margins = histogram[seen] @ self.weights[seen] / histogram.sum()
-        margins = np.clip(margins * SHARPNESS, -30, 30)
+        return self.decoded(self.margins(histogram))
+
+    def decoded(self, margins: np.ndarray) -> tuple[str, float, bool]:
+        """The nearest codeword's language, its share among all, and whether another is as near."""
         weight = np.abs(margins) / max(np.abs(margins).sum(), 1e-12)  # unsure bits say less
         loss = (weight * np.exp(-self.codes * margins / 4)).sum(axis=1)
         relative = -np.log(loss)
@@ -143,22 +168,19 @@ def learn(training: DataFrame) -> Model:
 
     labelled = training.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     counted = map_batches(labelled, count, "lang string, bucket int, count bigint")
-    summed = (
-        counted.groupBy("lang", "bucket")
-        .agg(F.sum("count").alias("count"))
-        .groupBy("lang")
-        .agg(F.collect_list(F.struct("bucket", "count")).alias("counts"))
-        .limit(MOST_LANGUAGES + 1)
-        .toPandas()
-        .sort_values("lang")
-    )
-    if len(summed) > MOST_LANGUAGES:
+    # A number for each language and bucket, as arrays; one row more than may be tells of too many.
+    most = MOST_LANGUAGES << BUCKET_BITS
+    summed = counted.groupBy("lang", "bucket").agg(F.sum("count").alias("count")).limit(most + 1).toArrow()
+    found = summed.column("lang").combine_chunks().dictionary_encode()
+    names = found.dictionary.to_pylist()
+    if len(names) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    counts = np.zeros((len(summed), 1 << BUCKET_BITS))
-    for row, pairs in zip(counts, summed["counts"], strict=True):
-        for pair in pairs:
-            row[pair["bucket"]] = pair["count"]
-    return Model(summed["lang"].tolist(), counts)
+    order = np.argsort(np.array(names, object)) if names else np.empty(0, np.int64)
+    place = np.empty(len(names), np.int64)
+    place[order] = np.arange(len(names))
+    counts = np.zeros((len(names), 1 << BUCKET_BITS))
+    counts[place[found.indices.to_numpy()], summed.column("bucket").to_numpy()] = summed.column("count").to_numpy()
+    return Model([names[i] for i in order.tolist()], counts)
 
 
 def identify(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
