@@ -14,17 +14,26 @@ corpus those whose own markup labels them, with one article or main element.  Th
 counted twice, the second time with that element's tag hidden, so that the model can do
 without.
 
-Results by case: a page that is null, empty or without text gives an empty text; broken
-markup is closed where browsers would; a page of any length is used whole; rows that
-repeat an id are pages of their own; an empty table gives no rows.
+Markup is read once, in time linear in the page's length and depth.  An end tag closes the
+innermost open element of its name unless a list or table stands between; a tag without
+its ``>`` is text; a quote that nothing closes does not hide the ``>`` after it; a comment,
+script or style that nothing closes lasts to the end, as in browsers; any other element
+without visible text that nothing closes hides nothing.
+
+Results by case: a page that is null, empty or without text gives an empty text; a page of
+any length is used whole, by one task; a block that is content by exactly half is left
+out; rows that repeat an id are pages of their own; an empty table gives no rows; only
+``page_id``, ``url`` and ``html`` are read, whatever other columns are called.
 """
 
 from __future__ import annotations
 
 import html as entities
+import itertools
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +72,12 @@ _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "emb
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _FENCES = {"ul", "ol", "dl", "table", "html", "body"}
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+#: Of these a second one ends the first.
+_ALONE = {"button", "select"}
+
+_TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_TAG_STOP = re.compile(r"""[>"']""")
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in _RAW}
 _NAMES = re.compile(r"""(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _BAD_NAME = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|sidebar|side|foot\w*|masthead|header|"
@@ -112,6 +126,78 @@ LABELLED = (
 _LABEL = re.compile(r"\by=(\d)")
 
 
+class Tag(NamedTuple):
+    """One tag of a page; a comment or the like has no name."""
+
+    start: int
+    end: int
+    name: str
+    closing: bool
+    attributes: str
+
+
+def tags(source: str) -> list[Tag]:
+    """All tags in page order, without what is inside raw elements."""
+    found: list[Tag] = []
+    last = {c: source.rfind(c) for c in ">\"'"}
+    at = source.find("<")
+    while 0 <= at < last[">"]:
+        end = 0
+        if source.startswith("<!--", at):
+            stop = source.find("-->", at + 4)
+            end = len(source) if stop < 0 else stop + 3
+            found.append(Tag(at, end, "", False, ""))
+        elif source[at + 1] in "!?":
+            end = source.index(">", at) + 1
+            found.append(Tag(at, end, "", False, ""))
+        elif match := _TAG_NAME.match(source, at):
+            end = _tag_end(source, match.end(), last)
+            name, closing = match[1].lower(), source[at + 1] == "/"
+            attributes = source[match.end() : end - 1]
+            if name in _RAW and not closing and not attributes.endswith("/"):
+                stop = _RAW_ENDS[name].search(source, end)
+                end = len(source) if not stop else (source.find(">", stop.start()) + 1) or len(source)
+                name = ""
+            found.append(Tag(at, end, name, closing, attributes))
+        at = source.find("<", end or at + 1)
+    if at >= 0 and source.startswith("<!--", at):
+        found.append(Tag(at, len(source), "", False, ""))  # a comment to the end
+    return found
+
+
+def _tag_end(source: str, at: int, last: dict[str, int]) -> int:
+    """Past the ``>`` of a tag, of which there is one; quoted values may have others."""
+    begin = at
+    while match := _TAG_STOP.search(source, at):
+        at = match.end()
+        if match[0] == ">":
+            return at
+        before = match.start() - 1
+        while before > begin and source[before].isspace():
+            before -= 1
+        if source[before] == "=" and match.start() < last[match[0]]:
+            at = source.index(match[0], at) + 1
+    return source.index(">", begin) + 1  # it was inside quotes
+
+
+def _hidden(found: list[Tag]) -> list[int]:
+    """At each tag: how many closed elements without visible text it is inside of, or ends."""
+    depth = [0] * (len(found) + 1)
+    open_: dict[str, list[int]] = {}
+    for i, tag in enumerate(found):
+        if tag.name not in _UNSEEN or tag.name == "head" or tag.attributes.endswith("/"):
+            continue
+        mine = open_.setdefault(tag.name, [])
+        if not tag.closing:
+            if tag.name in _ALONE:
+                mine.clear()
+            mine.append(i)
+        elif mine:
+            depth[mine.pop()] += 1
+            depth[i] -= 1
+    return list(itertools.accumulate(depth))
+
+
 class Page:
     """The block elements of a page and its blocks of text, in page order."""
 
@@ -130,10 +216,10 @@ class Page:
 
     def _read(self, source: str, labelled: bool) -> None:
         stack = [0]
+        depths: dict[str, list[int]] = defaultdict(list)  # of the open elements, by name
+        fences: list[int] = []
         held: list[str] = []
         link = False
-        unseen = 0  # open elements without visible text
-        at = 0
 
         def flush() -> None:
             if held:
@@ -146,7 +232,7 @@ class Page:
                     self.marks[node] += len(_SENTENCE.findall(text))
 
         def keep(text: str) -> None:
-            if text and not unseen:
+            if text:
                 text = entities.unescape(text) if "&" in text else text
                 held.append(text)
                 if link:
@@ -154,54 +240,48 @@ class Page:
 
         def close(names: set[str]) -> None:
             """The innermost open element of these names, and what is open inside it."""
-            for depth in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[depth]] in names:
-                    flush()
-                    del stack[depth:]
-                    return
-                if self.tag[stack[depth]] in _FENCES and not names & _FENCES:
-                    return
-
-        while True:
-            match = _TAG.search(source, at)
-            keep(source[at : match.start()] if match else source[at:])
-            if not match:
-                break
-            at = match.end()
-            if not match[2]:
+            depth = max((depths[n][-1] for n in names if depths[n]), default=0)
+            if not depth or (fences and fences[-1] > depth and not names & _FENCES):
+                return
+            flush()
+            for node in stack[depth:]:
+                depths[self.tag[node]].pop()
+            while fences and fences[-1] >= depth:
+                fences.pop()
+            del stack[depth:]
+
+        found = tags(source)
+        at = 0
+        hidden = 0
+        for (start, stop, tag, end, attributes), inside in zip(found, _hidden(found), strict=False):
+            if not hidden:
+                keep(source[at:start])
+            at, hidden = stop, inside
+            if hidden or not tag:
                 continue
-            tag, end = match[2].lower(), bool(match[1])
-            if tag in _RAW and not end and not match[3].endswith("/"):
-                stop = re.compile(f"</{re.escape(tag)}", re.I).search(source, at)
-                at = stop.start() if stop else len(source)
-                if stop:
-                    at = (source.find(">", at) + 1) or len(source)
-            elif tag in _UNSEEN:
-                if tag != "head":
-                    unseen = max(0, unseen - 1) if end else unseen + (not match[3].endswith("/"))
-            elif tag in _BLOCKS:
-                if unseen:
-                    unseen = 0 if tag == "body" else unseen
-                if tag in ("html", "body") and (end or (tag == "html" or "body" in (self.tag[i] for i in stack))):
+            if tag in _BLOCKS:
+                if tag in ("html", "body") and (end or tag == "html" or depths["body"]):
                     continue
                 flush()
+                link = False
                 if end:
                     close({tag})
-                    link = False
                     continue
-                if any(self.tag[i] == "p" for i in stack[1:]) :
+                if depths["p"]:
                     close({"p"})
                 if tag in _SIBLINGS:
                     close(_SIBLINGS[tag])
-                link = False
                 self.parent.append(stack[-1])
                 self.tag.append(tag)
                 self.kind.append(_BLOCKS[tag])
-                self.names.append(_named(match[3]))
-                found = _LABEL.search(match[3]) if labelled else None
-                self.label.append(int(found[1]) if found else -1)
+                self.names.append(_named(attributes))
+                label = _LABEL.search(attributes) if labelled else None
+                self.label.append(int(label[1]) if label else -1)
                 for counts in (self.chars, self.linked, self.marks):
                     counts.append(0)
+                depths[tag].append(len(stack))
+                if tag in _FENCES:
+                    fences.append(len(stack))
                 stack.append(len(self.parent) - 1)
             elif tag == "a":
                 link = not end
@@ -209,6 +289,8 @@ class Page:
                 flush()
             elif tag in _VOID:
                 held.append(" ")
+        if not hidden:
+            keep(source[at:])
         flush()
 
     def label_by_markup(self) -> bool:

@@ -1,4 +1,7 @@
 import itertools
+import os
+import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -67,3 +70,74 @@ def test_table(spark):
     assert by_id[0] == by_id[None] == TEXT and by_id[90] == by_id[91] == ""
     assert len(by_id[92]) > 200_000
     assert htmltree.main_texts(pages.limit(0)).count() == 0
+
+
+LEAST = "<p>It goes on, for a while and then some more, until the end of it.</p>"
+
+
+def article(inner):
+    return f"<body><article><h1>A title</h1><p>The first sentence, which is long enough to be one.</p>{inner}{LEAST}</article></body>"
+
+
+@pytest.mark.parametrize(
+    ("inner", "extra"),
+    [
+        ("<svg><path d=1>", ""),
+        ("<svg><text>no</text></svg>", ""),
+        ("<math><mi>x</mi></math>", ""),
+        ("<button>Press", "Press"),
+        ("<button>no</button>", ""),
+        ("<button>Press <p>Some words, in between, that are long enough.</p><button>no</button>", "Press\n\nSome words, in between, that are long enough."),
+        ("<object data=x>Words", "Words"),
+        ("<select><option>Words", "Words"),
+        ("<object>a<object>b</object></object>", ""),
+        ("<p>Of a <a href=\"x>link</a>, that nothing closes.</p>", "Of a link, that nothing closes."),
+        ("<p title='it's'>It is, as they say, so.</p>", "It is, as they say, so."),
+        ("<p class=a\"b>It is, as they say, so.</p>", "It is, as they say, so."),
+        ("<p title=\"a > b\">It is, as they say, so.</p>", "It is, as they say, so."),
+        ("<p>If 1 < 2, and 3 <4, it is so.</p>", "If 1 < 2, and 3 <4, it is so."),
+        ("<script>var a = '<p>no</p>';</script><style>p{}</style><!-- no -->", ""),
+        ("<ul><li>One, of many.<li>Two, and no more.</ul></li></li>", "One, of many.\n\nTwo, and no more."),
+        ("<template>no</template><noscript>no</noscript>", ""),
+    ],
+)
+def test_nothing_is_lost(model, inner, extra):
+    lines = ["A title", "The first sentence, which is long enough to be one.", extra, LEAST[3:-4]]
+    assert model.extract(article(inner)) == "\n\n".join(x for x in lines if x)
+
+
+def test_comment_and_script_to_the_end(model):
+    for rest in ("<!-- all of", "<script>all of"):
+        assert model.extract(article("").replace("<p>It", f"{rest}<p>It")) == "A title\n\nThe first sentence, which is long enough to be one."
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<div>", "</p>", "<a ", '<a href="x ', "<a href='x>", '<a b="', "<", "<!", "<!-", "<!--", "<p><b", "<button>", "<svg><p>", "<li>", "<ul><li>x", "<li><ul><div></li>", "&amp;", "<script", "</script>", "<b>x</b> "],
+)
+@pytest.mark.parametrize("end", ["", ">", '">'])
+def test_linear_in_length_and_depth(model, part, end):
+    source = LEAST + part * (300_000 // len(part)) + end
+    began = time.process_time()
+    model.extract(source)
+    assert time.process_time() - began < 5  # a third of a megabyte; the square would take minutes
+
+
+def test_words_of_pages_whose_labels_are_hidden(spark):
+    """Learned from half of the pages, precision and recall of words on the others without article tags."""
+    path = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("test tables not present")
+    pages = spark.read.parquet(path).where("html IS NOT NULL")
+    model = htmltree.learn(pages.where("page_id % 2 = 0"))
+    right = found = expected = n = 0
+    for (source,) in pages.where("page_id % 2 = 1").select("html").collect():
+        page = Page(source)
+        if not page.label_by_markup():
+            continue
+        wanted = Counter(" ".join(t for node, t in page.blocks if page.label[node] == htmltree.CONTENT).split())
+        bare = re.sub("(?i)<(/?)(article|main)", r"<\1div", source)
+        own = Counter(model.extract(bare).split())
+        n, right, found, expected = n + 1, right + (own & wanted).total(), found + own.total(), expected + wanted.total()
+    assert n >= 20
+    assert right / found > 0.95 and right / expected > 0.95
