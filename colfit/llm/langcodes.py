@@ -53,18 +53,23 @@ MOST_LANGUAGES = 250
 BYTES_AT_ONCE = 1 << 22
 
 
+_NOT_WORDS = re.compile(r"[\W\d_]+")
+
+
 @cache
-def _not_letters() -> re.Pattern[str]:
-    """Runs of anything but letters; numerals that count as parts of words are named one by one."""
-    numerals = "".join(
-        chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalnum() and unicodedata.category(chr(c))[0] == "N"
-    )
-    return re.compile(f"[\\W_{numerals}]+")
+def _numerals() -> np.ndarray:
+    """Of every code point: is it no digit but a numeral that counts as part of a word, like a half?"""
+    found = np.zeros(sys.maxunicode + 1, bool)
+    found[[c for c in range(len(found)) if chr(c).isalnum() and unicodedata.category(chr(c)) in ("Nl", "No")]] = True
+    return found
 
 
 def letters_of(text: str | None) -> str:
     """The lower-cased letters, blanks for all else between them."""
-    return _not_letters().sub(" ", (text or "").lower()).strip()
+    letters = _NOT_WORDS.sub(" ", (text or "").lower()).strip()
+    if not letters.isascii() and _numerals()[np.frombuffer(letters.encode("utf-32-le"), "<u4")].any():
+        letters = " ".join("".join(" " if _numerals()[ord(c)] else c for c in letters).split())
+    return letters
 
 
 def _buckets(text: str | None) -> Iterator[np.ndarray]:
