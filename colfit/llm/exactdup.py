@@ -7,7 +7,9 @@ meet under the digest.  No task ever receives a row per copy of a hot text.
 
 Results by case: a null text counts as the empty text; of equal texts the row with
 the largest id stays, a null id being the smallest; rows that repeat text and id are
-copies of each other of which one stays; an empty table gives no rows.
+copies of each other of which one stays; a text of any length is compared whole, as it
+stands in every key; an empty table gives no rows; other columns come back as they are,
+whatever they are called.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ one document; further rounds fill it in the same order with documents that still
 
 Results by case: a null or empty text has size 0 and takes nothing; documents of a
 null source form a source of their own, the last; rows that repeat id and size share
-their random number and are taken or left together; an empty table gives no rows.
+their random number, which is the only way for ranks to be equal, and are taken or left
+together; a text of any length counts by all its words; an empty table gives no rows; the
+columns of the input come back inside ``doc``, whatever they are called.
 """
 
 from __future__ import annotations

@@ -16,7 +16,10 @@ longest prefix within a budget is found without encoding again.
 
 Results by case: a null text counts as empty; an empty text has no token and no prefix;
 the special string, which the tokenizer takes as one token, counts as one where it ends
-and as ordinary text before; rows that repeat an id are rows of their own.
+and as ordinary text before; rows that repeat an id are rows of their own; there are no ties,
+as just one last token is right; a text of any length is counted whole, a byte for each code
+point; an empty table gives no rows; only ``doc_id`` and ``text`` are read, whatever other
+columns are called.
 """
 
 from __future__ import annotations

@@ -11,8 +11,10 @@ groups, a quarter and so on down to single ones, so grains come in all sizes and
 last differencing can fill up around heavy groups, which go on whole.  Rounds repeat
 until one bounded differencing is left.
 
-Results by case: a null text weighs as empty and goes with the empty texts; rows that
-repeat an id are rows of their own; an empty table gives no rows.
+Results by case: a null text weighs as empty and goes with the empty texts; a text of any
+length is one weight; of equal weights the group that was numbered first is taken first, and
+groups are numbered by their digests; rows that repeat an id are rows of their own; an empty
+table gives no rows; only ``doc_id`` and ``text`` are read, whatever other columns are called.
 """
 
 from __future__ import annotations

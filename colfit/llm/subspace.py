@@ -15,7 +15,9 @@ link counts per vector and a spanning forest, never the pairs themselves.
 
 Results by case: a vector that is null, empty, zero or holds null, NaN or infinity
 links with nothing, as does one whose label or id is null; vectors of different lengths
-don't link; vectors that share an id share its links; an empty table gives no rows.
+don't link; vectors that share an id share its links; a pair at exactly the cosine links; an
+empty table gives no rows; only ``vec_id``, ``label`` and ``embedding`` are read, whatever
+other columns are called.
 """
 
 from __future__ import annotations
@@ -68,7 +70,8 @@ def _classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
         & F.exists("embedding", lambda x: x != 0)
     )
-    key = F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.col("embedding").cast("array<string>")), 256)
+    label = F.col("label").cast("string")  # led by its length, as it may have commas
+    key = F.sha2(F.concat_ws(",", F.char_length(label).cast("string"), label, F.col("embedding").cast("array<string>")), 256)
     rows = vectors.select(
         "vec_id", F.col("label").cast("string").alias("label"), "embedding", F.when(usable, key).alias("class")
     )
