@@ -1,6 +1,8 @@
+from colfit.models.dense import Adam, DenseLayer, DenseNetwork, Descent, random_layer, zero_layer
 from colfit.models.kmeans import EQUIDISTANT, RANDOM, KMeans, KMeansModel, MaxIter, Tol
 from colfit.models.layers import layer_random, layer_zeroes, positions
 from colfit.models.linear import LinearModel, fit_linear
+from colfit.models.linkage import Linkage, fit_single_linkage
 from colfit.models.logistic import LogisticModel, classify, fit_logistic
 from colfit.models.mlp import ColumnNetwork, Layer, Network
 from colfit.models.svm import SVMModel, fit_svm
@@ -11,10 +13,15 @@ __all__ = [
     "EQUIDISTANT",
     "RANDOM",
     "REGRESSION",
+    "Adam",
     "ColumnNetwork",
+    "DenseLayer",
+    "DenseNetwork",
+    "Descent",
     "KMeans",
     "KMeansModel",
     "Layer",
+    "Linkage",
     "LinearModel",
     "LogisticModel",
     "MaxIter",
@@ -26,9 +33,12 @@ __all__ = [
     "fit_forest",
     "fit_linear",
     "fit_logistic",
+    "fit_single_linkage",
     "fit_svm",
     "fit_tree",
     "layer_random",
     "layer_zeroes",
     "positions",
+    "random_layer",
+    "zero_layer",
 ]

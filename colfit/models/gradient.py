@@ -9,16 +9,22 @@ gives each its own.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from typing import Self
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colfit.functions.activations import IDENTITY, Activation
+from colfit.functions.activations import IDENTITY, SOFTMAX, Activation
 from colfit.functions.losses import Loss, first_rows, hinge_gates
-from colfit.functions.numeric import any_null, double, total, weighted
+from colfit.functions.numeric import any_null, double, sql_column, total, weighted
+from colfit.models.dense import activated
 from colfit.operators.stats import (
+    FEW_AVERAGES,
+    added_up,
     check_counts,
     check_invalid,
     column_means,
@@ -199,6 +205,8 @@ def fit_by_epochs(
         return _fit_gated(model, rows, num_epochs, learning_rate, order_by, gradient)
     if gradient == SHARED:
         return _fit_shared(model, rows, num_epochs, learning_rate)
+    if len(model.features) > FEW_AVERAGES and model.activation != SOFTMAX:
+        return _fit_wide(model, rows, num_epochs, learning_rate)
     y = double(model.label)
     with persisted(rows):
         check_rows(rows, model)
@@ -244,6 +252,42 @@ def _fit_shared(
     return model.with_parameters(intercept, [w + t for w in model.coefficients])
 
 
+def _fit_wide(
+    model: GradientModel, rows: DataFrame, num_epochs: int, learning_rate: float
+) -> GradientModel:
+    """Many features: they are persisted as one array, and every task multiplies its rows as a matrix.
+
+    Rows in fewer partitions than there are cores are dealt out once.
+    """
+    features = ", ".join(map(sql_column, model.features))
+    packed = rows.select(
+        F.expr(f"array({features})").alias("x"),
+        double(model.label).alias("y"),
+        any_null([*model.features, model.label]).alias("missing"),
+        F.spark_partition_id().alias("part"),
+    )
+    counts = [F.count("*"), F.count_if("missing"), F.count_distinct("part")]
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    with persisted(packed) as kept:
+        n, nulls, parts = kept.agg(*counts).first()
+        check_counts(n, nulls)
+        with persisted(kept.repartition(cores)) if parts < cores else nullcontext(kept) as dealt:
+
+            def step(current: GradientModel):
+                b, w, kind = current.intercept, np.array(current.coefficients), current.activation
+
+                def total(batch: pa.RecordBatch) -> np.ndarray:
+                    x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
+                    d = batch.column("y").to_numpy() - activated(kind, x @ w + b)
+                    return np.concatenate(([d.sum()], d @ x, [len(d)]))
+
+                sums = added_up(dealt.select("x", "y"), total)
+                loss = current.loss_function
+                return loss.intercept_scale * sums[0] / n, (loss.feature_scale * sums[1:-1] / n).tolist()
+
+            return descend(model, num_epochs, learning_rate, step)
+
+
 def _fit_gated(
     model: GradientModel,
     rows: DataFrame,

@@ -19,7 +19,8 @@ from colfit.models.gradient import (
     starting_point,
     training_rows,
 )
-from colfit.operators.stats import check_counts, column_means, require_columns, sums_by_task
+from colfit.operators.stats import AGGREGATES_AT_ONCE, check_counts, column_means, require_columns, sums_by_task
+
 
 @dataclass(frozen=True)
 class LinearModel(GradientModel):
@@ -99,11 +100,14 @@ def _fit_shared_moments(model, df, num_epochs, learning_rate, handle_invalid) ->
 def _fit_moments(model, df, num_epochs, learning_rate, handle_invalid) -> LinearModel:
     """Each coefficient has its own gradient: the averages of all products of features.
 
-    One pass in which every task multiplies its rows as a matrix.  The driver
-    holds features squared numbers.
+    One pass, a plain aggregate for a few features; for more, every task multiplies its
+    rows as a matrix.  The driver holds features squared numbers.
     """
     rows = training_rows(df, model, (), handle_invalid)
     k = len(model.features)
+    if (k + 1) * (k + 2) < AGGREGATES_AT_ONCE:
+        xx, xy = _few_products(rows, model)
+        return _descended(model, xx, xy, num_epochs, learning_rate)
 
     def products(values: np.ndarray) -> np.ndarray:
         x = np.column_stack((np.ones(len(values)), values[:, :k]))
@@ -117,6 +121,24 @@ def _fit_moments(model, df, num_epochs, learning_rate, handle_invalid) -> Linear
     n = totals[0]
     xx = totals[: (k + 1) ** 2].reshape(k + 1, k + 1) / n
     xy = totals[(k + 1) ** 2 : -1] / n
+    return _descended(model, xx, xy, num_epochs, learning_rate)
+
+
+def _few_products(rows: DataFrame, model: LinearModel) -> tuple[np.ndarray, np.ndarray]:
+    """Averages of products of features, one of them 1, with each other and with the label."""
+    xs, y = [F.lit(1.0), *(double(f) for f in model.features)], double(model.label)
+    k = len(xs)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    missing = any_null([*model.features, model.label]).cast("double")
+    found = column_means(rows, [*[xs[i] * xs[j] for i, j in pairs], *[x * y for x in xs], missing])
+    check_counts(found[-1] is not None, found[-1])
+    xx = np.empty((k, k))
+    for (i, j), mean in zip(pairs, found[: len(pairs)], strict=True):
+        xx[i, j] = xx[j, i] = mean
+    return xx, np.array(found[len(pairs) : -1])
+
+
+def _descended(model: LinearModel, xx: np.ndarray, xy: np.ndarray, num_epochs: int, learning_rate: float) -> LinearModel:
     w = np.array([model.intercept, *model.coefficients])
     for _ in range(num_epochs):
         w = w + learning_rate * 2.0 * (xy - xx @ w)

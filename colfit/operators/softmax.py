@@ -17,6 +17,11 @@ from colfit.session import persisted, shared_folder
 BROADCAST_GROUPS = 10_000
 # A group of more rows than this is not joined by shuffle, whatever the table's size.
 LARGE_ROWS = 1_000_000
+# A group of more rows has too many cells for a Jacobian.
+MOST_JACOBIAN_ROWS = 2_000
+# If more groups than this have so many rows none is broadcast; then no group is a
+# large part of the table either.
+MOST_LARGE_GROUPS = 1_000_000
 
 
 def softmax(
@@ -54,8 +59,8 @@ def softmax(
         shared_folder(spark)
         totals = totals.checkpoint()
 
-    large = totals.filter(F.col("__rows") > LARGE_ROWS).collect()
-    if not large:
+    large = totals.filter(F.col("__rows") > LARGE_ROWS).limit(MOST_LARGE_GROUPS + 1).collect()
+    if not large or len(large) > MOST_LARGE_GROUPS:
         return scored(df.join(totals, same))
     hot = F.broadcast(spark.createDataFrame(large, totals.schema))
     rest = df.join(hot, same, "left_anti").join(totals, same)
@@ -89,6 +94,45 @@ def softmax_jacobian(
     )
 
 
+def softmax_group_jacobian(
+    df: DataFrame, value: str, by: Sequence[str], key: str, most_rows: int = MOST_JACOBIAN_ROWS
+) -> DataFrame:
+    """The softmax Jacobian over the rows of each group: ``by..., i, j, value`` for two keys of a group.
+
+    A group of n rows has n*n cells, which one task yields; a group of more than
+    ``most_rows`` raises, as does a key that is null or repeats in its group.  Values are
+    shifted by their group's maximum first.  A null value makes its row's and column's cells
+    null and adds nothing to the total; a null in ``by`` is a group; no rows give none.
+    """
+    require_columns(df, [value, key, *by])
+    names = [f"__by{i}" for i in range(len(by))]
+    rows = df.select(*[F.col(f"`{b}`").alias(n) for b, n in zip(by, names, strict=True)], F.col(f"`{key}`").alias("k"), double(value).alias("x"))
+    keys = rows.groupBy(*names, "k").agg(F.count("*").alias("n"))
+    sizes = keys.groupBy(*names).agg(F.sum("n").alias("n"), F.max("n").alias("times"), F.count_if(F.col("k").isNull()).alias("null"))
+    largest, times, nulls = sizes.agg(F.max("n"), F.max("times"), F.sum("null")).first()
+    if largest is None:
+        largest, times, nulls = 0, 1, 0
+    if nulls or times > 1:
+        raise ValueError(f"key {key!r} must be there and unique in its group")
+    if largest > most_rows:
+        raise ValueError(f"a group has {largest} rows, more than {most_rows}")
+    groups = rows.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("rows"))
+    shifted = F.transform("rows", lambda r: F.exp(r.x - F.array_max(F.col("rows.x"))))
+    exps = groups.select(*names, F.col("rows.k").alias("k"), shifted.alias("e"))
+    total = F.aggregate("e", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0)))
+    shares = exps.withColumn("t", total).select(*names, "k", F.transform("e", lambda v: ratio(v, F.col("t"))).alias("s"))
+    first = shares.select(*names, "k", "s", F.posexplode("s").alias("at_i", "a"))
+    cells = first.select(*names, "k", "at_i", "a", F.posexplode("s").alias("at_j", "b"))
+    own = F.col("a") * (F.lit(1.0) - F.col("a"))
+    cell = F.when(F.col("at_i") == F.col("at_j"), own).otherwise(-F.col("a") * F.col("b"))
+    return cells.select(
+        *[F.col(n).alias(b) for b, n in zip(by, names, strict=True)],
+        F.get("k", F.col("at_i")).alias("i"),
+        F.get("k", F.col("at_j")).alias("j"),
+        cell.alias("value"),
+    )
+
+
 def _shares(df: DataFrame, columns: Sequence[str], shift: Column | None) -> DataFrame:
     require_columns(df, columns)
     exps = {c: F.exp(double(c) if shift is None else double(c) - shift) for c in columns}

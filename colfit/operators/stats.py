@@ -63,7 +63,7 @@ def sums_by_task(
     def total(batch: pa.RecordBatch) -> np.ndarray:
         return function(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
 
-    return _added_up(df.select(*[c.cast("double").alias(n) for c, n in zip(columns, names, strict=True)]), total)
+    return added_up(df.select(*[c.cast("double").alias(n) for c, n in zip(columns, names, strict=True)]), total)
 
 
 def array_means(df: DataFrame, values: Column) -> np.ndarray | None:
@@ -79,11 +79,12 @@ def array_means(df: DataFrame, values: Column) -> np.ndarray | None:
         flat = pc.list_flatten(arrays).to_numpy(zero_copy_only=False)
         return np.append(flat.reshape(len(arrays), -1).sum(axis=0), len(arrays))
 
-    sums = _added_up(df.select(values.alias("values")), total)
+    sums = added_up(df.select(values.alias("values")), total)
     return None if sums is None else sums[:-1] / sums[-1]
 
 
-def _added_up(rows: DataFrame, total: Callable[[pa.RecordBatch], np.ndarray | None]) -> np.ndarray | None:
+def added_up(rows: DataFrame, total: Callable[[pa.RecordBatch], np.ndarray | None]) -> np.ndarray | None:
+    """``total`` of every batch of rows, added up in the tasks and over them; None without rows."""
     ship_package(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

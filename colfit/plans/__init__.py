@@ -2,7 +2,10 @@
 
 from colfit.plans import (  # noqa: F401
     clustering,
+    curves,
+    dense,
     functions,
+    linkage,
     networks,
     preparation,
     supervised,

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colfit.functions.activations import SOFTMAX
+from colfit.functions.numeric import array_sum
 from colfit.models import KMeans, MaxIter, fit_linear, fit_logistic, fit_svm
 from colfit.models.gradient import PER_FEATURE
-from colfit.operators import softmax, spread_vector
+from colfit.operators import softmax, softmax_group_jacobian, spread_vector
 from colfit.plans.registry import number, query, rounded, rounded_sql, with_ctes
 from colfit.plans.views import CUS_FEATURES, CUS_SQL, WIDTH, customers, embeddings, table
 
@@ -198,17 +199,47 @@ def _softmax_embeddings(spark, folder):
         [_EMB, _SHARES],
         f"SELECT vec_id, CAST(i AS INTEGER) AS i, {rounded_sql('s[i + 1] * (1 - s[i + 1])')} AS own, "
         + rounded_sql(f"-s[i + 1] * s[(i + 1) % {WIDTH} + 1]")
-        + f" AS following FROM share, range({WIDTH}) r(i)",
+        + f" AS following, {rounded_sql('list_sum(row)')} AS row_sum, "
+        + rounded_sql("list_sum(list_transform(row, lambda v: v * v)) * 1000")
+        + " AS row_squares, "
+        + rounded_sql(f"list_sum(list_transform(range({WIDTH}), lambda j: (j + 1) * row[j + 1]))")
+        + f" AS row_moment FROM (SELECT vec_id, i, s, list_transform(range({WIDTH}), lambda j: "
+        + f"CASE WHEN j = i THEN s[i + 1] * (1 - s[i + 1]) ELSE -s[i + 1] * s[j + 1] END) AS row FROM share, range({WIDTH}) r(i))",
     ),
 )
 def _softmax_gradient_embeddings(spark, folder):
-    """Of every row of the Jacobian the diagonal value and the one after it."""
+    """Of every row of the Jacobian the diagonal value, the one after it, and sums over all its values."""
     n = F.lit(WIDTH)
     rows = embeddings(spark, folder).select("vec_id", SOFTMAX.gradient_array(F.col("x")).alias("j"))
     rows = rows.select("vec_id", "j", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
+    row = F.slice("j", F.col("i") * n + 1, n)
+    moment = F.transform(row, lambda v, j: v * (j + 1))
     return rows.select(
         "vec_id",
         "i",
         rounded(F.get("j", F.col("i") * n + F.col("i"))).alias("own"),
         rounded(F.get("j", F.col("i") * n + (F.col("i") + 1) % n)).alias("following"),
+        rounded(array_sum(row)).alias("row_sum"),
+        rounded(array_sum(F.transform(row, lambda v: v * v)) * 1000).alias("row_squares"),
+        rounded(array_sum(moment)).alias("row_moment"),
     )
+
+
+@query(
+    "grad_softmax_groups",
+    with_ctes(
+        [
+            "v AS (SELECT s_nationkey AS g, s_suppkey AS k, s_acctbal / 1000 AS x FROM supplier)",
+            "e AS (SELECT g, k, exp(x - max(x) OVER (PARTITION BY g)) AS e FROM v)",
+            "s AS (SELECT g, k, e / sum(e) OVER (PARTITION BY g) AS s FROM e)",
+        ],
+        "SELECT a.g AS s_nationkey, a.k AS i, b.k AS j, "
+        + rounded_sql("CASE WHEN a.k = b.k THEN a.s * (1 - a.s) ELSE -a.s * b.s END")
+        + " AS value FROM s a JOIN s b USING (g)",
+    ),
+)
+def _softmax_gradient_groups(spark, folder):
+    """The Jacobian over the suppliers of each nation."""
+    rows = table(spark, folder, "supplier").select("s_nationkey", "s_suppkey", (F.col("s_acctbal") / 1000).alias("x"))
+    found = softmax_group_jacobian(rows, "x", ["s_nationkey"], "s_suppkey")
+    return found.withColumn("value", rounded("value"))

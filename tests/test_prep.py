@@ -11,6 +11,7 @@ from colfit.operators import (
     min_max_norm_cols,
     softmax,
     softmax_columns,
+    softmax_group_jacobian,
     softmax_jacobian,
     transform_cols,
     z_norm_cols,
@@ -191,3 +192,27 @@ def test_softmax_within_row(table):
 def test_softmax_sum_is_one(column):
     total = softmax(column([0.5, -1, 3, 2]), "x").agg(F.sum("activated_values")).first()[0]
     assert total == approx(1.0)
+
+
+def test_group_jacobian(spark):
+    rows = [("a", 1, 0.5), ("a", 2, -1.0), ("a", 7, 3.0), (None, 1, 2.0), ("b", 4, 800.0), ("b", 5, 799.0), ("n", 1, None), ("n", 2, 1.0)]
+    df = spark.createDataFrame(rows, "g string, k int, x double").repartition(4)
+    found = {(r["g"], r["i"], r["j"]): r["value"] for r in softmax_group_jacobian(df, "x", ["g"], "k").collect()}
+    assert len(found) == 9 + 1 + 4 + 4
+    for group in ("a", None, "b"):
+        own = {k: x for g, k, x in rows if g == group}
+        total = sum(math.exp(x - max(own.values())) for x in own.values())
+        share = {k: math.exp(x - max(own.values())) / total for k, x in own.items()}
+        for i in own:
+            for j in own:
+                expected = share[i] * (1 - share[i]) if i == j else -share[i] * share[j]
+                assert found[group, i, j] == pytest.approx(expected, abs=1e-12)
+    assert found["n", 1, 2] is None and found["n", 2, 2] == 0.0
+    assert softmax_group_jacobian(df.limit(0), "x", ["g"], "k").count() == 0
+    clashing = df.selectExpr("g AS k", "k AS s", "x AS rows", "1 AS e")
+    assert softmax_group_jacobian(clashing, "rows", ["k"], "s").count() == len(found)
+    with pytest.raises(ValueError, match="3 rows"):
+        softmax_group_jacobian(df, "x", ["g"], "k", most_rows=2)
+    for bad in ([("a", 1, 0.0)], [("a", None, 0.0)]):
+        with pytest.raises(ValueError, match="unique"):
+            softmax_group_jacobian(df.union(spark.createDataFrame(bad, df.schema)), "x", ["g"], "k")
