@@ -283,7 +283,7 @@ def _fit_wide(
 
                 sums = added_up(dealt.select("x", "y"), total)
                 loss = current.loss_function
-                return loss.intercept_scale * sums[0] / n, (loss.feature_scale * sums[1:-1] / n).tolist()
+                return float(loss.intercept_scale * sums[0] / n), (loss.feature_scale * sums[1:-1] / n).tolist()
 
             return descend(model, num_epochs, learning_rate, step)
 
