@@ -103,7 +103,7 @@ def frame(spark, rows, parts=3):
 
 
 @pytest.mark.parametrize("kind", [CLASSIFICATION, REGRESSION])
-@pytest.mark.parametrize(("depth", "least_rows"), [(0, 1), (1, 1), (4, 1), (5, 15)])
+@pytest.mark.parametrize(("depth", "least_rows"), [(0, 1), (4, 1), (4, 15)])
 def test_tree_equals_plain(spark, kind, depth, least_rows):
     rows = rows_of(depth, 250, kind)
     model = fit_tree(frame(spark, rows), ["a", "b", "c"], "y", kind, depth=depth, bins=8, least_rows=least_rows, resolution=UNIT)
