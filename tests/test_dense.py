@@ -82,7 +82,7 @@ def test_gradients_agree_with_differences(spark, kinds, labels, loss):
 
 
 def plain_fit(net, rows, epochs, optimiser, batches=None, lanes=1, seed=0):
-    """Numpy on all rows, lane after lane; gradients by differences."""
+    """Numpy on all rows, lane after lane."""
     names = ["key", "a", "b", "c", "y", "z", "v"]
     x = np.array([[r[names.index(f)] for f in net.features] for r in rows])
     y = np.array([[r[names.index(c)] for c in net.labels] for r in rows])
