@@ -51,7 +51,7 @@ FOLDS = 10
 ADDED = 0.1
 DISCOUNT = 0.75
 #: Training tokens to a shard of the trie, and distinct words to one of the vocabulary.
-SHARD_TOKENS = 6_000_000
+SHARD_TOKENS = 3_000_000
 SHARD_WORDS = 4_000_000
 #: Tokens whose n-grams a task merges before it passes them on.
 MERGED_TOKENS = 3_000_000
@@ -59,6 +59,8 @@ MERGED_TOKENS = 3_000_000
 TOKENS_AT_ONCE = 1 << 18
 #: One byte stores a base-10 logarithm from 0 down to this.
 LOWEST_LOG = -10.0
+#: Bytes below which an array is read, not mapped; a process may map only so many files.
+LEAST_MAPPED = 1 << 16
 #: Stands for the end of a text among the hashes of words.
 END = np.uint64(0xD1B54A32D192ED03)
 
@@ -112,7 +114,7 @@ class Files:
                     out.write(part)
                 out.flush()
                 return np.load(out.name, mmap_mode="r")  # stays mapped when its name goes
-        return np.load(path, mmap_mode="r")
+        return np.load(path, mmap_mode="r" if os.path.getsize(path) >= LEAST_MAPPED else None)
 
     def save_sequence(self, name: str, values: np.ndarray) -> None:
         built = MonotoneSequence.build(values)
@@ -300,9 +302,11 @@ def _write_grams(texts: DataFrame, sizes: Sizes, shards: int, keys_of, write, sc
         last = None
 
         def flush() -> pa.RecordBatch:
-            keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            keys = np.concatenate([k for k, _ in held])
+            counts = np.concatenate([c for _, c in held])
             held.clear()
-            return write(last, *_summed(keys, counts.astype(np.int64)))
+            keys, counts = _summed(keys, counts)  # those before are let go
+            return write(last, keys, counts.astype(np.int64))
 
         for batch in batches:
             for part, n, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
