@@ -256,7 +256,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, int)
-    return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+    return keys[starts], np.add.reduceat(counts, starts, dtype=np.int64) if len(starts) else counts
 
 
 def _write_grams(texts: DataFrame, sizes: Sizes, shards: int, keys_of, write, schema: str) -> DataFrame:
@@ -306,7 +306,7 @@ def _write_grams(texts: DataFrame, sizes: Sizes, shards: int, keys_of, write, sc
             counts = np.concatenate([c for _, c in held])
             held.clear()
             keys, counts = _summed(keys, counts)  # those before are let go
-            return write(last, keys, counts.astype(np.int64))
+            return write(last, keys, counts.astype(np.int64, copy=False))
 
         for batch in batches:
             for part, n, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
