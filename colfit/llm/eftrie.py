@@ -20,6 +20,9 @@ n-grams writes it; files are named by shard and written anew if a task is run ag
 hashes are 64 bits wide: two of a billion words share one in about three of a hundred
 corpora, and would then be counted as one word.
 
+Texts are looked up some megabytes at a time: their distinct words, then the distinct pairs
+of those, then the distinct pairs of pairs, each once and in the order of the stored levels.
+
 Results by case: a null or empty text is its end token alone; a word that no training
 text has gets the probability left for unknown words, together with all others; rows
 that repeat an id are texts of their own; without any training text every word is
@@ -55,8 +58,9 @@ SHARD_TOKENS = 3_000_000
 SHARD_WORDS = 4_000_000
 #: Tokens whose n-grams a task merges before it passes them on.
 MERGED_TOKENS = 3_000_000
-#: Tokens looked up at once.
-TOKENS_AT_ONCE = 1 << 18
+#: Bytes of text, and tokens, looked up at once, or one text if it is longer.
+BYTES_AT_ONCE = 4_000_000
+TOKENS_AT_ONCE = 1 << 20
 #: One byte stores a base-10 logarithm from 0 down to this.
 LOWEST_LOG = -10.0
 #: Bytes below which an array is read, not mapped; a process may map only so many files.
@@ -81,8 +85,19 @@ def _code(log10: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(log10 / LOWEST_LOG * 255), 0, 255).astype(np.uint8)
 
 
+_VALUES = np.arange(256) * (LOWEST_LOG / 255)
+
+
 def _value(code: np.ndarray) -> np.ndarray:
-    return code * (LOWEST_LOG / 255)
+    return _VALUES[code]
+
+
+def _runs(sorted_keys: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each key of a sorted array and where it stands."""
+    if len(sorted_keys):
+        edges = [0, *(np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1).tolist(), len(sorted_keys)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            yield int(sorted_keys[a]), slice(a, b)
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -113,8 +128,8 @@ class Files:
                 while part := source.read(1 << 24):
                     out.write(part)
                 out.flush()
-                return np.load(out.name, mmap_mode="r")  # stays mapped when its name goes
-        return np.load(path, mmap_mode="r" if os.path.getsize(path) >= LEAST_MAPPED else None)
+                return np.load(out.name, mmap_mode="r").view(np.ndarray)  # stays mapped when its name goes
+        return np.load(path, mmap_mode="r" if os.path.getsize(path) >= LEAST_MAPPED else None).view(np.ndarray)
 
     def save_sequence(self, name: str, values: np.ndarray) -> None:
         built = MonotoneSequence.build(values)
@@ -149,9 +164,8 @@ class Vocabulary:
         self.unknown = self.size + 1
         self.begin = self.size
 
-    def ids(self, asked: np.ndarray) -> np.ndarray:
-        """Ids of hashes; each distinct one is looked up once."""
-        codes, distinct = pd.factorize(asked)
+    def ids(self, distinct: np.ndarray) -> np.ndarray:
+        """Ids of distinct hashes."""
         shard = _shard_of_hash(distinct, len(self.hashes))
         ids = np.full(len(distinct), self.unknown, np.int64)
         for k in np.unique(shard).tolist():
@@ -163,7 +177,7 @@ class Vocabulary:
             at = np.minimum(np.searchsorted(table, distinct[order]), len(table) - 1)
             hit = table[at] == distinct[order]
             ids[order[hit]] = self.starts[k] + at[hit]
-        return ids[codes]
+        return ids
 
     def count(self, ids: np.ndarray) -> np.ndarray:
         """Training occurrences; none for an unknown word."""
@@ -286,8 +300,8 @@ def _write_grams(texts: DataFrame, sizes: Sizes, shards: int, keys_of, write, sc
             )
 
         held, n = [], 0
-        for ids, _ in token_ids(batches, model.vocabulary):
-            keys = model.trigram_keys(ids) if sizes.bigrams else model.bigram_keys(ids)
+        for part in token_ids(batches, model.vocabulary):
+            keys = model.trigram_keys(part) if sizes.bigrams else model.bigram_keys(part)
             if len(keys):
                 held.append(keys)
                 n += len(keys)
@@ -322,24 +336,45 @@ def _write_grams(texts: DataFrame, sizes: Sizes, shards: int, keys_of, write, sc
     return map_batches(dealt, merge, schema)
 
 
-def token_ids(batches: Iterator[pa.RecordBatch], known: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids of texts end to end, and each text's number of tokens, in bounded parts.
+class Part(NamedTuple):
+    """Some whole texts end to end."""
 
-    A part ends with a text; a text longer than a part is a part of its own.
-    """
+    words: np.ndarray  # distinct ids in order, the mark of the beginning among them
+    codes: np.ndarray  # each token's place among those
+    lengths: np.ndarray  # each text's number of tokens
+
+
+def token_ids(batches: Iterator[pa.RecordBatch], known: Vocabulary) -> Iterator[Part]:
+    """Texts in parts of bounded size; a text longer than a part is a part of its own."""
     for batch in batches:
-        for part in slices(batch.column("text")):
+        for part in slices(batch.column("text"), BYTES_AT_ONCE):
             found, lengths = tokens(part)
-            ids = known.ids(found)
+            codes, distinct = pd.factorize(found)
+            words, place = np.unique(np.append(known.ids(distinct), known.begin), return_inverse=True)
+            codes = place[codes]
             ends = np.cumsum(lengths)
             at = 0
             while at < len(lengths):
                 base = ends[at - 1] if at else 0
                 to = max(at + 1, int(np.searchsorted(ends, base + TOKENS_AT_ONCE, "right")))
-                yield ids[base : ends[to - 1]], lengths[at:to]
+                yield Part(words, codes[base : ends[to - 1]], lengths[at:to])
                 at = to
 
 
+class Pairs(NamedTuple):
+    """The distinct pairs of a word, or the beginning, and the next of some texts.
+
+    They are in the order of the stored bigrams: by shard, first word and second word.
+    """
+
+    of: np.ndarray  # each token's pair, of which it is the second word
+    first: np.ndarray  # places among the part's words
+    second: np.ndarray
+    place: np.ndarray  # of the bigram over all shards, -1 if it is not stored
+    rank: np.ndarray  # among the bigrams of the first word, or -1
+    context: np.ndarray  # whether it is stored and a token may follow
+
+
 class Trie:
     """The levels of a model as far as they are written."""
 
@@ -364,34 +399,46 @@ class Trie:
         self.bigram_backoff = [self.files.load(f"context-{k}", "backoff") for k in shards]
         self.trigram_log = [self.files.load(f"context-{k}", "log") for k in shards]
 
-    def before(self, ids: np.ndarray) -> np.ndarray:
-        """The id before each token; at the start of a text the mark of the beginning."""
-        previous = np.empty_like(ids)
-        previous[1:] = np.where(ids[:-1] == self.end, self.vocabulary.begin, ids[:-1])
-        previous[:1] = self.vocabulary.begin
+    def _parts(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Each shard and where it stands; small numbers are sorted in linear time."""
+        small = shard.astype(np.uint16) if len(self.sizes.ranges) + self.sizes.shards < 1 << 16 else shard
+        order = np.argsort(small, kind="stable")
+        for k, run in _runs(shard[order]):
+            yield k, order[run]
+
+    def before(self, part: Part) -> np.ndarray:
+        """Place of the word before each token; at the start of a text the mark of the beginning."""
+        begin, end = np.searchsorted(part.words, [self.vocabulary.begin, self.end])
+        previous = np.empty_like(part.codes)
+        previous[1:] = np.where(part.codes[:-1] == end, begin, part.codes[:-1])
+        previous[:1] = begin
         return previous
 
-    def _parts(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        for k in np.unique(shard).tolist():
-            yield k, np.flatnonzero(shard == k)
-
-    def bigram_keys(self, ids: np.ndarray) -> np.ndarray:
-        """Of every token after another, both known: first id times words plus second."""
-        a = self.before(ids)
-        return (a * self.v + ids)[a <= self.v].astype(np.uint64)  # training words are all known
-
-    def find_bigrams(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Places over all shards, -1 if not stored; each distinct bigram is looked up once."""
-        found = np.full(len(a), -1, np.int64)
-        known = np.flatnonzero((a <= self.v) & (b < self.v))
-        shards = self.sizes.shards
-        local = a[known] // shards * self.v + b[known]
-        for k, mine in self._parts(a[known] % shards):
-            # In order, so that neighbours in memory are looked up together.
-            distinct, inverse = np.unique(local[mine], return_inverse=True)
-            place = self.bigrams[k].find(distinct)
-            found[known[mine]] = np.where(place >= 0, place + self.starts[k], -1)[inverse]
-        return found
+    def bigram_keys(self, part: Part) -> np.ndarray:
+        """Of every token of training texts: id before times words plus its own."""
+        return ((part.words * self.v)[self.before(part)] + part.words[part.codes]).astype(np.uint64)
+
+    def pairs(self, part: Part) -> Pairs:
+        """Each distinct pair is looked up once, in order, so that neighbours are found together."""
+        words, n, shards = part.words, len(part.words), self.sizes.shards
+        ordered = np.lexsort((words, words % shards))
+        turn = np.empty_like(ordered)
+        turn[ordered] = np.arange(n)
+        keys, of = np.unique(turn[self.before(part)] * n + part.codes, return_inverse=True)
+        first, second = ordered[keys // n], keys % n
+        place, rank = np.full(len(keys), -1, np.int64), np.full(len(keys), -1, np.int64)
+        known = np.flatnonzero((words[first] <= self.v) & (words[second] < self.v))
+        a = words[first[known]]
+        local = a // shards * self.v + words[second[known]]
+        for k, run in _runs(a % shards):
+            found = self.bigrams[k].find(local[run])
+            place[known[run]] = np.where(found >= 0, found + self.starts[k], -1)
+        stored = np.flatnonzero(place >= 0)
+        a = words[first[stored]]
+        heads = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1]))) if len(a) else stored
+        starts = np.repeat(self.first_bigram(a[heads]), np.diff(np.append(heads, len(a))))
+        rank[stored] = place[stored] - starts
+        return Pairs(of, first, second, place, rank, (place >= 0) & (words[second] != self.end))
 
     def first_bigram(self, a: np.ndarray) -> np.ndarray:
         """Place of the first bigram of each word."""
@@ -408,14 +455,6 @@ class Trie:
             out[mine] = self.pointers[k].access(local + 1) - self.pointers[k].access(local)
         return out
 
-    def ranks(self, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Of each stored bigram its rank among those of its first word, else -1."""
-        out = np.full(len(ids), -1, np.int64)
-        stored = np.flatnonzero(place >= 0)
-        words, inverse = np.unique(self.before(ids)[stored], return_inverse=True)
-        out[stored] = place[stored] - self.first_bigram(words)[inverse]
-        return out
-
     def bigram_shards(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shard of each bigram key, and its value there."""
         first, second = keys // np.uint64(self.v), keys % np.uint64(self.v)
@@ -428,57 +467,67 @@ class Trie:
         shard = np.searchsorted(ranges, (keys // np.uint64(self.v + 1)).astype(np.int64), "right") - 1
         return shard, keys - ranges[shard].astype(np.uint64) * np.uint64(self.v + 1)
 
-    def trigram_keys(self, ids: np.ndarray) -> np.ndarray:
+    def trigram_keys(self, part: Part) -> np.ndarray:
         """Of every token whose two bigrams are stored: place of the first, rank in the second."""
-        place = self.find_bigrams(self.before(ids), ids)
-        rank = self.ranks(ids, place)
-        both = np.flatnonzero((place[1:] >= 0) & (place[:-1] >= 0) & (ids[:-1] != self.end)) + 1
-        return place[both - 1].astype(np.uint64) * np.uint64(self.v + 1) + rank[both].astype(np.uint64)
+        pairs = self.pairs(part)
+        both = np.flatnonzero(pairs.context[pairs.of[:-1]] & (pairs.place >= 0)[pairs.of[1:]]) + 1
+        upper = pairs.place.astype(np.uint64) * np.uint64(self.v + 1)
+        return upper[pairs.of[both - 1]] + pairs.rank[pairs.of[both]].astype(np.uint64)
 
     def unigram_log(self, count: np.ndarray) -> np.ndarray:
         total = self.sizes.tokens + ADDED * (self.vocabulary.size + 1)
         return np.log10((count + ADDED) / total)
 
-    def _bigram_codes(self, arrays: list[np.ndarray], place: np.ndarray) -> np.ndarray:
+    def _bigram_codes(self, values: np.ndarray, arrays: list[np.ndarray], place: np.ndarray) -> np.ndarray:
+        """What the values are for the codes of these bigrams."""
         shard = np.searchsorted(self.starts, place, "right") - 1
         out = np.empty(len(place), np.uint8)
         for k, mine in self._parts(shard):
             out[mine] = arrays[k][place[mine] - self.starts[k]]
-        return _value(out)
+        return values[out]
 
-    def logs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def logs(self, part: Part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Base-10 logarithm of each token's probability, that of the base, and its count."""
-        words, code = np.unique(ids, return_inverse=True)
+        words, codes = part.words, part.codes
         word_count = self.vocabulary.count(words)
-        base, count = self.unigram_log(word_count)[code], word_count[code]
-        if not len(self.bigrams) or not len(ids):
+        word_log = self.unigram_log(word_count)
+        base, count = word_log[codes], word_count[codes]
+        if not len(self.bigrams) or not len(codes):
             return base, base, count
-        a = self.before(ids)
+        pairs = self.pairs(part)
         # Bigram, or the word's back-off before the unigram.
-        contexts, code = np.unique(a, return_inverse=True)
-        backoff = np.zeros(len(contexts))
-        known = np.flatnonzero(contexts <= self.v)
-        for k, mine in self._parts(contexts[known] % self.sizes.shards):
+        backoff = np.zeros(len(words))
+        known = np.flatnonzero(words <= self.v)
+        for k, mine in self._parts(words[known] % self.sizes.shards):
             at = known[mine]
-            backoff[at] = _value(self.word_backoff[k][contexts[at] // self.sizes.shards])
-        place = self.find_bigrams(a, ids)
-        out = base + backoff[code]
-        stored = np.flatnonzero(place >= 0)
-        out[stored] = self._bigram_codes(self.bigram_log, place[stored])
+            backoff[at] = _value(self.word_backoff[k][words[at] // self.sizes.shards])
+        lower = word_log[pairs.second] + backoff[pairs.first]
+        stored = np.flatnonzero(pairs.place >= 0)
+        lower[stored] = self._bigram_codes(_VALUES, self.bigram_log, pairs.place[stored])
         # Trigram, or the bigram's back-off before that.
-        rank = self.ranks(ids, place)
-        after = np.flatnonzero((place[:-1] >= 0) & (ids[:-1] != self.end)) + 1
-        first = place[after - 1]
-        for k, mine in self._parts(np.searchsorted(self.sizes.ranges, first, "right") - 1):
-            at, local = after[mine], first[mine] - self.sizes.ranges[k]
-            out[at] += _value(self.bigram_backoff[k][local])
-            searched = np.flatnonzero(rank[at] >= 0)
-            parents, inverse = np.unique(local[searched], return_inverse=True)
-            value = self.bases[k].access(parents)[inverse] + rank[at[searched]]
-            distinct, inverse = np.unique(value, return_inverse=True)
-            found = self.trigrams[k].find(distinct)[inverse]
+        ranges = np.array(self.sizes.ranges, np.int64)
+        shard = np.searchsorted(ranges, pairs.place, "right") - 1
+        context = np.zeros(len(pairs.place))
+        at = np.flatnonzero(pairs.context)
+        for k, run in _runs(shard[at]):
+            context[at[run]] = _value(self.bigram_backoff[k][pairs.place[at[run]] - ranges[k]])
+        out = lower[pairs.of]
+        out[1:] += context[pairs.of[:-1]]
+        both = np.flatnonzero(pairs.context[pairs.of[:-1]] & (pairs.place >= 0)[pairs.of[1:]]) + 1
+        n = len(pairs.place)
+        keys, inverse = np.unique(pairs.of[both - 1] * n + pairs.of[both], return_inverse=True)
+        first, rank = keys // n, pairs.rank[keys % n]
+        logs = np.full(len(keys), np.nan)
+        for k, run in _runs(shard[first]):
+            parents = first[run]
+            heads = np.flatnonzero(np.concatenate(([True], parents[1:] != parents[:-1])))
+            bases = self.bases[k].access(pairs.place[parents[heads]] - ranges[k])
+            found = self.trigrams[k].find(np.repeat(bases, np.diff(np.append(heads, len(parents)))) + rank[run])
             hit = np.flatnonzero(found >= 0)
-            out[at[searched[hit]]] = _value(self.trigram_log[k][found[hit]])
+            logs[run.start + hit] = _value(self.trigram_log[k][found[hit]])
+        logs = logs[inverse]
+        hit = np.flatnonzero(~np.isnan(logs))
+        out[both[hit]] = logs[hit]
         return out, base, count
 
 
@@ -605,17 +654,19 @@ def write_level_three(sizes: Sizes, k: int, keys: np.ndarray, counts: np.ndarray
     shard = int(np.searchsorted(model.starts, sizes.ranges[k], "right")) - 1
     end = min([model.starts[shard + 1], *sizes.ranges[k + 1 : k + 2]])
     own = slice(sizes.ranges[k] - int(model.starts[shard]), int(end - model.starts[shard]))
-    middle = model.bigrams[shard].decode()[own] % model.v  # the last word of each bigram
+    middle = model.bigrams[shard].decode(own.start, own.stop) % model.v  # the last word of each bigram
     follow = np.zeros(len(middle), np.int64)
     inner = middle != model.end  # nothing follows the end
-    follow[inner] = model.followers(middle[inner])
+    words, code = np.unique(middle[inner], return_inverse=True)
+    follow[inner] = model.followers(words)[code]
     bases = np.concatenate(([0], np.cumsum(follow)))
     contexts = model.files.load(f"counts-{shard}", "count")[own]
     kept = np.bincount(place, counts - DISCOUNT, len(middle))
     left = 1 - kept / contexts if len(middle) else kept
-    under = model.first_bigram(middle[place]) + rank
+    starts = np.zeros(len(middle), np.int64)
+    starts[inner] = model.first_bigram(words)[code]
     logs = [model.files.load(f"codes-{s}", "log") for s in range(sizes.shards)]
-    lower = 10 ** model._bigram_codes(logs, under)
+    lower = model._bigram_codes(10**_VALUES, logs, starts[place] + rank)
     probability = (counts - DISCOUNT) / contexts[place] + left[place] * lower
     files = model.files
     files.save_sequence(f"trigrams-{k}", bases[place] + rank)
@@ -630,11 +681,11 @@ def score(docs: DataFrame, sizes: Sizes) -> DataFrame:
         model = trie(sizes, True)
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], []]
-            for ids, lengths in token_ids([batch], model.vocabulary):
-                starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-                logs, base, count = model.logs(ids)
+            for part in token_ids([batch], model.vocabulary):
+                starts = np.concatenate(([0], np.cumsum(part.lengths)[:-1]))
+                logs, base, count = model.logs(part)
                 values = (
-                    lengths,
+                    part.lengths,
                     np.add.reduceat((count > 0).astype(np.int64), starts),
                     np.add.reduceat(base, starts),
                     np.add.reduceat(logs, starts),

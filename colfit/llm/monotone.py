@@ -13,41 +13,33 @@ import numpy as np
 BLOCK = 64
 HIGH_WORDS = 3
 _ONE = np.uint64(1)
+#: A word of eight bytes that are all one, and one of their top bits.
+_ONES, _TOPS = 0x0101010101010101, 0x8080808080808080
+#: Place of the set bit number ``r`` of byte ``x``, at ``8 * x + r``.
+_IN_BYTE = np.array([p for x in range(256) for p in [*(i for i in range(8) if x >> i & 1), *[0] * 8][:8]], np.uint8)
 
 
 def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Place of the set bit number ``rank``, from 0, in each word; it must be there."""
-    place = np.zeros(len(words), np.uint64)
     rank = rank.astype(np.uint64)
-    rest = words.copy()
-    for width in (32, 16, 8, 4, 2, 1):
-        low = rest & np.uint64((1 << width) - 1)
-        ones = np.bitwise_count(low).astype(np.uint64)
-        above = rank >= ones
-        rank = np.where(above, rank - ones, rank)
-        rest = np.where(above, rest >> np.uint64(width), low)
-        place += np.where(above, np.uint64(width), np.uint64(0))
-    return place.astype(np.int64)
-
-
-def _select_in(high: np.ndarray, block: np.ndarray, rank: np.ndarray, zeros: bool) -> np.ndarray:
-    """Place of a set, or unset, bit among a block's unary words."""
-    place = np.zeros(len(block), np.int64)
-    word = np.zeros(len(block), np.int64)
-    left = rank.astype(np.int64)
-    chosen = high[block, 0]
-    chosen = ~chosen if zeros else chosen
-    for k in range(HIGH_WORDS - 1):
-        ones = np.bitwise_count(chosen).astype(np.int64)
-        further = (word == k) & (left >= ones)
-        if not further.any():
-            break
-        left = np.where(further, left - ones, left)
-        word += further
-        following = high[block, k + 1]
-        chosen = np.where(further, ~following if zeros else following, chosen)
-    place = word * 64
-    return place + _select(chosen, left)
+    sums = words - ((words >> 1) & 0x5555555555555555)
+    sums = (sums & 0x3333333333333333) + ((sums >> 2) & 0x3333333333333333)
+    sums = ((sums + (sums >> 4)) & 0x0F0F0F0F0F0F0F0F) * _ONES  # byte i: set bits up to it
+    # A byte keeps its top bit if the sum up to it is at most the rank.
+    shift = np.bitwise_count(((rank * _ONES | _TOPS) - sums) & _TOPS).astype(np.uint64) << 3
+    rank -= ((sums << 8) >> shift) & 255
+    return (shift + _IN_BYTE[(((words >> shift) & 255) << 3 | rank).view(np.int64)]).view(np.int64)
+
+
+def _select_in(rows: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of a set bit among a row of three words."""
+    ones = np.bitwise_count(rows)
+    first = ones[:, 0].astype(np.int64)
+    both = first + ones[:, 1]
+    second, third = rank >= first, rank >= both
+    word = second.astype(np.int64) + third
+    left = rank - np.where(third, both, np.where(second, first, 0))
+    return word * 64 + _select(rows[np.arange(len(rows)), word], left)
 
 
 class MonotoneSequence:
@@ -74,39 +66,39 @@ class MonotoneSequence:
             bits += over
         width = bits.astype(np.uint8)
         start = np.concatenate(([0], np.cumsum(bits)))  # 64 values of w bits are w words
-        low = np.zeros(int(start[-1]) + 1, np.uint64)
+        low = np.zeros(int(start[-1]) + 2, np.uint64)  # a value is read with the word after its own
         lows = off & ((_ONE << bits.astype(np.uint64)) - _ONE)[:, None]
         for i in range(BLOCK):
             at = i * bits
             word, shift = start[:-1] + (at >> 6), (at & 63).astype(np.uint64)
             some = bits > 0
-            np.bitwise_or.at(low, word[some], (lows[:, i] << shift)[some])
+            low[word[some]] |= (lows[:, i] << shift)[some]  # blocks share no word
             spill = some & ((at & 63) + bits > 64)
-            np.bitwise_or.at(low, word[spill] + 1, (lows[:, i] >> (np.uint64(64) - shift))[spill])
+            low[word[spill] + 1] |= (lows[:, i] >> (np.uint64(64) - shift))[spill]
         high = np.zeros((blocks, HIGH_WORDS), np.uint64)
         place = (off >> bits.astype(np.uint64)[:, None]).astype(np.int64) + np.arange(BLOCK)
         for i in range(BLOCK):
             high[np.arange(blocks), place[:, i] >> 6] |= _ONE << (place[:, i] & 63).astype(np.uint64)
         return cls(n, first, low, start, width, high)
 
-    def _lows(self, block: np.ndarray, i: np.ndarray) -> np.ndarray:
-        bits = self.width[block].astype(np.int64)
+    def _lows(self, start: np.ndarray, bits: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """Low bits of the values number ``i`` of blocks with these starts and widths."""
         at = i * bits
-        word, shift = self.start[block] + (at >> 6), (at & 63).astype(np.uint64)
-        value = self.low[word] >> shift
-        spill = (at & 63) + bits > 64
-        if spill.any():
-            value[spill] |= self.low[word[spill] + 1] << (np.uint64(64) - shift[spill])
+        word, shift = start + (at >> 6), (at & 63).astype(np.uint64)
+        value = self.low[word] >> shift | (self.low[word + 1] << _ONE) << (np.uint64(63) - shift)
         return value & ((_ONE << bits.astype(np.uint64)) - _ONE)
 
     def access(self, index: np.ndarray) -> np.ndarray:
         """The values at these places."""
         block, i = index >> 6, index & 63
-        high = (_select_in(self.high, block, i, False) - i).astype(np.uint64)
-        return (self.first[block] + (high << self.width[block].astype(np.uint64)) + self._lows(block, i)).astype(np.int64)
-
-    def decode(self) -> np.ndarray:
-        parts = [self.access(np.arange(a, min(a + (1 << 20), self.length))) for a in range(0, self.length, 1 << 20)]
+        width = self.width[block]
+        high = (_select_in(self.high[block], i) - i).astype(np.uint64) << width.astype(np.uint64)
+        return (self.first[block] + high + self._lows(self.start[block], width.astype(np.int64), i)).astype(np.int64)
+
+    def decode(self, start: int = 0, stop: int | None = None) -> np.ndarray:
+        """The values from one place to another."""
+        stop = self.length if stop is None else stop
+        parts = [self.access(np.arange(a, min(a + (1 << 18), stop))) for a in range(start, stop, 1 << 18)]
         return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
     def find(self, values: np.ndarray) -> np.ndarray:
@@ -119,22 +111,28 @@ class MonotoneSequence:
         some = np.flatnonzero(block >= 0)
         block = block[some]
         off = wanted[some] - self.first[block]
-        high = (off >> self.width[block].astype(np.uint64)).astype(np.int64)
-        inside = high < HIGH_WORDS * 64 - BLOCK
-        some, block, off, high = some[inside], block[inside], off[inside], high[inside]
-        wanted_low = off & ((_ONE << self.width[block].astype(np.uint64)) - _ONE)
+        width = self.width[block].astype(np.uint64)
+        high = (off >> width).astype(np.int64)
+        inside = np.flatnonzero(high < HIGH_WORDS * 64 - BLOCK)
+        if len(inside) < len(some):
+            some, block, off, width, high = some[inside], block[inside], off[inside], width[inside], high[inside]
         # Values with these high bits stand between this unset bit and the one before.
-        end = np.minimum(_select_in(self.high, block, high, True) - high, BLOCK)
-        has = high > 0
-        at = np.zeros(len(block), np.int64)
-        at[has] = _select_in(self.high, block[has], high[has] - 1, True) - high[has] + 1
-        end = np.minimum(end, self.length - block * BLOCK)
+        zeros = ~self.high[block]
+        end = np.minimum(_select_in(zeros, high) - high, self.length - block * BLOCK)
+        at = np.where(high > 0, _select_in(zeros, np.maximum(high - 1, 0)) - high + 1, 0)
+        # Among those the low bits increase; the range that may hold them is halved.
         open_ = np.flatnonzero(at < end)
-        while len(open_):
-            low = self._lows(block[open_], at[open_])
-            equal = low == wanted_low[open_]
-            found[some[open_[equal]]] = (block[open_] * BLOCK + at[open_])[equal]
-            open_ = open_[low < wanted_low[open_]]
-            at[open_] += 1
-            open_ = open_[at[open_] < end[open_]]
+        some, at, end, width = some[open_], at[open_], end[open_], width[open_]
+        place, start, bits = block[open_] * BLOCK, self.start[block[open_]], width.astype(np.int64)
+        wanted = off[open_] & ((_ONE << width) - _ONE)
+        while len(some):
+            middle = (at + end) >> 1
+            low = self._lows(start, bits, middle)
+            equal = low == wanted
+            found[some[equal]] = (place + middle)[equal]
+            below = low < wanted
+            at, end = np.where(below, middle + 1, at), np.where(below, end, middle)
+            open_ = np.flatnonzero((at < end) & ~equal)
+            some, at, end, wanted = some[open_], at[open_], end[open_], wanted[open_]
+            place, start, bits = place[open_], start[open_], bits[open_]
         return found

@@ -25,6 +25,25 @@ def test_sequences(n, top):
     assert (MonotoneSequence.build(repeated).decode() == repeated).all()
 
 
+def test_values_close_together_are_found_in_few_steps(monkeypatch):
+    # Nearly all values of a block share their high bits, so only the low bits tell them apart.
+    values = (np.arange(50)[:, None] * (1 << 30) + np.append(np.arange(0, 189, 3), 1 << 29)).ravel()
+    sequence, steps = MonotoneSequence.build(values), []
+    lows = MonotoneSequence._lows
+    monkeypatch.setattr(MonotoneSequence, "_lows", lambda *a: steps.append(1) or lows(*a))
+    asked = np.concatenate((values, values + 1))
+    expected = np.append(np.arange(len(values)), np.full(len(values), -1))
+    assert (sequence.find(asked) == expected).all()
+    assert len(steps) <= 7  # before, one for each of 63 values
+
+
+def test_a_range_of_a_sequence():
+    values = np.cumsum(np.random.default_rng(3).integers(1, 1 << 20, 700_000))
+    sequence = MonotoneSequence.build(values)
+    for a, b in ((0, 0), (5, 6), (63, 65), (100, 600_000), (699_999, 700_000)):
+        assert (sequence.decode(a, b) == values[a:b]).all()
+
+
 def tokens(text):
     return [*(text or "").encode().lower().split(), b" "]
 
