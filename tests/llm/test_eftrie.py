@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from colfit.llm import eftrie
@@ -125,3 +126,21 @@ def test_nothing_to_learn_and_empty(docs, no_docs):
 
 def test_repeated(repeated, rows):
     assert eftrie.learn_and_score(repeated).count() == 2 * len(rows)
+
+
+def test_parts_of_any_size_give_the_same(spark, docs, rows, tmp_path, monkeypatch):
+    sizes = eftrie.learn(docs.where(~eftrie.held_out(docs.doc_id)), str(tmp_path / "model"))
+    model = eftrie.trie(sizes, True)
+    batch = pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows])], ["text"])
+
+    def logs():
+        parts = list(eftrie.token_ids([batch], model.vocabulary))
+        return len(parts), *(np.concatenate(x) for x in zip(*map(model.logs, parts), strict=True))
+
+    whole = logs()
+    assert whole[0] == 1
+    for size, tokens_at_once in ((1, 1 << 20), (2000, 1 << 20), (1 << 30, 100)):
+        monkeypatch.setattr(eftrie, "BYTES_AT_ONCE", size)
+        monkeypatch.setattr(eftrie, "TOKENS_AT_ONCE", tokens_at_once)
+        cut = logs()
+        assert cut[0] > 10 and all((a == b).all() for a, b in zip(whole[1:], cut[1:], strict=True))
