@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colfit.functions.activations import ACTIVATED, GRADIENTS, SOFTMAX
@@ -17,8 +17,10 @@ from colfit.session import persisted, shared_folder
 BROADCAST_GROUPS = 10_000
 # A group of more rows than this is not joined by shuffle, whatever the table's size.
 LARGE_ROWS = 1_000_000
-# A group of more rows has too many cells for a Jacobian.
-MOST_JACOBIAN_ROWS = 2_000
+# Rows of a large group in one array of its Jacobian, on average; two arrays make a unit of cells.
+JACOBIAN_TILE_ROWS = 1_000
+# Cells of a Jacobian that one task yields, on average, once its groups are cut.
+TASK_CELLS = 2_000_000
 # If more groups than this have so many rows none is broadcast; then no group is a
 # large part of the table either.
 MOST_LARGE_GROUPS = 1_000_000
@@ -95,12 +97,15 @@ def softmax_jacobian(
 
 
 def softmax_group_jacobian(
-    df: DataFrame, value: str, by: Sequence[str], key: str, most_rows: int = MOST_JACOBIAN_ROWS
+    df: DataFrame, value: str, by: Sequence[str], key: str, most_rows: int | None = None
 ) -> DataFrame:
     """The softmax Jacobian over the rows of each group: ``by..., i, j, value`` for two keys of a group.
 
-    A group of n rows has n*n cells, which one task yields; a group of more than
-    ``most_rows`` raises, as does a key that is null or repeats in its group.  Values are
+    A group of n rows has n*n cells.  If a group is larger than ``JACOBIAN_TILE_ROWS`` the
+    groups are cut into arrays of about that many rows by a hash of their keys, and every two
+    arrays of a group are a unit of cells; units are dealt over the tasks, so that neither
+    memory nor the longest task grows with a group.  With ``most_rows`` a group of more rows
+    raises; a key that is null or repeats in its group always does.  Values are
     shifted by their group's maximum first.  A null value makes its row's and column's cells
     null and adds nothing to the total; a null in ``by`` is a group; no rows give none.
     """
@@ -109,30 +114,52 @@ def softmax_group_jacobian(
     rows = df.select(*[F.col(f"`{b}`").alias(n) for b, n in zip(by, names, strict=True)], F.col(f"`{key}`").alias("k"), double(value).alias("x"))
     keys = rows.groupBy(*names, "k").agg(F.count("*").alias("n"))
     sizes = keys.groupBy(*names).agg(F.sum("n").alias("n"), F.max("n").alias("times"), F.count_if(F.col("k").isNull()).alias("null"))
-    largest, times, nulls = sizes.agg(F.max("n"), F.max("times"), F.sum("null")).first()
+    squares = F.sum(F.col("n").cast("double") * F.col("n"))
+    largest, times, nulls, cells = sizes.agg(F.max("n"), F.max("times"), F.sum("null"), squares).first()
     if largest is None:
-        largest, times, nulls = 0, 1, 0
+        largest, times, nulls, cells = 0, 1, 0, 0.0
     if nulls or times > 1:
         raise ValueError(f"key {key!r} must be there and unique in its group")
-    if largest > most_rows:
+    if most_rows is not None and largest > most_rows:
         raise ValueError(f"a group has {largest} rows, more than {most_rows}")
-    groups = rows.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("rows"))
-    shifted = F.transform("rows", lambda r: F.exp(r.x - F.array_max(F.col("rows.x"))))
-    exps = groups.select(*names, F.col("rows.k").alias("k"), shifted.alias("e"))
-    total = F.aggregate("e", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0)))
-    shares = exps.withColumn("t", total).select(*names, "k", F.transform("e", lambda v: ratio(v, F.col("t"))).alias("s"))
-    first = shares.select(*names, "k", "s", F.posexplode("s").alias("at_i", "a"))
-    cells = first.select(*names, "k", "at_i", "a", F.posexplode("s").alias("at_j", "b"))
+    tiles = max(1, -(-largest // JACOBIAN_TILE_ROWS))
+    shares = _tiled_shares(rows, names, tiles)
+    others = [f"__to{i}" for i in range(len(by))]
+    tile_i = shares.toDF(*names, "tile_i", "k_i", "s_i")
+    tile_j = shares.toDF(*others, "tile_j", "k_j", "s_j")
+    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(o)) for n, o in zip(names, others, strict=True)], F.lit(True))
+    units = tile_i.join(tile_j, same).drop(*others)
+    if tiles > 1:
+        units = units.repartition(1 + int(cells // TASK_CELLS), *names, "tile_i", "tile_j")
+    first = units.select(*names, "tile_i", "tile_j", "k_i", "k_j", "s_j", F.posexplode("s_i").alias("at_i", "a"))
+    first = first.withColumn("i", F.get("k_i", F.col("at_i"))).drop("k_i")
+    pairs = first.select(*names, "tile_i", "tile_j", "at_i", "i", "a", "k_j", F.posexplode("s_j").alias("at_j", "b"))
     own = F.col("a") * (F.lit(1.0) - F.col("a"))
-    cell = F.when(F.col("at_i") == F.col("at_j"), own).otherwise(-F.col("a") * F.col("b"))
-    return cells.select(
+    diagonal = (F.col("tile_i") == F.col("tile_j")) & (F.col("at_i") == F.col("at_j"))
+    return pairs.select(
         *[F.col(n).alias(b) for b, n in zip(by, names, strict=True)],
-        F.get("k", F.col("at_i")).alias("i"),
-        F.get("k", F.col("at_j")).alias("j"),
-        cell.alias("value"),
+        "i",
+        F.get("k_j", F.col("at_j")).alias("j"),
+        F.when(diagonal, own).otherwise(-F.col("a") * F.col("b")).alias("value"),
     )
 
 
+def _tiled_shares(rows: DataFrame, names: Sequence[str], tiles: int) -> DataFrame:
+    """``names..., tile, k, s``: keys of a group's tile in order and their shares of the group's sum.
+
+    Sums run in the order of keys in a tile, then of tiles, whatever the partitions.
+    """
+    group = Window.partitionBy(*names)
+    tile = F.pmod(F.xxhash64("k"), F.lit(tiles)).cast("int")
+    parts = rows.groupBy(*names, tile.alias("tile")).agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("rows"))
+    parts = parts.withColumn("most", F.max(F.array_max("rows.x")).over(group))
+    exps = parts.select(*names, "tile", F.col("rows.k").alias("k"), F.transform("rows", lambda r: F.exp(r.x - F.col("most"))).alias("e"))
+    exps = exps.withColumn("sum", F.aggregate("e", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))))
+    sums = F.array_sort(F.collect_list(F.struct("tile", "sum")).over(group))
+    total = exps.withColumn("t", F.aggregate(sums, F.lit(0.0), lambda a, v: a + v["sum"]))
+    return total.select(*names, "tile", "k", F.transform("e", lambda v: ratio(v, F.col("t"))).alias("s"))
+
+
 def _shares(df: DataFrame, columns: Sequence[str], shift: Column | None) -> DataFrame:
     require_columns(df, columns)
     exps = {c: F.exp(double(c) if shift is None else double(c) - shift) for c in columns}

@@ -1,3 +1,4 @@
+import importlib
 import math
 import sys
 
@@ -216,3 +217,25 @@ def test_group_jacobian(spark):
     for bad in ([("a", 1, 0.0)], [("a", None, 0.0)]):
         with pytest.raises(ValueError, match="unique"):
             softmax_group_jacobian(df.union(spark.createDataFrame(bad, df.schema)), "x", ["g"], "k")
+
+
+def test_group_jacobian_of_large_groups(spark, monkeypatch):
+    module = importlib.import_module("colfit.operators.softmax")  # the package's attribute is the function
+    rows = [("big", i, (i * 37 % 101) / 25) for i in range(2001)] + [(None, 3, 1.0), (None, 4, None), ("few", 1, 2.0)]
+    df = spark.createDataFrame(rows, "g string, k int, x double").repartition(3)
+    found = softmax_group_jacobian(df, "x", ["g"], "k")
+    sums = found.groupBy("g").agg(F.count("*"), F.sum(F.expr("i * 2001L + j")), F.sum("value"), F.sum(F.when(F.expr("i = j"), F.col("value"))))
+    own = [math.exp(x - max(r[2] for r in rows if r[0] == "big")) for g, _, x in rows if g == "big"]
+    share = [e / sum(own) for e in own]
+    of = {g: tuple(more) for g, *more in sums.collect()}
+    assert of["big"] == (2001**2, 2001**2 * (2001**2 - 1) // 2, pytest.approx(0.0, abs=1e-9), approx(sum(s * (1 - s) for s in share)))
+    assert of["few"] == (1, 2002, 0.0, 0.0) and of[None][:2] == (4, 14 * 2002)
+    monkeypatch.setattr(module, "JACOBIAN_TILE_ROWS", 7)
+    monkeypatch.setattr(module, "TASK_CELLS", 50)
+    small = df.where("k < 40")
+    cut = {(r["g"], r["i"], r["j"]): r["value"] for r in softmax_group_jacobian(small, "x", ["g"], "k").collect()}
+    monkeypatch.undo()
+    whole = {(r["g"], r["i"], r["j"]): r["value"] for r in softmax_group_jacobian(small, "x", ["g"], "k").collect()}
+    assert len(whole) == 40**2 + 4 + 1 and cut.keys() == whole.keys()
+    assert all(cut[c] == (v if v is None else pytest.approx(v, abs=1e-12)) for c, v in whole.items())
+    assert softmax_group_jacobian(small.where("g = 'big'"), "x", [], "k").count() == 40**2
