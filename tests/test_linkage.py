@@ -3,6 +3,8 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from colfit.models import linkage
@@ -119,3 +121,52 @@ def test_components(spark, monkeypatch, few):
     df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(4)
     assert {r["node"]: r["component"] for r in connected(df).collect()} == sets.named()
     assert connected(df.limit(0)).count() == 0
+
+
+def shaped(shape, n=110):
+    chosen = random.Random(shape)
+    if shape == "lines":  # on which tiles are of one component for rounds
+        return [(7 * i + 3, chosen.randrange(200) / 16, float(i % 3), 0.0) for i in range(n)]
+    if shape == "clusters":
+        return [(7 * i + 3, *(100.0 * (i % 4 == 1) + chosen.gauss(0, 1) for _ in range(3))) for i in range(n)]
+    return [(3 * i - 50, float(chosen.randrange(4)), -0.0 if i % 5 else 0.0, float(chosen.randrange(9))) for i in range(n)]
+
+
+@pytest.mark.parametrize(("shape", "few"), [("lines", 1_000_000), ("clusters", 0), ("equal", 1_000_000)])
+def test_tree_over_many_tiles(spark, monkeypatch, shape, few):
+    for name, value in {"TILE_ROWS": 6, "REGION_TILES": 2, "LEAST_SAMPLED": 5, "BLOCK_ROWS": 4, "BATCH_PAIRS": 20, "BROADCAST_PARTS": few}.items():
+        monkeypatch.setattr(linkage, name, value)
+    rows = shaped(shape)
+    model, tree = fit_single_linkage(frame(spark, rows), ["x", "y", "z"], "k"), plain_tree(rows)
+    found = found_tree(model)
+    assert [e[1:] for e in found] == [e[:2] for e in sorted(tree, key=lambda e: (e[2], e[0], e[1]))]
+    assert [e[0] for e in found] == pytest.approx([e[2] for e in tree])
+
+
+def test_points_ask_only_tiles_within_their_bound():
+    side = 10  # a square of square tiles, one component each but in the last, which has two
+    corners = np.array([(i, j) for i in range(side) for j in range(side)], float)
+    tile, whole = np.arange(side * side), np.arange(side * side) < side * side - 1
+    x = np.concatenate([corners + 0.5, corners + 0.99])
+    own = np.tile(tile, 2)
+    columns = [pa.array(own), pa.array(np.arange(len(x))), linkage._arrays(x), pa.array(own), pa.array(np.full(len(x), 0.16))]
+    batch = pa.RecordBatch.from_arrays(columns, ["tile", "a", "x", "component", "bound"])
+    first, *more = linkage._asked(batch, tile, corners, corners + 1, tile, whole, 64)
+    assert first.num_rows == len(x) and not any(first.column("asked").to_pylist())
+    asked = {(a, met) for b in more for a, met in zip(b.column("a").to_pylist(), b.column("met").to_pylist(), strict=True)}
+    expected = set()  # points in the middle ask none, those in a corner the three tiles beyond it
+    for t, (i, j) in enumerate(corners.astype(int).tolist()):
+        expected |= {(side * side + t, u * side + v) for u in (i, i + 1) for v in (j, j + 1) if (u, v) != (i, j) and u < side and v < side}
+    assert asked == expected
+
+
+def test_components_of_a_chain_keep_their_size(spark, monkeypatch):
+    monkeypatch.setattr(module, "FEW_EDGES", 20)
+    ids = list(range(600))
+    random.Random(4).shuffle(ids)
+    edges = [(ids[i], ids[i + 1]) for i in range(599) if i % 200 != 199] + [(700, 700)]
+    found = connected(spark.createDataFrame(edges, "a bigint, b bigint").repartition(3))
+    least = {x: min(ids[i : i + 200]) for i in range(0, 600, 200) for x in ids[i : i + 200]} | {700: 700}
+    assert {r["node"]: r["component"] for r in found.collect()} == least
+    guessed = found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert guessed < 1e9  # that of joins of checkpoints gets more digits with every round
