@@ -16,7 +16,8 @@ leave.  In few dimensions those are of points near a tile's walls, or between ne
 clusters; in many dimensions boxes tell little apart and the work is that of all distances.
 
 Results by case: edges are ordered by distance, then smaller key, then larger, so equal
-distances give one tree whatever the partitions; equal points join at height 0; a null key, or
+distances give one tree whatever the partitions; equal points join at height 0, before others so
+near that their squared distance is rounded to 0; a null key, or
 one that repeats, raises, as do nulls and values that are not finite, or those rows are left
 out with ``handle_invalid="skip"``; one point is a cluster of its own; an empty table raises, as
 do tiles between which all squared distances overflow.
